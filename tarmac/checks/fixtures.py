@@ -6,6 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.contract import FLIGHTS
 from tarmac.operators.clean import project_cast
+from tarmac.session import spread
+
+# Columns in use of the given tables; naming them spares a job that would infer them.
+TABLES = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string",
+    "documents": "doc_id bigint, text string",
+}
 
 FLIGHTS_RAW = """
 SELECT o.o_orderkey AS FLIGHT_ID,
@@ -41,8 +51,13 @@ FROM flights_raw
 LINE_ID = {"FLIGHT_ID": (1, "bigint")}
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
 def flights_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("orders", "customer", "nation")}
+    tables = {name: table(spark, sf_dir, name) for name in ("orders", "customer", "nation")}
+    tables["orders"] = spread(tables["orders"])
     sql = FLIGHTS_RAW
     for name in tables:
         sql = sql.replace(f" {name} ", f" {{{name}}} ")
@@ -59,4 +74,4 @@ def flights_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return spread(table(spark, sf_dir, "documents"))

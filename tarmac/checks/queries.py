@@ -11,7 +11,7 @@ import math
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarmac.checks.fixtures import LINE_ID, documents, flights_lines, flights_raw, flights_typed
+from tarmac.checks.fixtures import LINE_ID, documents, flights_lines, flights_raw, flights_typed, table
 from tarmac.checks.oracle import VOCABULARY_ROWS
 from tarmac.contract import FLIGHTS
 from tarmac.operators import clean, encoding, evaluate, sampling, vocabulary, words
@@ -63,15 +63,15 @@ def stream_source(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def replay_sink(spark: SparkSession, sf: str) -> DataFrame:
-    table = files.read_csv(spark, _landed_csv(spark, sf))
+    records = files.read_csv(spark, _landed_csv(spark, sf))
     path = fresh_folder(spark, "topic")
-    files.to_lines(table).write.text(path)
+    files.to_lines(records).write.text(path)
     return spark.read.text(path)
 
 
 def replay_stream(spark: SparkSession, sf: str) -> DataFrame:
     path = fresh_folder(spark, "staged")
-    rows = spark.read.parquet(f"{sf}/orders.parquet").count()
+    rows = table(spark, sf, "orders").count()
     replay.stage(flights_lines(spark, sf), path, math.ceil(rows / 8))
     staged = len(spark.read.text(path).inputFiles())
     return _written(streams.stream_text(spark, path, math.ceil(staged / 4)), "replay", fmt="text")
@@ -157,8 +157,8 @@ def vocab_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     training.save_vocabularies(fitted, f"{path}/indexers")
     training.save_vocabulary_table(fitted, f"{path}/table")
     loaded = vocabulary.from_indexers(spark, training.load_vocabularies(f"{path}/indexers"))
-    table = training.load_vocabulary_table(spark, f"{path}/table")
-    return table.join(loaded.withColumnRenamed("idx", "loaded_idx"), ["field", "label"], "full")
+    stored = training.load_vocabulary_table(spark, f"{path}/table")
+    return stored.join(loaded.withColumnRenamed("idx", "loaded_idx"), ["field", "label"], "full")
 
 
 def encode(spark: SparkSession, sf: str) -> DataFrame:
@@ -231,12 +231,16 @@ def _scores(predictions: DataFrame, *keep: str) -> DataFrame:
     return predictions.select("FLIGHT_ID", *keep, "prediction", chance)
 
 
+def _metrics(spark: SparkSession, trained: training.Trained) -> DataFrame:
+    return spark.createDataFrame([trained.metrics], "n bigint, n_correct bigint, accuracy double")
+
+
 def rf_predict(spark: SparkSession, sf: str) -> DataFrame:
     return _scores(_train(spark, sf).predictions(), FLIGHTS.label)
 
 
 def rf_train_eval(spark: SparkSession, sf: str) -> DataFrame:
-    return evaluate.accuracy(_train(spark, sf).predictions())
+    return _metrics(spark, _train(spark, sf))
 
 
 def rf_quality(spark: SparkSession, sf: str) -> DataFrame:
@@ -244,7 +248,7 @@ def rf_quality(spark: SparkSession, sf: str) -> DataFrame:
     trained = _train(spark, sf)
     majority = F.greatest(F.avg(FLIGHTS.label), 1 - F.avg(FLIGHTS.label))
     held_out = trained.test.agg(
-        F.count("*").alias("n_test"), (F.lit(trained.accuracy) > majority).alias("beats_majority")
+        F.count("*").alias("n_test"), (F.lit(trained.metrics["accuracy"]) > majority).alias("beats_majority")
     )
     return trained.train.agg(F.count("*").alias("n_train")).crossJoin(held_out).withColumn(
         "largest_vocabulary", F.lit(trained.vocabulary.largest()).cast("bigint")
@@ -252,7 +256,7 @@ def rf_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lr_train_eval(spark: SparkSession, sf: str) -> DataFrame:
-    return evaluate.accuracy(_train(spark, sf, training.logistic).predictions())
+    return _metrics(spark, _train(spark, sf, training.logistic))
 
 
 def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:

@@ -11,6 +11,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
+TYPES = {"int": T.IntegerType(), "double": T.DoubleType(), "string": T.StringType()}
+
 
 @dataclass(frozen=True)
 class Field:
@@ -52,10 +54,7 @@ class Contract:
 
     @property
     def typed_schema(self) -> T.StructType:
-        schema = T.StructType()
-        for f in self.fields:
-            schema = schema.add(f.name, f.type)
-        return schema
+        return T.StructType([T.StructField(f.name, TYPES[f.type]) for f in self.fields])
 
     @property
     def line_columns(self) -> list[str]:

@@ -11,6 +11,9 @@ from tarmac.contract import FLIGHTS, Contract
 from tarmac.operators.vocabulary import MAX_SMALL_LABELS, Vocabulary, count_labels
 from tarmac.session import materialize
 
+# A label with more than this share of the rows is kept out of a shuffle by label.
+HOT_SHARE = 0.001
+
 
 def encode(df: DataFrame, *indexers: StringIndexerModel) -> DataFrame:
     """Apply fitted indexers as one pipeline; nothing is fitted again."""
@@ -37,17 +40,17 @@ def encode_join(
     move; past that the rows are shuffled by label, hot labels apart. ``unseen`` is
     ``keep`` (unseen and null labels get the number of labels) or ``error``.
     """
-    shuffled = False
+    large = [c for c in contract.categorical if not vocabulary.sizes[c].small(max_labels)]
+    hot = _hot_labels(df, vocabulary, large) if large else None
     for column, output in contract.index_columns.items():
-        size = vocabulary.sizes[column]
         labels = vocabulary.of(column).select("label", F.col("idx").alias(output))
-        if size.small(max_labels):
+        if column not in large:
             df = _attach(df, F.broadcast(labels), column, output)
         else:
             # The shuffled form reads its input twice; do not let that multiply.
-            df = _attach_shuffled(materialize(df, "encoded") if shuffled else df, labels, column, output)
-            shuffled = True
-        df = df.withColumn(output, _resolve(F.col(output), column, unseen, size.labels))
+            source = df if column == large[0] else materialize(df, "encoded")
+            df = _attach_shuffled(source, labels, hot, column, output)
+        df = df.withColumn(output, _resolve(F.col(output), column, unseen, vocabulary.sizes[column].labels))
     return df
 
 
@@ -56,24 +59,27 @@ def _attach(df: DataFrame, labels: DataFrame, column: str, output: str) -> DataF
     return joined.select(*[df[c] for c in df.columns], labels[output])
 
 
-def _attach_shuffled(
-    df: DataFrame, labels: DataFrame, column: str, output: str, hot_share: float = 0.001
-) -> DataFrame:
+def _hot_labels(df: DataFrame, vocabulary: Vocabulary, columns: list[str]) -> DataFrame:
+    """``field, label, idx`` of the labels, seen or unseen, that exceed the hot share of ``df``.
+
+    There are at most ``1 / HOT_SHARE`` of them per column, whatever the data.
+    """
+    counts = materialize(count_labels(df, columns), "row-labels")
+    totals = counts.groupBy("field").agg(F.sum("n").alias("total"))
+    hot = counts.join(F.broadcast(totals), "field").where(F.col("n") > F.col("total") * HOT_SHARE)
+    hot = materialize(hot.select("field", "label"), "hot-labels")
+    seen = vocabulary.table.join(F.broadcast(hot), ["field", "label"]).select("field", "label", "idx")
+    return materialize(hot.join(seen, ["field", "label"], "left"), "hot-indexes")
+
+
+def _attach_shuffled(df: DataFrame, labels: DataFrame, hot: DataFrame, column: str, output: str) -> DataFrame:
     """Left lookup against a vocabulary too large to broadcast, safe for any label skew.
 
-    The labels of ``df`` itself are counted first. At most ``1 / hot_share`` of
-    them can exceed the hot share of the rows: those, seen or unseen, are looked
-    up by broadcast, and null labels need no lookup. Every label left for the
-    shuffle has at most the hot share of the rows.
+    Hot labels are looked up by broadcast and null labels need no lookup. Every
+    label left for the shuffle has at most the hot share of the rows.
     """
-    counts = materialize(count_labels(df, [column]).select("label", "n"), "label-counts")
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total")).first()["total"]
-    hot = counts.where(F.col("n") > total * hot_share).select("label")
-    hot_lookup = materialize(hot.join(labels, "label", "left").select("label", output), "hot-labels")
-
-    probed = df.join(
-        F.broadcast(hot_lookup.select(F.col("label").alias("_hot"), output)), F.col(column) == F.col("_hot"), "left"
-    )
+    lookup = hot.where(F.col("field") == column).select(F.col("label").alias("_hot"), F.col("idx").alias(output))
+    probed = df.join(F.broadcast(lookup), F.col(column) == F.col("_hot"), "left")
     settled = F.col("_hot").isNotNull() | F.col(column).isNull()
     stay = probed.where(settled).select(*df.columns, output)
     move = probed.where(~settled).select(*df.columns)

@@ -9,14 +9,15 @@ from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StringIndexerModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from tarmac.contract import FLIGHTS, Contract
 from tarmac.operators.clean import drop_any_null
 from tarmac.operators.encoding import assemble, assembler, encode
 from tarmac.operators.evaluate import accuracy
-from tarmac.operators.sampling import sample_hash, split_hash
+from tarmac.operators.sampling import sample_bernoulli, sample_hash, split_hash
 from tarmac.operators.vocabulary import Vocabulary, fit_vocabulary, to_indexers
+from tarmac.session import materialize, spread
 
 # Fixed value: bins per feature of the forest, raised where a vocabulary needs more.
 MAX_BINS = 343
@@ -41,14 +42,13 @@ def logistic(contract: Contract, vocabulary: Vocabulary, seed: int) -> Estimator
 
 @dataclass(frozen=True)
 class Trained:
-    """``pipeline`` takes typed rows to predictions; ``test`` is the held-out part, typed."""
+    """``pipeline`` takes typed rows to predictions; ``train`` and ``test`` are the parts, typed."""
 
     pipeline: PipelineModel
     vocabulary: Vocabulary
     train: DataFrame
     test: DataFrame
-    rows: int
-    accuracy: float | None
+    metrics: Row
 
     @property
     def indexers(self) -> list[StringIndexerModel]:
@@ -72,28 +72,40 @@ def train(
     seed: int = 42,
     vocabulary_from: str = "all",
 ) -> Trained:
-    """Clean, sample, index, split, fit and evaluate.
+    """Clean, sample, index, split, fit and evaluate; ``typed`` is read once.
 
-    ``typed`` is read once: the sampled rows are kept for the vocabulary, the fit
-    and the evaluation. Sample and split depend on ``key`` (or the whole row) alone,
-    so a partition that is lost and computed again holds the same rows.
-    ``vocabulary_from`` is ``all`` sampled rows or the ``train`` part only.
+    With a ``key``, sample and split follow from it, so that a lost partition holds
+    the same rows when it is computed again, and the kept rows need no storage.
+    Without one they are drawn at random, and the drawn rows are written as a
+    table, because a random draw must not be repeated. ``vocabulary_from`` is
+    ``all`` sampled rows or the ``train`` part only.
     """
     rows = drop_any_null(typed, contract.columns)
-    if sample < 1.0:
-        rows = sample_hash(rows, sample, key)
-    rows.persist(StorageLevel.MEMORY_AND_DISK)
+    if key is None:
+        kept = []
+        rows = spread(materialize(draw(rows, sample, split, seed), "drawn"))
+        parts = rows.where("_first").drop("_first"), rows.where("NOT _first").drop("_first")
+    else:
+        kept = [sample_hash(rows, sample, key).persist(StorageLevel.MEMORY_AND_DISK)]
+        kept.append(spread(kept[0]).persist(StorageLevel.MEMORY_AND_DISK))
+        rows = kept[-1]
+        parts = split_hash(rows, split, key)
     try:
-        train_rows, test_rows = split_hash(rows, split, key)
-        source = {"all": rows, "train": train_rows}[vocabulary_from]
-        vocabulary = fit_vocabulary(source, contract=contract)
-        encoded = encode(train_rows, *to_indexers(vocabulary, contract, "error"))
-        model = estimator(contract, vocabulary, seed).fit(assemble(encoded, contract))
-        pipeline = scoring_pipeline(to_indexers(vocabulary, contract, "keep"), model, contract)
-        result = accuracy(pipeline.transform(test_rows), contract.label).first()
+        vocabulary = fit_vocabulary({"all": rows, "train": parts[0]}[vocabulary_from], contract=contract)
+        indexers = to_indexers(vocabulary, contract, "error")
+        encoded = assemble(encode(parts[0], *indexers), contract)
+        model = estimator(contract, vocabulary, seed).fit(encoded)
+        pipeline = scoring_pipeline([i.copy().setHandleInvalid("keep") for i in indexers], model, contract)
+        metrics = accuracy(pipeline.transform(parts[1]), contract.label).first()
     finally:
-        rows.unpersist()
-    return Trained(pipeline, vocabulary, train_rows, test_rows, result["n"], result["accuracy"])
+        for frame in kept:
+            frame.unpersist()
+    return Trained(pipeline, vocabulary, *parts, metrics)
+
+
+def draw(rows: DataFrame, sample: float, split: float, seed: int) -> DataFrame:
+    """A random sample with ``_first``, true for the rows of the first part of a random split."""
+    return sample_bernoulli(rows, sample, seed).withColumn("_first", F.rand(seed + 1) < split)
 
 
 def scoring_pipeline(indexers: list[StringIndexerModel], model: Model, contract: Contract = FLIGHTS) -> PipelineModel:

@@ -60,3 +60,13 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     path = fresh_folder(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of a scan, or a kept frame, that has too few splits for them.
+
+    Only an input of fewer than two splits per core is shuffled, so the cost is
+    bounded by the cluster and not by the data; any larger input is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= 2 * cores else df.repartition(cores)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -35,6 +36,17 @@ def score(rows: DataFrame, model: PipelineModel) -> DataFrame:
     return model.transform(rows)
 
 
+def flatten_vectors(predictions: DataFrame) -> DataFrame:
+    """Vector columns as arrays, for sinks and readers that know no vectors."""
+    vectors = [f.name for f in predictions.schema.fields if f.dataType.typeName() == "vectorudt"]
+    return predictions.withColumns({c: vector_to_array(c) for c in vectors})
+
+
+def to_records(predictions: DataFrame) -> DataFrame:
+    """Each prediction as one JSON text in a ``value`` column, for a topic."""
+    return flatten_vectors(predictions).select(F.to_json(F.struct("*")).alias("value"))
+
+
 def route(
     lines: DataFrame,
     contract: Contract = FLIGHTS,
@@ -83,3 +95,26 @@ def write_batch(path: str) -> Callable[[DataFrame, int], None]:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return write
+
+
+def score_routed(
+    model: PipelineModel,
+    scored: Callable[[DataFrame, int], None],
+    dead: Callable[[DataFrame, int], None],
+    show: int = 0,
+) -> Callable[[DataFrame, int], None]:
+    """A callback for batches of ``route``: predictions of the good rows, and the dead ones.
+
+    The batch is held by ``each_batch``, so both outputs cost one read of the source.
+    ``show`` prints that many predictions of every batch.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        good = batch.where(F.col("route") == "good").drop("route", "missing", "value")
+        predictions = flatten_vectors(score(good, model))
+        scored(predictions, batch_id)
+        dead(batch.where(F.col("route") == "dead").select("value", "missing"), batch_id)
+        if show:
+            predictions.show(show)
+
+    return handle
