@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tarmac.checks.fixtures import FLIGHTS_LINES, FLIGHTS_RAW
 from tarmac.contract import FLIGHTS
-from tarmac.operators.sampling import SAMPLE_RULE, SPLIT_RULE
+from tarmac.operators.sampling import SAMPLE_RULE, SPLIT_RULE, threshold
 
 COLUMNS = ", ".join(FLIGHTS.columns)
 INPUTS = ", ".join(FLIGHTS.inputs)
@@ -52,8 +52,8 @@ CTES = {
     "typed": f"SELECT FLIGHT_ID, {_typed(FLIGHTS.fields)} FROM flights_raw",
     "clean": f"SELECT * FROM typed WHERE {_all_present(FLIGHTS.columns)}",
     "scorable": f"SELECT * FROM typed WHERE {_all_present(FLIGHTS.inputs)}",
-    "sampled": f"SELECT * FROM clean WHERE {_bucket(SAMPLE_RULE)} < {round(0.3 * SAMPLE_RULE[2])}",
-    "parts": f"""SELECT *, CASE WHEN {_bucket(SPLIT_RULE)} < {round(0.7 * SPLIT_RULE[2])}
+    "sampled": f"SELECT * FROM clean WHERE {_bucket(SAMPLE_RULE)} < {threshold(0.3, SAMPLE_RULE[2])}",
+    "parts": f"""SELECT *, CASE WHEN {_bucket(SPLIT_RULE)} < {threshold(0.7, SPLIT_RULE[2])}
                  THEN 'train' ELSE 'test' END AS part FROM clean""",
     "vocabulary": _labels("clean"),
     "part_vocabulary": _labels(f"(SELECT * FROM clean WHERE {VOCABULARY_ROWS}) AS seen"),

@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tarmac.functions.columns import bucket_of_integer, bucket_of_row
 
-# Multiplier, offset and modulus of the two bucket rules. The
-# moduli are coprime, so that the split of a sample stays unbiased.
-SAMPLE_RULE = (7919, 17, 1000)
-SPLIT_RULE = (104729, 11, 997)
+# Multiplier, offset and modulus of the two bucket rules. The moduli
+# are two primes: no stride of the keys falls into few buckets, the split of a
+# sample stays unbiased, and fractions resolve to one in a million.
+SAMPLE_RULE = (7919, 17, 1_000_003)
+SPLIT_RULE = (104729, 11, 999_983)
 SAMPLE_SEED = 7919
 SPLIT_SEED = 104729
 
@@ -39,15 +40,22 @@ def _bucket(df: DataFrame, key: str | None, rule: tuple[int, int, int], seed: in
     return bucket_of_row([F.col(key)], seed, modulus)
 
 
+def threshold(fraction: float, modulus: int) -> int:
+    """Number of buckets that make up ``fraction``; a positive fraction gets one at least."""
+    if not 0.0 <= fraction <= 1.0:
+        raise ValueError(f"not a fraction: {fraction}")
+    return max(round(fraction * modulus), 1 if fraction > 0 else 0)
+
+
 def sample_hash(df: DataFrame, fraction: float, key: str | None = None) -> DataFrame:
     """Keep about ``fraction`` of the rows, decided by ``key`` or by the whole row."""
     bucket = _bucket(df, key, SAMPLE_RULE, SAMPLE_SEED)
-    return df.where(bucket < round(fraction * SAMPLE_RULE[2]))
+    return df.where(bucket < threshold(fraction, SAMPLE_RULE[2]))
 
 
 def in_first_part(df: DataFrame, fraction: float, key: str | None = None) -> Column:
     """True for the rows of the first part of a hash split; never null."""
-    return _bucket(df, key, SPLIT_RULE, SPLIT_SEED) < round(fraction * SPLIT_RULE[2])
+    return _bucket(df, key, SPLIT_RULE, SPLIT_SEED) < threshold(fraction, SPLIT_RULE[2])
 
 
 def split_hash(df: DataFrame, fraction: float, key: str | None = None) -> tuple[DataFrame, DataFrame]:

@@ -87,12 +87,11 @@ def _rank_large(counts: DataFrame) -> DataFrame:
         .select("field", "range", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
     )
     place = Window.partitionBy("field", "range").orderBy(F.desc("n"), "label")
-    ranked = (
+    return (
         ranges.withColumn("place", F.row_number().over(place) - 1)
         .join(F.broadcast(offsets), ["field", "range"])
         .select("field", "label", "n", (F.col("offset") + F.col("place")).cast("double").alias("idx"))
     )
-    return materialize(ranked, "vocabulary")
 
 
 def rank_labels(counts: DataFrame, sizes: dict[str, Size], max_labels: int = MAX_SMALL_LABELS) -> DataFrame:
@@ -112,7 +111,7 @@ def fit_vocabulary(
     columns = columns or contract.categorical
     counts = materialize(count_labels(df, columns), "label-counts")
     sizes = measure(counts, columns)
-    ranked = rank_labels(counts, sizes, max_labels)
+    ranked = materialize(rank_labels(counts, sizes, max_labels), "vocabulary")
     return Vocabulary(ranked, sizes)
 
 

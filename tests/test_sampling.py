@@ -1,7 +1,8 @@
+import pytest
 from hypothesis import given, settings, strategies as st
 
 from tarmac.operators.clean import drop_any_null
-from tarmac.operators.sampling import sample_bernoulli, sample_hash, split_hash, split_random
+from tarmac.operators.sampling import sample_bernoulli, sample_hash, split_hash, split_random, threshold
 
 
 def ids(df):
@@ -59,6 +60,21 @@ def test_no_sort_and_no_shuffle(spark, sf, plan):
         assert "Sort" not in text and "Exchange" not in text
 
 
+def test_strides_of_the_key_do_not_matter(spark):
+    for stride in (10, 1000, 4096, 1_000_000, 2**40):
+        df = spark.range(20_000).selectExpr(f"id * {stride} AS FLIGHT_ID")
+        sampled = sample_hash(df, 0.3, "FLIGHT_ID")
+        n = sampled.count()
+        assert 0.28 < n / 20_000 < 0.32
+        assert 0.65 < split_hash(sampled, 0.7, "FLIGHT_ID")[0].count() / n < 0.75
+
+
+def test_thresholds():
+    assert [threshold(f, 1000) for f in (0.0, 0.00001, 0.3, 1.0)] == [0, 1, 300, 1000]
+    with pytest.raises(ValueError):
+        threshold(1.5, 1000)
+
+
 @settings(max_examples=20, deadline=None)
 @given(key=st.integers(min_value=-(2**63), max_value=2**63 - 1))
 def test_any_integer_key_falls_into_one_part(spark, key):
