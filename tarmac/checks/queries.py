@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -33,7 +34,7 @@ def _landed_csv(spark: SparkSession, sf: str) -> str:
     return path
 
 
-def _landed_lines(spark: SparkSession, sf: str) -> str:
+def landed_lines(spark: SparkSession, sf: str) -> str:
     path = fresh_folder(spark, "lines")
     flights_lines(spark, sf).write.text(path)
     return path
@@ -59,7 +60,7 @@ def scan_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_source(spark: SparkSession, sf: str) -> DataFrame:
-    return _written(streams.stream_text(spark, _landed_lines(spark, sf)), "source")
+    return _written(streams.stream_text(spark, landed_lines(spark, sf)), "source")
 
 
 def replay_sink(spark: SparkSession, sf: str) -> DataFrame:
@@ -226,6 +227,10 @@ def _train(spark: SparkSession, sf: str, estimator=training.forest) -> training.
     return training.train(flights_typed(spark, sf), estimator, sample=1.0, key="FLIGHT_ID")
 
 
+def trained_model(spark: SparkSession, sf: str) -> PipelineModel:
+    return _train(spark, sf).pipeline
+
+
 def _scores(predictions: DataFrame, *keep: str) -> DataFrame:
     chance = F.get(vector_to_array("probability"), F.lit(1)).alias("probability_late")
     return predictions.select("FLIGHT_ID", *keep, "prediction", chance)
@@ -275,12 +280,12 @@ def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_parse_filter(spark: SparkSession, sf: str) -> DataFrame:
-    lines = streams.stream_text(spark, _landed_lines(spark, sf))
+    lines = streams.stream_text(spark, landed_lines(spark, sf))
     return _written(scoring.parse_filter(lines, require_label=True, extra=LINE_ID), "parsed")
 
 
 def stream_foreach_batch(spark: SparkSession, sf: str) -> DataFrame:
-    rows = scoring.parse_filter(streams.stream_text(spark, _landed_lines(spark, sf)), extra=LINE_ID)
+    rows = scoring.parse_filter(streams.stream_text(spark, landed_lines(spark, sf)), extra=LINE_ID)
     path, checkpoint = fresh_folder(spark, "batches"), fresh_folder(spark, "batches-checkpoint")
     scoring.each_batch(rows, scoring.write_batch(path), checkpoint).awaitTermination()
     return spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
@@ -298,27 +303,29 @@ def stream_restart(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_dead_letter(spark: SparkSession, sf: str) -> DataFrame:
-    lines = streams.stream_text(spark, _landed_lines(spark, sf))
+    lines = streams.stream_text(spark, landed_lines(spark, sf))
     routed = _written(scoring.route(lines, extra=LINE_ID), "routed", partition_by=("route",))
     return routed.select("FLIGHT_ID", "missing", "value", "route")
 
 
-def stream_score(spark: SparkSession, sf: str) -> DataFrame:
-    model = _train(spark, sf).pipeline
-    rows = scoring.parse_filter(streams.stream_text(spark, _landed_lines(spark, sf)), extra=LINE_ID)
+def score_stream(spark: SparkSession, path: str, model: PipelineModel) -> DataFrame:
+    rows = scoring.parse_filter(streams.stream_text(spark, path), extra=LINE_ID)
     return _written(_scores(scoring.score(rows, model)), "scored")
 
 
+def stream_score(spark: SparkSession, sf: str) -> DataFrame:
+    return score_stream(spark, landed_lines(spark, sf), trained_model(spark, sf))
+
+
 def stream_score_parity(spark: SparkSession, sf: str) -> DataFrame:
     """Whether each flight gets the same prediction as a stream record and as a table row."""
-    model = _train(spark, sf).pipeline
-    lines = streams.stream_text(spark, _landed_lines(spark, sf))
-    streamed = _scores(scoring.score(scoring.parse_filter(lines, extra=LINE_ID), model), *FLIGHTS.inputs)
-    streamed = _written(streamed, "scored").withColumnsRenamed({"prediction": "streamed", "probability_late": "late"})
+    model = trained_model(spark, sf)
+    streamed = score_stream(spark, landed_lines(spark, sf), model)
+    streamed = streamed.withColumnsRenamed({"prediction": "streamed", "probability_late": "late"})
     rows = clean.drop_any_null(flights_typed(spark, sf), FLIGHTS.inputs)
     batch = _scores(scoring.score(rows, model))
     same = (F.col("streamed") == F.col("prediction")) & (F.col("late") == F.col("probability_late"))
-    joined = batch.join(streamed.select("FLIGHT_ID", "streamed", "late"), "FLIGHT_ID", "full")
+    joined = batch.join(streamed, "FLIGHT_ID", "full")
     return joined.select("FLIGHT_ID", F.coalesce(same, F.lit(False)).alias("same_prediction"))
 
 

@@ -120,3 +120,18 @@ def test_records_for_a_topic(spark, trained):
     assert records.columns == ["value"]
     one = records.select(F.from_json("value", "prediction double, probability array<double>").alias("r")).first()["r"]
     assert one["prediction"] in (0.0, 1.0) and len(one["probability"]) == 2
+
+
+def test_interval_trigger_runs_until_stopped(spark, landing, tmp_path):
+    out = str(tmp_path / "out")
+    (landing / "a.txt").write_text(f"{GOOD}\n")
+    rows = scoring.parse_filter(stream_text(spark, str(landing)), extra=LINE_ID)
+    query = to_files(rows, out, str(tmp_path / "cp"), seconds=0.5)
+    try:
+        query.processAllAvailable()
+        (landing / "b.txt").write_text(f"{GOOD}\n{BAD}\n")
+        query.processAllAvailable()
+        assert query.isActive and not query.awaitTermination(1)
+    finally:
+        query.stop()
+    assert spark.read.parquet(out).count() == 2
