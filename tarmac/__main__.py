@@ -102,7 +102,7 @@ def parser() -> argparse.ArgumentParser:
     score.add_argument("--seconds", type=float, default=30, help="micro-batch interval")
     score.add_argument("--once", action="store_true", help="score what there is and stop")
     score.add_argument("--require-label", action="store_true", help="reject lines without a label")
-    score.add_argument("--show", type=int, default=0, help="print this many predictions of every micro-batch")
+    score.add_argument("--show", type=int, default=0, help="print this many rows and predictions of every micro-batch")
     score.set_defaults(run=_score)
 
     again = jobs.add_parser("replay", help="publish a stored CSV as a paced stream of lines")

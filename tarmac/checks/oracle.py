@@ -76,6 +76,13 @@ SLOTS = ", ".join(f"CAST({c} AS DOUBLE) AS slot_{i}" for i, c in enumerate(FLIGH
 MISSING = "concat_ws(',', " + ", ".join(f"CASE WHEN {c} IS NULL THEN '{c}' END" for c in FLIGHTS.inputs) + ")"
 CORRECT = "count(*) FILTER (WHERE (CASE WHEN AWND > 200000 THEN 1.0 ELSE 0.0 END) = DEP_DEL15)"
 
+QUALITY = """SELECT count(*) FILTER (WHERE part = 'train') AS n_train,
+              count(*) FILTER (WHERE part = 'test') AS n_test,
+              (SELECT max(labels) FROM (SELECT count(*) AS labels FROM vocabulary GROUP BY field) AS sizes)
+                  AS largest_vocabulary,
+              TRUE AS {claim}
+       FROM parts"""
+
 ORACLE = {
     "scan_csv": _query(
         "SELECT CAST(FLIGHT_ID AS VARCHAR) AS FLIGHT_ID, "
@@ -95,6 +102,10 @@ ORACLE = {
     ),
     "parse_lines": _query(f"SELECT FLIGHT_ID, {COLUMNS} FROM typed"),
     "split_fields": _query(f"SELECT string_split(value, ',')[2] AS FLIGHT_ID, {FIELD_TEXTS} FROM flights_lines"),
+    "sample_bernoulli_check": _query(
+        "SELECT count(*) AS n_source, CAST(0 AS BIGINT) AS n_foreign, "
+        "CAST(0 AS BIGINT) AS n_repeated, TRUE AS share_holds FROM clean"
+    ),
     "sample_hash": _query(f"SELECT FLIGHT_ID, {COLUMNS} FROM sampled"),
     "split_hash": _query("SELECT FLIGHT_ID, part FROM parts"),
     "split_random_cover": _query("SELECT FLIGHT_ID, CAST(1 AS BIGINT) AS n_parts FROM clean"),
@@ -114,14 +125,8 @@ ORACLE = {
     "word_count": _query("SELECT word, n FROM words ORDER BY word"),
     "word_count_files": _query("SELECT word, n FROM words ORDER BY word"),
     "model_roundtrip": _query("SELECT FLIGHT_ID, TRUE AS same_prediction FROM parts WHERE part = 'test'"),
-    "rf_quality": _query(
-        """SELECT count(*) FILTER (WHERE part = 'train') AS n_train,
-                  count(*) FILTER (WHERE part = 'test') AS n_test,
-                  (SELECT max(labels) FROM (SELECT count(*) AS labels FROM vocabulary GROUP BY field) AS sizes)
-                      AS largest_vocabulary,
-                  TRUE AS beats_majority
-           FROM parts"""
-    ),
+    "rf_quality": _query(QUALITY.format(claim="beats_majority")),
+    "lr_quality": _query(QUALITY.format(claim="beats_constant")),
     "stream_parse_filter": _query(f"SELECT FLIGHT_ID, {COLUMNS} FROM clean"),
     "stream_foreach_batch": _query(f"SELECT FLIGHT_ID, {COLUMNS} FROM scorable"),
     "stream_restart": _query(f"SELECT FLIGHT_ID, {COLUMNS} FROM scorable"),

@@ -89,10 +89,15 @@ def each_batch(
 
 
 def write_batch(path: str) -> Callable[[DataFrame, int], None]:
-    """A callback that writes each batch to its own directory, so a repeat replaces it."""
+    """A callback that writes each batch to its own folder, so that a repeat replaces it.
+
+    The folder also carries the id of the query, which lives in the checkpoint: a
+    new checkpoint counts its batches from 0 again and must not replace older ones.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        batch.write.mode("overwrite").parquet(f"{path}/query_id={query}/batch_id={batch_id}")
 
     return write
 
@@ -106,7 +111,7 @@ def score_routed(
     """A callback for batches of ``route``: predictions of the good rows, and the dead ones.
 
     The batch is held by ``each_batch``, so both outputs cost one read of the source.
-    ``show`` prints that many predictions of every batch.
+    ``show`` prints that many good rows of every batch, and their predictions.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -115,6 +120,7 @@ def score_routed(
         scored(predictions, batch_id)
         dead(batch.where(F.col("route") == "dead").select("value", "missing"), batch_id)
         if show:
+            good.show(show)
             predictions.show(show)
 
     return handle

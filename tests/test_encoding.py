@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tarmac.checks.compare import _sorted_rows
 from tarmac.contract import FLIGHTS
 from tarmac.operators.clean import drop_any_null
-from tarmac.operators.encoding import assemble, encode, encode_join, vector_slots
+from tarmac.operators.encoding import _hot_labels, assemble, encode, encode_join, vector_slots
 from tarmac.operators.vocabulary import VocabularyTooLarge, fit_vocabulary, from_indexers, to_indexers
 from tarmac.session import materialize
 
@@ -109,6 +109,8 @@ def test_shuffled_lookup_with_hot_labels(spark):
         "WHEN id % 3 = 2 AND id > 600 THEN NULL ELSE concat('r', id) END AS x",
     )
     vocabulary = fit_vocabulary(df.where("x <> 'unseen'"), ["x"], one)
+    hot = _hot_labels(df, vocabulary, ["x"]).collect()
+    assert {r["label"]: r["idx"] for r in hot} == {"hot": 0.0, "unseen": None}
     shuffled = encode_join(df, vocabulary, one, max_labels=0)
     assert rows_of(shuffled) == rows_of(encode_join(df, vocabulary, one))
     assert shuffled.count() == 9000

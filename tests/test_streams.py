@@ -102,6 +102,14 @@ def test_a_failing_batch_stops_the_query_and_is_repeated(spark, landing, tmp_pat
     assert spark.read.parquet(out).count() == 1
 
 
+def test_a_new_checkpoint_does_not_replace_older_batches(spark, landing, tmp_path):
+    (landing / "a.txt").write_text(f"{GOOD}\n")
+    rows, out = scoring.parse_filter(stream_text(spark, str(landing))), str(tmp_path / "out")
+    for cp in ("first", "second"):
+        scoring.each_batch(rows, scoring.write_batch(out), str(tmp_path / cp)).awaitTermination()
+    assert spark.read.parquet(out).count() == 2
+
+
 def test_replay_paces_and_delivers_everything(spark, landed, tmp_path):
     lines = spark.read.text(landed)
     staged, out = str(tmp_path / "staged"), str(tmp_path / "out")
