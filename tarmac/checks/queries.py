@@ -17,7 +17,7 @@ from tarmac.checks.oracle import VOCABULARY_ROWS
 from tarmac.contract import FLIGHTS
 from tarmac.operators import clean, encoding, evaluate, sampling, vocabulary, words
 from tarmac.plans import replay, training
-from tarmac.session import fresh_folder, materialize
+from tarmac.session import fresh_folder
 from tarmac.sources import files, streams
 from tarmac.streaming import scoring
 
@@ -118,7 +118,8 @@ def sample_bernoulli_check(spark: SparkSession, sf: str) -> DataFrame:
     """What is certain about a random sample: no foreign and no repeated row, about its share of the rows."""
     rows = _clean(spark, sf).select("FLIGHT_ID", F.lit(1).alias("source"), F.lit(0).alias("drawn"))
     sampled = sample_bernoulli(spark, sf).select("FLIGHT_ID", F.lit(0).alias("source"), F.lit(1).alias("drawn"))
-    per_flight = rows.unionByName(sampled).groupBy("FLIGHT_ID").agg(F.sum("source").alias("source"), F.sum("drawn").alias("drawn"))
+    per_flight = rows.unionByName(sampled).groupBy("FLIGHT_ID")
+    per_flight = per_flight.agg(F.sum("source").alias("source"), F.sum("drawn").alias("drawn"))
     return per_flight.agg(
         F.sum("source").alias("n_source"),
         F.count_if(F.col("source") == 0).alias("n_foreign"),

@@ -22,6 +22,7 @@ class Topic:
         starting: str = "latest",
         max_records: int | None = None,
         min_partitions: int | None = None,
+        group_prefix: str | None = None,
     ) -> dict[str, str]:
         """Offsets live in the query's checkpoint; ``starting`` counts for its first run only."""
         options = {
@@ -33,6 +34,8 @@ class Topic:
             options["maxOffsetsPerTrigger"] = str(max_records)
         if min_partitions is not None:
             options["minPartitions"] = str(min_partitions)
+        if group_prefix is not None:
+            options["groupIdPrefix"] = group_prefix
         return options
 
     def write_options(self) -> dict[str, str]:

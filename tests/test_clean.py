@@ -1,14 +1,16 @@
 import math
 
 import pytest
+from hypothesis import given, settings, strategies as st
 
-from tarmac.contract import FLIGHTS
+from tarmac.contract import FLIGHTS, Contract, Field
 from tarmac.operators.clean import drop_any_null, drop_columns, parse_lines, project_cast, split_fields, with_validity
 
 
 def line(**fields):
     """A 26-field line; keys are ``f<position>``."""
-    default = {0: "1", 2: "0", 3: "4", 4: "0600", 8: "Acme Air", 16: "7", 17: "Here", 20: "There", 21: "0.5", 22: "0", 25: "8.5"}
+    default = {0: "1", 2: "0", 3: "4", 4: "0600", 8: "Acme Air", 16: "7", 17: "Here", 20: "There"}
+    default.update({21: "0.5", 22: "0", 25: "8.5"})
     default.update({int(k[1:]): v for k, v in fields.items()})
     return ",".join(default.get(i, "") for i in range(26))
 
@@ -95,7 +97,8 @@ def test_bad_text_becomes_null_and_rows_stay(spark):
 
 
 def test_drop_any_null_counts_nan_as_absent(spark):
-    df = spark.createDataFrame([(1, 1.0, "a"), (2, math.nan, "b"), (3, None, "c"), (4, 1.0, None)], "id int, x double, s string")
+    rows = [(1, 1.0, "a"), (2, math.nan, "b"), (3, None, "c"), (4, 1.0, None)]
+    df = spark.createDataFrame(rows, "id int, x double, s string")
     assert [r["id"] for r in drop_any_null(df).collect()] == [1]
     assert sorted(r["id"] for r in drop_any_null(df, ["s"]).collect()) == [1, 2, 3]
     assert drop_any_null(df).count() == df.dropna("any").count()
@@ -112,3 +115,18 @@ def test_drop_columns_keeps_order(typed):
     assert drop_columns(typed, ["DEP_BLOCK", "DEP_DEL15"]).columns == [
         c for c in typed.columns if c not in ("DEP_BLOCK", "DEP_DEL15")
     ]
+
+
+FIELD = st.text(alphabet="ab1.- \t;'#", max_size=6)
+
+
+@settings(max_examples=25, deadline=None)
+@given(lines=st.lists(st.lists(FIELD, min_size=1, max_size=30), min_size=1, max_size=5))
+def test_parser_and_plain_split_agree_without_quotes(spark, lines):
+    """Field by field, but that the parser gives null for empty text."""
+    texts = [",".join(fields) for fields in lines]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, value string")
+    every = Contract(tuple(Field(p, c, "string") for p, c in enumerate(FLIGHTS.line_columns)), 26, "", {})
+    parsed = [tuple(r) for r in parse_lines(df, every).collect()]
+    cut = [tuple(v or None for v in r) for r in split_fields(df, every).collect()]
+    assert parsed == cut == [tuple((f + [""] * 26)[i] or None for i in range(26)) for f in lines]

@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pytest
 
 from tarmac.checks.fixtures import flights_raw
@@ -50,9 +52,31 @@ def test_written_csv_gives_its_lines_back(spark, sf, tmp_path):
 
 def test_shared_folder_follows_the_session(spark):
     folder = shared_folder(spark)
-    assert folder == shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    assert folder == shared_folder(spark) == named.rstrip("/")
     assert fresh_folder(spark, "x") != fresh_folder(spark, "x")
-    assert fresh_folder(spark, "x").startswith(shared_folder(spark))
+    assert fresh_folder(spark, "x").startswith(folder)
+
+
+class _Session:
+    """A session without ``spark.checkpoint.dir``."""
+
+    def __init__(self, master):
+        self.conf = SimpleNamespace(get=lambda key, default: default)
+        self.folder = None
+        self.sparkContext = SimpleNamespace(
+            master=master, getCheckpointDir=lambda: self.folder, setCheckpointDir=self._set
+        )
+
+    def _set(self, folder):
+        self.folder = folder
+
+
+def test_only_a_local_session_may_go_without_a_shared_folder():
+    local = _Session("local[2]")
+    assert shared_folder(local) == shared_folder(local) == local.folder
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(_Session("spark://host:7077"))
 
 
 def test_materialize_keeps_rows_and_schema(spark):

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from tarmac.checks.fixtures import LINE_ID, flights_lines
 from tarmac.contract import FLIGHTS
 from tarmac.operators.clean import drop_any_null
+from tarmac.operators.encoding import encode_join
+from tarmac.operators.vocabulary import fit_vocabulary
 from tarmac.plans import replay
 from tarmac.sources.streams import Topic, stream_text, to_files
 from tarmac.streaming import scoring
@@ -37,6 +39,12 @@ def test_topic_options_name_one_topic():
         "maxOffsetsPerTrigger": "1000",
         "minPartitions": "64",
     }
+    assert topic.read_options(starting="earliest", group_prefix="scoring") == {
+        "kafka.bootstrap.servers": "broker:9092",
+        "subscribe": "planes",
+        "startingOffsets": "earliest",
+        "groupIdPrefix": "scoring",
+    }
     assert topic.write_options() == {"kafka.bootstrap.servers": "broker:9092", "topic": "planes"}
 
 
@@ -143,3 +151,12 @@ def test_interval_trigger_runs_until_stopped(spark, landing, tmp_path):
     finally:
         query.stop()
     assert spark.read.parquet(out).count() == 2
+
+
+def test_a_stream_is_encoded_by_lookup_too(spark, typed, landed, tmp_path):
+    vocabulary = fit_vocabulary(drop_any_null(typed))
+    rows = scoring.parse_filter(stream_text(spark, landed), extra=LINE_ID)
+    to_files(encode_join(rows, vocabulary), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    columns = ["FLIGHT_ID", *FLIGHTS.indexes]
+    batch = encode_join(drop_any_null(typed, FLIGHTS.inputs), vocabulary).select(columns)
+    assert sorted(spark.read.parquet(str(tmp_path / "out")).select(columns).collect()) == sorted(batch.collect())
