@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tarmac.contract import FLIGHTS
 from tarmac.operators.clean import project_cast
@@ -69,6 +69,14 @@ def flights_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(FLIGHTS_LINES.replace("flights_raw", "{raw}"), raw=raw)
 
 
+def flights_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records as a table of the full width of a line, so that its CSV can be replayed and scored."""
+    raw = flights_raw(spark, sf_dir)
+    held = {1: F.col("FLIGHT_ID").cast("string"), **{f.position: F.col(f.name) for f in FLIGHTS.fields}}
+    empty = F.lit(None).cast("string")
+    return raw.select(*[held.get(i, empty).alias(name) for i, name in enumerate(FLIGHTS.line_columns)])
+
+
 def flights_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project_cast(flights_raw(spark, sf_dir), FLIGHTS, keep=("FLIGHT_ID",))
 

@@ -3,7 +3,7 @@ import re
 import pytest
 
 from tarmac.__main__ import parser
-from tarmac.checks.fixtures import flights_lines, flights_raw, flights_typed
+from tarmac.checks.fixtures import flights_lines, flights_table, flights_typed
 from tarmac.contract import FLIGHTS
 from tarmac.operators.clean import drop_any_null, project_cast
 from tarmac.sources.files import write_csv
@@ -21,11 +21,11 @@ def home(tmp_path_factory):
 
 @pytest.fixture(scope="module")
 def data(spark, sf, home):
-    write_csv(flights_raw(spark, sf), str(home / "data"))
+    write_csv(flights_table(spark, sf), str(home / "data"))
     return home / "data"
 
 
-def test_train_then_score(spark, sf, home, data, capsys):
+def test_train_replay_score(spark, sf, home, data, capsys):
     run(
         spark, "train", "--data", data, "--model", home / "model", "--vocabularies", home / "indexers",
         "--sample", 0.5, "--preview", 5,
@@ -34,26 +34,33 @@ def test_train_then_score(spark, sf, home, data, capsys):
     assert re.search(r"accuracy (0\.\d+|1\.0) on \d+ held-out rows", out)
     assert {p.name for p in (home / "indexers").iterdir()} == set(FLIGHTS.categorical)
 
-    flights_lines(spark, sf).write.text(str(home / "lines"))
     run(
-        spark, "score", "--model", home / "model", "--lines", home / "lines", "--out", home / "scored",
+        spark, "replay", "--data", data, "--staged", home / "staged", "--out", home / "topic",
+        "--checkpoint", home / "replay-cp", "--lines-per-file", 200, "--files-per-interval", 3, "--once",
+    )
+    lines = spark.read.text(str(home / "topic"))
+    assert sorted(lines.collect()) == sorted(flights_lines(spark, sf).collect())
+
+    run(
+        spark, "score", "--model", home / "model", "--lines", home / "topic", "--out", home / "scored",
         "--dead", home / "dead", "--checkpoint", home / "cp", "--once", "--show", 3,
     )
     assert "prediction" in capsys.readouterr().out
     typed = flights_typed(spark, sf)
-    good = drop_any_null(typed, FLIGHTS.inputs).count()
-    assert spark.read.parquet(str(home / "scored")).count() == good
-    assert spark.read.parquet(str(home / "dead")).count() == typed.count() - good
+    good = drop_any_null(typed, FLIGHTS.inputs)
+    scored = spark.read.parquet(str(home / "scored"))
+    assert sorted(scored.select(*FLIGHTS.inputs).collect()) == sorted(good.select(*FLIGHTS.inputs).collect())
+    assert spark.read.parquet(str(home / "dead")).count() == typed.count() - good.count()
 
 
-def test_replay_publishes_the_csv_lines(spark, home, data):
+def test_a_label_can_be_required(spark, sf, home):
     run(
-        spark, "replay", "--data", data, "--staged", home / "staged", "--out", home / "topic",
-        "--checkpoint", home / "replay-cp", "--lines-per-file", 200, "--files-per-interval", 3, "--once",
+        spark, "score", "--model", home / "model", "--lines", home / "topic", "--out", home / "labelled",
+        "--dead", home / "unlabelled", "--checkpoint", home / "label-cp", "--once", "--require-label",
     )
-    lines = spark.read.text(str(home / "topic"))
-    assert lines.count() == spark.read.option("header", True).csv(str(data)).count()
-    assert lines.where("value LIKE 'FLIGHT_ID%'").count() == 0
+    assert spark.read.parquet(str(home / "labelled")).count() == drop_any_null(flights_typed(spark, sf)).count()
+    reasons = spark.read.parquet(str(home / "unlabelled")).select("missing").distinct().collect()
+    assert ("DEP_DEL15",) in {tuple(r) for r in reasons}
 
 
 def test_words(spark, home):
