@@ -39,6 +39,10 @@ def encode_join(
     A vocabulary whose measured size is small is broadcast, so the rows do not
     move; past that the rows are shuffled by label, hot labels apart. ``unseen`` is
     ``keep`` (unseen and null labels get the number of labels) or ``error``.
+
+    With a shuffled vocabulary ``df`` is read three times, for its hot labels, for
+    the rows that stay and for those that move: give it a stored table then.
+    Streams can use broadcast vocabularies only.
     """
     large = [c for c in contract.categorical if not vocabulary.sizes[c].small(max_labels)]
     hot = _hot_labels(df, vocabulary, large) if large else None

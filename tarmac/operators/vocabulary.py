@@ -40,7 +40,7 @@ class Vocabulary:
 
 
 class VocabularyTooLarge(ValueError):
-    """A vocabulary does not fit the driver; encode it with a join instead."""
+    """A vocabulary is too large for the form asked for; the message names another."""
 
 
 def count_labels(df: DataFrame, columns: list[str]) -> DataFrame:

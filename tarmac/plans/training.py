@@ -16,22 +16,25 @@ from tarmac.operators.clean import drop_any_null
 from tarmac.operators.encoding import assemble, assembler, encode
 from tarmac.operators.evaluate import accuracy
 from tarmac.operators.sampling import sample_bernoulli, sample_hash, split_hash
-from tarmac.operators.vocabulary import Vocabulary, fit_vocabulary, to_indexers
+from tarmac.operators.vocabulary import Vocabulary, VocabularyTooLarge, fit_vocabulary, to_indexers
 from tarmac.session import materialize, spread
 
 # Fixed value: bins per feature of the forest, raised where a vocabulary needs more.
 MAX_BINS = 343
+# The forest looks for split points in about the square of its bins, per feature
+# in one task, so the bins must not follow the vocabulary without end.
+MOST_BINS = 4096
 
 EstimatorFactory = Callable[[Contract, Vocabulary, int], Estimator]
 
 
 def forest(contract: Contract, vocabulary: Vocabulary, seed: int, max_bins: int = MAX_BINS) -> Estimator:
     """Random forest. A categorical feature needs a bin per label, and one for unseen labels."""
+    bins = max(max_bins, vocabulary.largest() + 1)
+    if bins > max(max_bins, MOST_BINS):
+        raise VocabularyTooLarge(f"a forest needs a bin for each of {bins - 1} labels; train a logistic regression")
     return RandomForestClassifier(
-        labelCol=contract.label,
-        featuresCol=contract.vector,
-        maxBins=max(max_bins, vocabulary.largest() + 1),
-        seed=seed,
+        labelCol=contract.label, featuresCol=contract.vector, maxBins=bins, seed=seed
     )
 
 

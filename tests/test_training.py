@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tarmac.contract import FLIGHTS
 from tarmac.operators.clean import drop_any_null
 from tarmac.operators.evaluate import accuracy, preview_top, row_count
+from tarmac.operators.vocabulary import Size, Vocabulary, VocabularyTooLarge
 from tarmac.plans.training import (
     draw,
     forest,
@@ -80,6 +81,10 @@ def test_unseen_labels_are_scored(trained):
 def test_bins_grow_with_the_vocabulary(trained):
     assert forest(FLIGHTS, trained.vocabulary, 1).getMaxBins() == 343
     assert forest(FLIGHTS, trained.vocabulary, 1, max_bins=2).getMaxBins() == trained.vocabulary.largest() + 1
+    huge = Vocabulary(trained.vocabulary.table, {"DEP_BLOCK": Size(100_000, 1_000_000)})
+    with pytest.raises(VocabularyTooLarge, match="100000 labels"):
+        forest(FLIGHTS, huge, 1)
+    assert logistic(FLIGHTS, huge, 1).getFeaturesCol() == FLIGHTS.vector
 
 
 def test_vocabulary_of_the_training_part(typed):
