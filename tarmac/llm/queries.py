@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.llm import toxicity
+from tarmac.llm import language, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -24,3 +24,15 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 def op5_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     documents, labels = _table(spark, sf, "documents"), _table(spark, sf, "labels")
     return toxicity.score(documents, toxicity.train(documents, labels))
+
+
+@query
+def op1_quality(spark: SparkSession, sf: str) -> DataFrame:
+    documents, labels = _table(spark, sf, "documents"), _table(spark, sf, "labels")
+    return quality.digest(documents, quality.train(documents, labels))
+
+
+@query
+def op3_language(spark: SparkSession, sf: str) -> DataFrame:
+    documents = _table(spark, sf, "documents")
+    return language.predict(documents, language.train(documents))
