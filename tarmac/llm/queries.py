@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.llm import language, quality, toxicity
+from tarmac.llm import decontaminate, fingerprint, language, packing, quality, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -36,3 +36,23 @@ def op1_quality(spark: SparkSession, sf: str) -> DataFrame:
 def op3_language(spark: SparkSession, sf: str) -> DataFrame:
     documents = _table(spark, sf, "documents")
     return language.predict(documents, language.train(documents))
+
+
+@query
+def op6_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf, "pages"))
+
+
+@query
+def op8_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.digest(_table(spark, sf, "documents"))
+
+
+@query
+def op9_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.decisions(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
+@query
+def op10_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprint.digest(_table(spark, sf, "documents"))
