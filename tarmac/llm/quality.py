@@ -21,6 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from tarmac.llm.buffers import Block, blocks, lists, stretch_hashes, word_spans
 from tarmac.llm.labels import held_out, learning_sample
@@ -268,7 +269,7 @@ def score(documents: DataFrame, field: Field) -> DataFrame:
     """
     added = ("quality_score", "n_lines", "n_bad_lines")
     kept = documents.select(*[F.col(f"`{c}`") for c in documents.columns if c not in added])
-    schema = kept.schema.add("quality_score", "double").add("n_lines", "long").add("n_bad_lines", "long")
+    schema = StructType(kept.schema.fields[:]).add("quality_score", "double").add("n_lines", "long").add("n_bad_lines", "long")
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

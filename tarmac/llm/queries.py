@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.llm import decontaminate, fingerprint, language, packing, quality, toxicity, url_filter
+from tarmac.llm import decontaminate, fingerprint, language, packing, quality, substring_dedup, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -56,3 +56,8 @@ def op9_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op10_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprint.digest(_table(spark, sf, "documents"))
+
+
+@query
+def op2_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substring_dedup.digest(_table(spark, sf, "documents"))
