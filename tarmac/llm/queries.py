@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.llm import decontaminate, fingerprint, language, packing, quality, substring_dedup, toxicity, url_filter
+from tarmac.llm import (
+    decontaminate, fingerprint, language, ngram_join, packing, quality, substring_dedup, toxicity, url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -61,3 +63,8 @@ def op10_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op2_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return substring_dedup.digest(_table(spark, sf, "documents"))
+
+
+@query
+def op7_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_join.near_duplicate_groups(_table(spark, sf, "documents"))
