@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.llm import (
-    decontaminate, fingerprint, language, ngram_join, packing, quality, substring_dedup, toxicity, url_filter,
+    decontaminate, fingerprint, language, line_dedup, ngram_join, packing, quality, substring_dedup, toxicity, url_filter,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,8 @@ def op2_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op7_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_join.near_duplicate_groups(_table(spark, sf, "documents"))
+
+
+@query
+def op4_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return line_dedup.digest(_table(spark, sf, "documents"))
