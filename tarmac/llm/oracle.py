@@ -1,3 +1,85 @@
 """What DuckDB expects of the queries that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_url_filter": r"""
+WITH RECURSIVE parts AS (
+  SELECT page_id, html,
+         translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path,
+         coalesce(regexp_extract(url, '^.*?://[^?#]*(\?[^#]*)', 1, 's'), '') AS query
+  FROM pages
+),
+pages_of AS (
+  SELECT *, CASE WHEN host <> '' THEN concat(host, CASE WHEN path = '' THEN '/' ELSE path END, query) END AS node
+  FROM parts
+),
+tags AS (
+  SELECT node, host, path, unnest(regexp_extract_all(html, '<(?:link|meta)\b[^>]*>', 0, 'is')) AS tag
+  FROM pages_of WHERE node IS NOT NULL
+),
+links AS (
+  SELECT node, host, path,
+         trim(coalesce(nullif(regexp_extract(tag, '\bhref\s*=\s*["'']?([^"''\s>]+)', 1, 'is'), ''),
+                       regexp_extract(tag, 'url\s*=\s*["'']?([^"''\s>]+)', 1, 'is'))) AS link
+  FROM tags
+  WHERE regexp_matches(tag, '\brel\s*=\s*["'']?canonical\b', 'is')
+     OR regexp_matches(tag, 'http-equiv\s*=\s*["'']?refresh', 'is')
+),
+targets AS (
+  SELECT node,
+         CASE WHEN contains(link, '://') THEN link
+              WHEN starts_with(link, '//') THEN concat('http:', link)
+              WHEN starts_with(link, '/') THEN concat('http://', host, link)
+              WHEN starts_with(link, '?') THEN concat('http://', host, path, link)
+              ELSE concat('http://', host, coalesce(nullif(regexp_extract(path, '^(.*/)', 1, 's'), ''), '/'), link)
+         END AS url
+  FROM links WHERE link <> ''
+),
+ends AS (
+  SELECT node,
+         translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path,
+         regexp_extract(url, '^.*?://[^?#]*(\?[^#]*)', 1, 's') AS query
+  FROM targets
+),
+edges AS (
+  SELECT node AS a, concat(host, CASE WHEN path = '' THEN '/' ELSE path END, query) AS b FROM ends WHERE host <> ''
+),
+ways AS (SELECT a, b FROM edges WHERE a <> b UNION SELECT b, a FROM edges WHERE a <> b),
+reached AS (
+  SELECT a AS node, a AS other FROM ways
+  UNION
+  SELECT r.node, w.b FROM reached r JOIN ways w ON r.other = w.a
+),
+places AS (
+  SELECT DISTINCT host, path FROM parts
+  UNION
+  SELECT DISTINCT regexp_extract(other, '^([^/]*)', 1, 's'), regexp_extract(other, '^[^/]*([^?]*)', 1, 's') FROM reached
+),
+rules(verdict, host, path) AS (
+  VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')
+),
+ruled AS (
+  SELECT p.host, p.path, max_by(concat(r.host, r.path), length(concat(r.host, r.path))) AS rule,
+         max_by(r.verdict, length(concat(r.host, r.path))) AS ruling
+  FROM places p
+  JOIN rules r ON (p.host = r.host OR ends_with(p.host, concat('.', r.host))) AND starts_with(p.path, r.path)
+  GROUP BY p.host, p.path
+),
+aliases AS (
+  SELECT r.node, max(CASE WHEN u.ruling = 'block' THEN 1 ELSE 0 END) AS blocked, count(*) - 1 AS n_aliases
+  FROM reached r
+  LEFT JOIN ruled u ON u.host = regexp_extract(r.other, '^([^/]*)', 1, 's')
+                   AND u.path = regexp_extract(r.other, '^[^/]*([^?]*)', 1, 's')
+  GROUP BY r.node
+)
+SELECT p.page_id, p.host, p.path, u.rule,
+       coalesce(u.ruling, CASE WHEN a.blocked = 1 THEN 'block' END, 'allow') AS verdict,
+       coalesce(a.n_aliases, 0) AS n_aliases
+FROM pages_of p
+LEFT JOIN ruled u ON u.host = p.host AND u.path = p.path
+LEFT JOIN aliases a ON a.node = p.node
+""",
+}
