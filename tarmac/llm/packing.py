@@ -11,13 +11,16 @@ ignored, ties go to the earlier document, and the order within a partition is th
 
 from __future__ import annotations
 
+import base64
 import os
 import re
-from collections.abc import Callable, Iterator
+from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
@@ -42,12 +45,16 @@ class TextIds:
     Byte-level tokenizers of this kind never join what a single space or newline between visible
     characters parts, nor a letter and a full stop or comma after it. So a text is cut there, and the ids
     of its pieces, which often recur, are remembered. Texts with other white space or with the string of
-    a special token go to the tokenizer whole.
+    a special token go to the tokenizer whole. Words of letters only, most of the pieces, get their ids
+    from the same vocabulary's ranks, which merge such a word alike at a fraction of the time.
     """
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, ranks: dict[bytes, int]):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_str(definition)
+        self.words = tiktoken.Encoding(
+            "words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        )
         self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
         self.newline, *self.ends = self._encode(["\n", ".", ","])
@@ -62,8 +69,12 @@ class TextIds:
             self.known.clear()
             new = pieces
         ended = {p for p in new if p[-1:] in (".", ",") and p[-2:-1].isalpha()}
-        plain = list((new - ended | {p[:-1] for p in ended}) - self.known.keys())
-        self.known.update(zip(plain, self._encode(plain), strict=True))
+        plain = (new - ended | {p[:-1] for p in ended}) - self.known.keys()
+        words = [p for p in plain if p.isalpha() or (p[:1] == " " and p[1:].isalpha())]
+        others = list(plain.difference(words))
+        merge = self.words.encode_ordinary
+        self.known.update({word: array("I", merge(word)).tobytes() for word in words})
+        self.known.update(zip(others, self._encode(others), strict=True))
         full_stop, comma = self.ends
         self.known.update({p: self.known[p[:-1]] + (full_stop if p[-1] == "." else comma) for p in ended})
 
@@ -137,18 +148,22 @@ SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, seq
 _NAMES = [field.split()[0] for field in SCHEMA.split(", ")]
 
 
-def pack(documents: DataFrame, definition: str | None = None, window: int = WINDOW) -> DataFrame:
+def pack(
+    documents: DataFrame, tokenizer: str | None = None, ranks: str | None = None, window: int = WINDOW
+) -> DataFrame:
     """Pieces of all documents with their ids (little-endian 32-bit) and their place in a sequence.
 
-    ``definition`` is the tokenizer's file content; it travels with the tasks (a few MB for any vocabulary).
+    ``tokenizer`` and ``ranks`` are paths of one vocabulary in two formats. The files are read by the driver
+    and travel with the tasks (a few MB for any vocabulary).
     """
-    if definition is None:
-        with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
-            definition = file.read()
+    with open(tokenizer or public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        definition = file.read()
+    with open(ranks or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
+        merges = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
     end = np.array([END], "<u4").tobytes()
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        text_ids: Callable = TextIds(definition)
+        text_ids = TextIds(definition, merges)
         base = TaskContext.get().partitionId() << 32
         used, rests = 0, []
 

@@ -4,18 +4,19 @@ A byte goes if some string of ``THRESHOLD`` bytes that covers it also starts in
 id. Suffixes are told apart only as deep as that, in passes from the most significant digit on, and a
 suffix leaves the passes as soon as no other document shares its digits:
 
-1. Suffixes that can matter. Of every window of the threshold's length, the least of its short strings
-   (by hash) is its anchor. Equal windows have equal anchors, so only anchors are grouped, and a window is
-   looked at only if its anchor's first digit, the ``GRAM`` bytes there, occurs in several documents.
-2. Second digit: all bytes of the windows of an anchor at once. If an earlier document has all of
-   them, all of these windows are repeats.
-3. Third digit: where anchors of equal first digit differ in the second, the windows one by one.
-
-Groups are equal 64-bit hashes of a digit within equal first digits. Every pass settles what it can within
-a chunk of documents and passes on one row for each chunk and group, so that a passage of a third of all
-documents does not gather in one task; anchors of a group with many different surroundings are dealt out by
-their second digit. Chunks are documents by the hash of their id, and their number is that of the shuffle
-partitions. All passes are one plan over one shuffle of the texts, and nothing is kept on the driver.
+1. Of every window of the threshold's length, the least of its short strings (by hash) is its anchor. Equal
+   windows have equal anchors, so only anchors are grouped: first by a hash of the ``GRAM`` bytes there,
+   which is the first digit. Only anchors whose digit occurs in several documents go on.
+2. The second digit is all bytes of an anchor's windows at once. If an earlier document has all of them, all
+   of these windows are repeats. Else, where anchors of one first digit differ, the third digit tells their
+   windows apart one by one.
+
+Groups are equal 64-bit hashes of a later digit within equal hashes of the first. Every pass settles what it
+can within a chunk of documents and passes on one row for each chunk and group, so that a passage of a third
+of all documents does not gather in one task. Anchors of a first digit with many different surroundings in
+some chunk are dealt out window by window instead. Chunks are documents by the hash of their id, and their
+number is that of the shuffle partitions. All passes are one plan over one shuffle of the texts, and
+nothing is kept on the driver.
 
 Null texts are empty and keep nothing; texts shorter than the threshold stay whole. Rows with the same id
 do not affect each other, whatever their texts are; rows with a null id neither lose nor cost anything.
@@ -28,15 +29,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from tarmac.llm.buffers import Block, blocks, group_starts, lists, mix, ranges, stretch_hashes
+from tarmac.llm.buffers import Block, blocks, flat, group_starts, lists, mix, ranges, stretch_hashes
 
 THRESHOLD = 50
 GRAM = 20
 _RUN = THRESHOLD - GRAM + 1  # short strings of a window
 
-ALONE, AMONG, HINT, SETTLED = range(4)  # kinds of rows between the passes
+#: A first digit with so many different surroundings in one chunk is dealt out window by window.
+MANY = 64
+
+SURROUNDED, WINDOW, SETTLED = range(3)  # kinds of records between the passes
+
+_SLICE = 1 << 18  # windows that a task tells apart at a time
 
 
 def _gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -92,67 +99,106 @@ def _chunk_blocks(table: pa.Table) -> Iterator[tuple[Block, np.ndarray, np.ndarr
 
 
 class Rows:
-    """Rows between passes, as columns."""
+    """Rows of one kind between the passes: windows ``low`` to ``high`` of a document, or settled bytes."""
 
-    FIELDS = {"a": np.int64, "b": np.int64, "doc_id": np.int64, "mark": np.int32, "low": np.int32, "high": np.int32,
-              "kind": np.int8}
-    TYPES = "a array<long>, b array<long>, doc_id array<long>, mark array<int>, low array<int>, high array<int>, " \
-            "kind array<tinyint>"
+    FIELDS = {"doc_id": np.int64, "mark": np.int32, "low": np.int32, "high": np.int32, "a": np.int64, "b": np.int64}
 
-    def __init__(self, **columns: np.ndarray):
-        n = len(columns["doc_id"])
-        self.columns = {
-            name: np.asarray(columns.get(name, np.zeros(n))).astype(kind) if name not in ("a", "b") or name not in columns
-            else columns[name].view(np.int64)
-            for name, kind in self.FIELDS.items()
-        }
+    def __init__(self, doc_id: np.ndarray, mark: np.ndarray, low: np.ndarray, high: np.ndarray, a=None, b=None):
+        none = np.zeros(len(doc_id), np.int64)
+        self.doc_id, self.mark = doc_id.astype(np.int64), mark.astype(np.int32)
+        self.low, self.high = low.astype(np.int32), high.astype(np.int32)
+        self.a, self.b = (none if x is None else x.view(np.int64) for x in (a, b))
 
     def __len__(self) -> int:
-        return len(self.columns["doc_id"])
-
-    def __getattr__(self, name: str) -> np.ndarray:
-        return self.columns[name]
+        return len(self.doc_id)
 
-    def take(self, where: np.ndarray, **changed) -> Rows:
-        picked = {name: column[where] for name, column in self.columns.items()}
-        n = len(picked["doc_id"])
-        return Rows(**(picked | {k: np.full(n, v) for k, v in changed.items()}))
+    def take(self, where: np.ndarray) -> Rows:
+        return Rows(*[getattr(self, name)[where] for name in self.FIELDS])
 
     @classmethod
     def join(cls, parts: list[Rows]) -> Rows:
         if not parts:
-            return cls(doc_id=np.empty(0))
-        return cls(**{name: np.concatenate([p.columns[name] for p in parts]) for name in cls.FIELDS})
-
-    @classmethod
-    def of(cls, table: pa.Table) -> Rows:
-        if not table.num_rows:
-            return cls(doc_id=np.empty(0))
-        return cls(**{name: _flat(table[name]) for name in cls.FIELDS})
-
-    def sorted_by(self, *names: str) -> Rows:
-        return self.take(np.lexsort([self.columns[n] for n in reversed(names)]))
-
-    def dealt(self, to: np.ndarray, key: str, **scalars: int) -> pa.Table:
-        """One record for each value of ``to``, with the rows of that value as lists."""
-        order = np.argsort(to, kind="stable")
-        to = to[order]
-        at = group_starts(to)
-        counts = np.diff(np.append(at, len(to)))
-        columns = {key: pa.array(to[at].astype(np.int32))}
-        columns |= {k: pa.array(np.full(len(at), v, np.int32)) for k, v in scalars.items()}
-        columns |= {name: lists(column[order], counts) for name, column in self.columns.items()}
-        return pa.table(columns)
-
-
-def _flat(column: pa.ChunkedArray) -> np.ndarray:
-    return np.concatenate([chunk.flatten().to_numpy(zero_copy_only=False) for chunk in column.chunks])
-
-
-def _per_record(table: pa.Table, scalar: str, field: str) -> np.ndarray:
-    """A record's scalar for each of its rows."""
-    counts = np.concatenate([c.value_lengths().to_numpy(zero_copy_only=False) for c in table[field].chunks])
-    return np.repeat(table[scalar].to_numpy(), counts)
+            return cls(*[np.empty(0, kind) for kind in cls.FIELDS.values()])
+        return cls(*[np.concatenate([getattr(p, name) for p in parts]) for name in cls.FIELDS])
+
+    def settle(self) -> np.ndarray:
+        """Which rows an earlier document has, among rows of equal ``a`` and ``b``."""
+        order = np.lexsort((self.doc_id, self.b, self.a))
+        doc = self.doc_id[order]
+        at = group_starts(self.a[order], self.b[order])
+        repeated = np.empty(len(self), bool)
+        repeated[order] = doc > np.repeat(doc[at], np.diff(np.append(at, len(doc))))
+        return repeated
+
+    def spans(self) -> Rows:
+        """The bytes of the windows, joined where they overlap or touch."""
+        if not len(self):
+            return self
+        who = np.stack([self.doc_id, self.mark.astype(np.int64)], axis=1)
+        names, doc = np.unique(who, axis=0, return_inverse=True)
+        doc, low, high = _merged(np.ravel(doc), self.low, self.high.astype(np.int64) + THRESHOLD)
+        return Rows(names[doc, 0], names[doc, 1], low, high)
+
+
+RECORD = (
+    "chunk int, kind tinyint, doc_id array<long>, mark array<int>, low array<int>, high array<int>, "
+    "a array<long>, b array<long>, at array<tinyint>, bytes binary"
+)
+
+
+def _records(
+    rows: Rows, to: np.ndarray, key: str, kind: int, chunk: int | None = None, block: Block | None = None,
+    start: np.ndarray | None = None, at: np.ndarray | None = None,
+) -> list[pa.RecordBatch]:
+    """One record for each value of ``to``. Rows stay in the order of the documents, which compresses well.
+
+    Rows of kind ``SURROUNDED`` carry the bytes of their windows and where in them the anchor is, from
+    which the next task finds ``a`` and ``b`` again.
+    """
+    if not len(rows):
+        return []
+    order = np.argsort(to, kind="stable")
+    to = to[order]
+    first = group_starts(to)
+    counts = np.diff(np.append(first, len(to)))
+    rows = rows.take(order)
+    plain = [lists(getattr(rows, n), counts) for n in ("doc_id", "mark", "low", "high")]
+    none = np.zeros(len(counts), np.int64)
+    hashes = [lists(getattr(rows, n), counts) if kind == WINDOW else lists(rows.a[:0], none) for n in ("a", "b")]
+    if kind == SURROUNDED:
+        size = (rows.high - rows.low).astype(np.int64) + THRESHOLD
+        data = block.data[ranges(start[order], size)]
+        ends = np.append(0, np.cumsum(size))[np.append(first, len(to))]
+        held = [data[i:j].tobytes() for i, j in zip(ends, ends[1:], strict=False)]
+        places = lists(at[order].astype(np.int8), counts)
+    else:
+        held, places = [None] * len(counts), lists(np.empty(0, np.int8), none)
+    columns = {key: pa.array(to[first].astype(np.int32))}
+    if chunk is not None:
+        columns["chunk"] = pa.array(np.full(len(counts), chunk, np.int32))
+    columns |= {"kind": pa.array(np.full(len(counts), kind, np.int8))}
+    columns |= dict(zip(("doc_id", "mark", "low", "high"), plain, strict=True))
+    columns |= {"a": hashes[0], "b": hashes[1], "at": places, "bytes": pa.array(held, pa.binary())}
+    return [pa.RecordBatch.from_pydict(columns)]
+
+
+def _table(batches: list[pa.RecordBatch], *keys: str) -> pa.Table:
+    kinds = {"kind": pa.int8(), "mark": pa.list_(pa.int32()), "low": pa.list_(pa.int32()), "high": pa.list_(pa.int32()),
+             "doc_id": pa.list_(pa.int64()), "a": pa.list_(pa.int64()), "b": pa.list_(pa.int64()),
+             "at": pa.list_(pa.int8()), "bytes": pa.binary()}
+    names = [*keys, "kind", "doc_id", "mark", "low", "high", "a", "b", "at", "bytes"]
+    return pa.Table.from_batches(batches, pa.schema([(n, kinds.get(n, pa.int32())) for n in names]))
+
+
+def _rows(table: pa.Table, kind: int) -> tuple[Rows, np.ndarray, pa.Table]:
+    """The rows of a kind, the chunk of each, and their records."""
+    mine = table.filter(pc.equal(table["kind"], kind))
+    if not mine.num_rows:
+        return Rows.join([]), np.empty(0, np.int64), mine
+    counts = np.concatenate([c.value_lengths().to_numpy(zero_copy_only=False) for c in mine["doc_id"].chunks])
+    chunk = np.repeat(mine["chunk"].to_numpy(), counts)
+    hashes = [flat(mine[n]) if kind == WINDOW else None for n in ("a", "b")]
+    return Rows(*[flat(mine[n]) for n in ("doc_id", "mark", "low", "high")], *hashes), chunk, mine
 
 
 def _merged(doc: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -170,28 +216,18 @@ def _merged(doc: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndar
     return doc[at], low[at], (furthest - base)[np.append(at[1:], len(doc)) - 1]
 
 
-def _settle(rows: Rows) -> tuple[Rows, np.ndarray]:
-    """Rows sorted by (a, b, doc_id), and which of them an earlier document has."""
-    rows = rows.sorted_by("a", "b", "doc_id")
-    if not len(rows):
-        return rows, np.empty(0, bool)
-    at = group_starts(rows.a, rows.b)
-    first = np.repeat(rows.doc_id[at], np.diff(np.append(at, len(rows))))
-    return rows, rows.doc_id > first
-
-
-def _spans(rows: Rows) -> Rows:
-    """Settled rows as merged spans of bytes; ``high`` of a row is the start of its last window."""
-    who = np.stack([rows.doc_id, rows.mark.astype(np.int64)], axis=1)
-    names, doc = np.unique(who, axis=0, return_inverse=True) if len(who) else (who, np.empty(0, np.int64))
-    doc, low, high = _merged(np.ravel(doc), rows.low, rows.high.astype(np.int64) + THRESHOLD)
-    return Rows(doc_id=names[doc, 0], mark=names[doc, 1], low=low, high=high, kind=np.full(len(doc), SETTLED))
+def _windows(rows: Rows, data: np.ndarray, start: np.ndarray) -> tuple[Rows, np.ndarray]:
+    """Every window of the rows, whose first ones are at ``start`` in ``data``, and the row of each."""
+    count = (rows.high - rows.low).astype(np.int64) + 1
+    begin = ranges(start, count)
+    (hashes,) = stretch_hashes(data, begin, begin + THRESHOLD)
+    row = np.repeat(np.arange(len(rows)), count)
+    low = ranges(rows.low.astype(np.int64), count)
+    return Rows(rows.doc_id[row], rows.mark[row], low, low, rows.a[row], hashes), row
 
 
-def remove_repeats(documents: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+def remove_repeats(documents: DataFrame) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` of every document; ``kept`` are its remaining bytes."""
-    if threshold != THRESHOLD:
-        raise ValueError(f"only {THRESHOLD} bytes are supported")
     chunks = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     texts = documents.select(
@@ -204,136 +240,153 @@ def remove_repeats(documents: DataFrame, threshold: int = THRESHOLD) -> DataFram
     def digit(hashes: np.ndarray) -> np.ndarray:
         return (hashes.view(np.uint64) >> np.uint64(33)).astype(np.int64) % chunks
 
+    def short(grams: np.ndarray) -> np.ndarray:
+        """A first digit as its bucket and 32 other bits."""
+        return digit(grams) << 32 | (grams.view(np.uint64) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
     def first_digits(table: pa.Table) -> pa.Table:
-        found = [np.unique(Anchors(block).gram) for block, _, _ in _chunk_blocks(table)]
-        grams = np.unique(np.concatenate(found)) if found else np.empty(0, np.uint64)
-        to = digit(grams)
-        order = np.argsort(to, kind="stable")
-        at = group_starts(to[order])
-        counts = np.diff(np.append(at, len(to)))
+        """The first digits of a chunk for each bucket, and those of them with many surroundings."""
+        grams, around = [], []
+        for block, _, _ in _chunk_blocks(table):
+            anchors = Anchors(block)
+            grams.append(anchors.gram)
+            around.append(anchors.surroundings())
+        if not grams:
+            return pa.table({n: pa.array([], t) for n, t in _DIGITS.items()})
+        grams, around = np.concatenate(grams), np.concatenate(around)
+        order = np.lexsort((around, grams))
+        once = order[group_starts(grams[order], around[order])]
+        grams = grams[once]
+        at = group_starts(grams)
+        many = np.diff(np.append(at, len(grams))) >= MANY
+        keys = short(grams[at])
+        order = np.argsort(keys, kind="stable")
+        keys, many = keys[order], many[order]
+        at = group_starts(keys >> 32)
+        counts = np.diff(np.append(at, len(keys)))
+        bits = lists((keys & 0xFFFFFFFF).astype(np.uint32).view(np.int32), counts)
+        flags = lists((keys[many] & 0xFFFFFFFF).astype(np.uint32).view(np.int32), np.add.reduceat(many, at, dtype=np.int64))
         chunk = pa.array(np.full(len(at), table["chunk"][0].as_py(), np.int32))
-        return pa.table({"bucket": pa.array(to[order][at].astype(np.int32)), "chunk": chunk,
-                         "a": lists(grams.view(np.int64)[order], counts)})
+        return pa.table({"bucket": pa.array((keys[at] >> 32).astype(np.int32)), "chunk": chunk, "digits": bits, "many": flags})
 
     def shared_digits(table: pa.Table) -> pa.Table:
-        """First digits that several chunks have, back to each of these chunks."""
-        grams, chunk = _flat(table["a"]), _per_record(table, "chunk", "a")
-        order = np.argsort(grams, kind="stable")
-        grams, chunk = grams[order], chunk[order]
-        at = group_starts(grams)
-        shared = np.repeat(np.diff(np.append(at, len(grams))) > 1, np.diff(np.append(at, len(grams))))
-        grams, chunk = grams[shared], chunk[shared]
+        """First digits that several chunks have, back to each of these chunks, and which of them are frequent."""
+        digits = flat(table["digits"]).view(np.uint32).astype(np.int64) | table["bucket"][0].as_py() << 32
+        many = np.unique(flat(table["many"]).view(np.uint32).astype(np.int64) | table["bucket"][0].as_py() << 32)
+        counts = np.concatenate([c.value_lengths().to_numpy(zero_copy_only=False) for c in table["digits"].chunks])
+        chunk = np.repeat(table["chunk"].to_numpy(), counts)
+        order = np.argsort(digits, kind="stable")
+        digits, chunk = digits[order], chunk[order]
+        at = group_starts(digits)
+        size = np.diff(np.append(at, len(digits)))
+        shared = np.repeat(size > 1, size)
+        digits, chunk = digits[shared], chunk[shared]
         order = np.argsort(chunk, kind="stable")
-        at = group_starts(chunk[order])
+        digits, chunk = digits[order], chunk[order]
+        at = group_starts(chunk)
+        frequent = np.isin(digits, many)
         counts = np.diff(np.append(at, len(chunk)))
-        return pa.table({"chunk": pa.array(chunk[order][at].astype(np.int32)), "a": lists(grams[order], counts)})
+        flags = lists(digits[frequent], np.add.reduceat(frequent, at, dtype=np.int64) if len(at) else counts)
+        return pa.table({"chunk": pa.array(chunk[at].astype(np.int32)), "digits": lists(digits, counts), "many": flags})
 
-    def second_digits(table: pa.Table, replies: pa.Table) -> pa.Table:
-        shared = np.sort(_flat(replies["a"])).view(np.int64) if replies.num_rows else np.empty(0, np.int64)
-        parts = []
+    def later_digits(table: pa.Table, replies: pa.Table) -> pa.Table:
+        """Settles what repeats within the chunk; passes on surroundings, or windows of frequent first digits."""
+        shared, many = (np.sort(flat(replies[c])) if replies.num_rows else np.empty(0, np.int64) for c in ("digits", "many"))
+        held, parts = [], []
         for block, ids, marks in _chunk_blocks(table):
             anchors = Anchors(block)
             offset = block.starts[anchors.text]
-            parts.append(
-                Rows(a=anchors.gram, b=anchors.surroundings(), doc_id=ids[anchors.text], mark=marks[anchors.text],
-                     low=anchors.low - offset, high=anchors.high - offset)
-            )
-        rows = Rows.join(parts).sorted_by("a", "doc_id")
+            own = Rows(ids[anchors.text], marks[anchors.text], anchors.low - offset, anchors.high - offset,
+                       anchors.gram, anchors.surroundings())
+            held.append((block, anchors.low, anchors.place - anchors.low))
+            parts.append(own)
+        rows = Rows.join(parts)
         if not len(rows):
-            return _empty("bucket", "chunk")
-        at = group_starts(rows.a)
-        size = np.diff(np.append(at, len(rows)))
-        ends = np.append(at[1:], len(rows)) - 1
-        grams = rows.a[at]
-        found = np.searchsorted(shared, grams)
-        known = (shared[np.minimum(found, max(len(shared) - 1, 0))] == grams) if len(shared) else np.zeros(len(at), bool)
-        live = known | (rows.doc_id[at] != rows.doc_id[ends])
-        rows, repeated = _settle(rows.take(np.repeat(live, size)))
-        spans = _spans(rows.take(repeated))
-        rows = rows.take(~repeated)
-        # a first digit with different surroundings here is open anyway: its anchors go by the second digit
-        kind = np.full(len(rows), ALONE)
-        hints = rows.take(np.empty(0, np.int64))
+            return _table([], "bucket", "chunk")
+        part = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+        start, at = (np.concatenate([h[k] for h in held]) for k in (1, 2))
+        # shared with other chunks, or by several documents here
+        order = np.lexsort((rows.doc_id, rows.a))
+        first = group_starts(rows.a[order])
+        size = np.diff(np.append(first, len(rows)))
+        doc = rows.doc_id[order]
+        several = np.empty(len(rows), bool)
+        several[order] = np.repeat(doc[first] != doc[first + size - 1], size)
+        keys = short(rows.a)
+        live = np.flatnonzero(several | np.isin(keys, shared))
+        rows, part, start, at, keys = rows.take(live), part[live], start[live], at[live], keys[live]
+        repeated = rows.settle()
+        spans = [rows.take(repeated).spans()]
+        open_ = ~repeated
+        by_window = np.isin(keys, many)
+        chunk = table["chunk"][0].as_py()
+        out = []
+        for k, (block, _, _) in enumerate(held):
+            mine = np.flatnonzero(open_ & ~by_window & (part == k))
+            out += _records(rows.take(mine), digit(rows.a[mine]), "bucket", SURROUNDED, chunk, block, start[mine], at[mine])
+        frequent = []
+        for k, (block, _, _) in enumerate(held):
+            mine = np.flatnonzero(open_ & by_window & (part == k))
+            frequent.append(_windows(rows.take(mine), block.data, start[mine])[0])
+        windows = Rows.join(frequent)
+        repeated = windows.settle()
+        spans.append(windows.take(repeated).spans())
+        windows = windows.take(~repeated)
+        out += _records(windows, digit(windows.b), "bucket", WINDOW, chunk)
+        settled = Rows.join(spans)
+        out += _records(settled, np.full(len(settled), chunk), "bucket", SETTLED, chunk)
+        return _table(out, "bucket", "chunk")
+
+    def groups(table: pa.Table) -> pa.Table:
+        """Settles rows of equal digits of all chunks, and sends the spans back to the chunks."""
+        spans, chunk, _ = _rows(table, SETTLED)
+        found, chunks_ = [spans], [chunk]
+        windows, chunk, _ = _rows(table, WINDOW)
+        repeated = windows.settle()
+        found.append(_bytes(windows.take(repeated)))
+        chunks_.append(chunk[repeated])
+        rows, chunk, records = _rows(table, SURROUNDED)
         if len(rows):
-            at = group_starts(rows.a)
-            size = np.diff(np.append(at, len(rows)))
-            several = rows.b[at] != rows.b[np.append(at[1:], len(rows)) - 1]
-            kind[np.repeat(several, size)] = AMONG
-            hints = rows.take(at[several], kind=HINT)
-        rows.columns["kind"] = kind.astype(np.int8)
-        every = Rows.join([rows, hints, spans])
-        to = np.where(every.kind == AMONG, digit(every.b), digit(every.a))
-        to[every.kind == SETTLED] = table["chunk"][0].as_py()
-        return every.dealt(to, "bucket", chunk=table["chunk"][0].as_py())
-
-    def groups(last: bool):
-        def settled(table: pa.Table) -> pa.Table:
-            rows = Rows.of(table)
-            chunk = _per_record(table, "chunk", "a")
-            rows.columns["chunk"] = chunk
-            plain = rows.kind == SETTLED
-            spans, span_chunk = rows.take(plain), chunk[plain]
-            open_, chunk = rows.take(~plain), chunk[~plain]
-            order = np.lexsort((open_.doc_id, open_.b, open_.a))
-            open_, chunk = open_.take(order), chunk[order]
-            if not len(open_):
-                return _back(spans, span_chunk)
-            hint = open_.kind == HINT
-            at = group_starts(open_.a)
-            size = np.diff(np.append(at, len(open_)))
-            differ = np.maximum.reduceat(open_.kind > ALONE, at)
-            differ |= open_.b[at] != open_.b[np.append(at[1:], len(open_)) - 1]
-            differ = np.repeat(differ, size)
-            open_, chunk, differ = open_.take(~hint), chunk[~hint], differ[~hint]
-            _, repeated = _settle(open_)  # in order already
-            found = open_.take(repeated)
-            found = Rows(doc_id=found.doc_id, mark=found.mark, low=found.low,
-                         high=found.high.astype(np.int64) + THRESHOLD, kind=np.full(len(found), SETTLED))
-            parts, chunks_ = [spans, found], [span_chunk, chunk[repeated]]
-            if not last:
-                again = ~repeated & differ
-                parts.append(open_.take(again, kind=AMONG))
-                chunks_.append(chunk[again])
-            return _back(Rows.join(parts), np.concatenate(chunks_))
-
-        return settled
-
-    def _back(rows: Rows, chunk: np.ndarray) -> pa.Table:
-        return rows.dealt(chunk, "chunk") if len(rows) else _empty("chunk")
-
-    def _empty(*scalars: str) -> pa.Table:
-        kinds = {np.int64: pa.int64(), np.int32: pa.int32(), np.int8: pa.int8()}
-        columns = {name: pa.array([], pa.int32()) for name in scalars}
-        return pa.table(columns | {n: pa.array([], pa.list_(kinds[k])) for n, k in Rows.FIELDS.items()})
-
-    def third_digits(table: pa.Table, replies: pa.Table) -> pa.Table:
-        rows = Rows.of(replies)
-        spans, rows = rows.take(rows.kind == SETTLED), rows.take(rows.kind != SETTLED)
+            data = np.frombuffer(b"".join(records["bytes"].to_pylist()), np.uint8)
+            size = (rows.high - rows.low).astype(np.int64) + THRESHOLD
+            start = np.cumsum(size) - size
+            at = flat(records["at"]).astype(np.int64)
+            rows.a = _gram_hashes(data)[start + at].view(np.int64)
+            (around,) = stretch_hashes(data, start, start + size)
+            rows.b = mix(around + at.astype(np.uint64)).view(np.int64)
+            repeated = rows.settle()
+            found.append(_bytes(rows.take(repeated)))
+            chunks_.append(chunk[repeated])
+            # where surroundings differ, window by window, in slices of whole first digits
+            order = np.flatnonzero(~repeated)
+            order = order[np.argsort(rows.a[order], kind="stable")]
+            first = group_starts(rows.a[order])
+            size = np.diff(np.append(first, len(order)))
+            differ = np.minimum.reduceat(rows.b[order], first) != np.maximum.reduceat(rows.b[order], first) if len(order) else size
+            order = order[np.repeat(differ.astype(bool), size)]
+            first = group_starts(rows.a[order])
+            total = np.cumsum((rows.high - rows.low)[order].astype(np.int64) + 1)
+            cuts = np.unique(first[np.searchsorted(total[first], np.arange(0, total[-1] if len(total) else 0, _SLICE))
+                                   .clip(max=len(first) - 1)]) if len(order) else first
+            for i, j in zip(cuts, np.append(cuts[1:], len(order)), strict=True):
+                mine = order[i:j]
+                windows, row = _windows(rows.take(mine), data, start[mine])
+                repeated = windows.settle()
+                found.append(_bytes(windows.take(repeated)))
+                chunks_.append(chunk[mine][row[repeated]])
+        chunk = np.concatenate(chunks_)
+        every = Rows.join(found)
         parts = []
-        for block, ids, marks in _chunk_blocks(table) if len(rows) else ():
-            text, row = _matched(ids, marks, rows)
-            mine = rows.take(row)
-            count = (mine.high - mine.low + 1).astype(np.int64)
-            low = ranges(mine.low.astype(np.int64), count)
-            start = low + np.repeat(block.starts[text], count)
-            (hashes,) = stretch_hashes(block.data, start, start + THRESHOLD)
-            which = np.repeat(np.arange(len(mine)), count)
-            parts.append(Rows(a=mine.a[which], b=hashes, doc_id=mine.doc_id[which], mark=mine.mark[which],
-                              low=low, high=low, kind=np.full(len(low), ALONE)))
-        windows, repeated = _settle(Rows.join(parts))
-        done = _spans(windows.take(repeated))
-        every = Rows.join([windows.take(~repeated), spans, done])
-        if not len(every):
-            return _empty("bucket", "chunk")
-        to = digit(every.b)
-        to[every.kind == SETTLED] = replies["chunk"][0].as_py()
-        return every.dealt(to, "bucket", chunk=replies["chunk"][0].as_py())
+        for k in np.unique(chunk):
+            mine = every.take(chunk == k)
+            mine.high = mine.high - THRESHOLD
+            parts.append((k, mine.spans()))
+        to = np.repeat([k for k, _ in parts], [len(p) for _, p in parts])
+        return _table(_records(Rows.join([p for _, p in parts]), to, "chunk", SETTLED), "chunk")
 
     def cut(table: pa.Table, replies: pa.Table) -> pa.Table:
-        rows = Rows.of(replies)
+        rows = _rows(replies, SETTLED)[0]
         out: list[list] = [[] for _ in _NAMES]
-        if table.num_rows == 0:
-            return pa.table({n: pa.array([], t) for n, t in zip(_NAMES, _TYPES, strict=True)})
         for batch in table.combine_chunks().to_batches():
             ids = batch["doc_id"].fill_null(0).to_numpy(zero_copy_only=False)
             nameless = batch["doc_id"].is_null().to_numpy(zero_copy_only=False)
@@ -358,17 +411,20 @@ def remove_repeats(documents: DataFrame, threshold: int = THRESHOLD) -> DataFram
         return pa.table({n: pa.array(c, t) for n, t, c in zip(_NAMES, _TYPES, out, strict=True)})
 
     by_chunk = texts.groupBy("chunk")
-    to_groups = "bucket int, chunk int, " + Rows.TYPES
-    from_groups = "chunk int, " + Rows.TYPES
-    firsts = by_chunk.applyInArrow(first_digits, "bucket int, chunk int, a array<long>")
-    shared = firsts.groupBy("bucket").applyInArrow(shared_digits, "chunk int, a array<long>")
-    seconds = by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(second_digits, to_groups)
-    open_ = seconds.groupBy("bucket").applyInArrow(groups(last=False), from_groups)
-    thirds = by_chunk.cogroup(open_.groupBy("chunk")).applyInArrow(third_digits, to_groups)
-    spans = thirds.groupBy("bucket").applyInArrow(groups(last=True), from_groups)
+    lists_ = "digits array<{}>, many array<{}>"
+    firsts = by_chunk.applyInArrow(first_digits, "bucket int, chunk int, " + lists_.format("int", "int"))
+    shared = firsts.groupBy("bucket").applyInArrow(shared_digits, "chunk int, " + lists_.format("long", "long"))
+    later = by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(later_digits, "bucket int, " + RECORD)
+    spans = later.groupBy("bucket").applyInArrow(groups, RECORD)
     return by_chunk.cogroup(spans.groupBy("chunk")).applyInArrow(cut, SCHEMA)
 
 
+def _bytes(rows: Rows) -> Rows:
+    """Windows as the bytes that they cover."""
+    return Rows(rows.doc_id, rows.mark, rows.low, rows.high.astype(np.int64) + THRESHOLD)
+
+
+_DIGITS = {"bucket": pa.int32(), "chunk": pa.int32(), "digits": pa.list_(pa.int32()), "many": pa.list_(pa.int32())}
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 _NAMES = [field.split()[0] for field in SCHEMA.split(", ")]
 _TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
