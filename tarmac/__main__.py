@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import sys
+from functools import partial
 
 from pyspark.sql import SparkSession
 
@@ -11,18 +12,22 @@ from tarmac.contract import FLIGHTS
 from tarmac.operators.clean import project_cast
 from tarmac.operators.words import count_directory
 from tarmac.plans import replay, training
-from tarmac.session import build_session
+from tarmac.session import build_session, delete_written
 from tarmac.sources import files, streams
 from tarmac.streaming import scoring
 
-ESTIMATORS = {"forest": training.forest, "logistic": training.logistic}
+ESTIMATORS = {
+    "forest": lambda args: partial(training.forest, max_bins=args.max_bins),
+    "logistic": lambda args: training.logistic,
+}
 
 
 def _train(spark: SparkSession, args: argparse.Namespace) -> None:
-    typed = project_cast(files.read_csv(spark, args.data), keep=(args.key,) if args.key else ())
+    records = files.read_csv(spark, args.data, max_columns=args.max_columns)
+    typed = project_cast(records, keep=(args.key,) if args.key else ())
     trained = training.train(
         typed,
-        ESTIMATORS[args.estimator],
+        ESTIMATORS[args.estimator](args),
         sample=args.sample,
         split=args.split,
         key=args.key,
@@ -32,34 +37,55 @@ def _train(spark: SparkSession, args: argparse.Namespace) -> None:
     training.save_pipeline(trained.pipeline, args.model)
     if args.vocabularies:
         training.save_vocabularies(trained.vocabulary, args.vocabularies)
+    if args.classifier:
+        training.save_model(trained.model, args.classifier)
     if args.preview:
-        trained.train.printSchema()
-        trained.train.show(args.preview)
+        encoded = trained.pipeline.transform(trained.train.limit(args.preview))
+        encoded = encoded.select(*trained.train.columns, *FLIGHTS.indexes, FLIGHTS.vector)
+        encoded.printSchema()
+        encoded.show(args.preview, truncate=False)
     print(f"accuracy {trained.metrics['accuracy']} on {trained.metrics['n']} held-out rows")
 
 
+def _topic(args: argparse.Namespace, name: str) -> streams.Topic:
+    return streams.Topic(args.servers, name, tuple(tuple(o.split("=", 1)) for o in args.kafka_option))
+
+
 def _open_lines(spark: SparkSession, args: argparse.Namespace):
     if args.servers:
-        topic = streams.Topic(args.servers, args.topic)
-        return streams.stream_topic(spark, topic, starting=args.starting, max_records=args.max_records)
+        return streams.stream_topic(
+            spark,
+            _topic(args, args.topic),
+            starting=args.starting,
+            max_records=args.max_records,
+            min_partitions=args.min_partitions,
+            group_prefix=args.group_prefix,
+        )
     return streams.stream_text(spark, args.lines, args.max_files)
 
 
 def _score(spark: SparkSession, args: argparse.Namespace) -> None:
-    model = training.load_pipeline(args.model)
+    if args.model:
+        model = training.load_pipeline(args.model)
+    else:
+        model = training.pipeline_of(args.vocabularies, args.classifier)
     routed = scoring.route(_open_lines(spark, args), FLIGHTS, args.require_label)
     handle = scoring.score_routed(
-        model, scoring.write_batch(args.out), scoring.write_batch(args.dead), args.show
-    )
+        model, scoring.write_batch(args.out), scoring.write_batch(args.dead), args.show,
+        publish=partial(streams.publish, topic=_topic(args, args.to_topic)) if args.to_topic else None,
+    )
     scoring.each_batch(routed, handle, args.checkpoint, None if args.once else args.seconds).awaitTermination()
 
 
 def _replay(spark: SparkSession, args: argparse.Namespace) -> None:
-    replay.stage(files.scan_lines(spark, args.data), args.staged, args.lines_per_file)
-    lines = streams.stream_text(spark, args.staged, args.files_per_interval)
+    if args.staged:
+        stored = files.scan_lines(spark, args.data)
+        lines = replay.replay(stored, args.staged, args.lines_per_file, args.files_per_interval)
+    else:
+        lines = files.stream_lines(spark, args.data, args.files_per_interval)
     seconds = None if args.once else args.seconds
     if args.servers:
-        query = streams.to_topic(lines, streams.Topic(args.servers, args.topic), args.checkpoint, seconds)
+        query = streams.to_topic(lines, _topic(args, args.topic), args.checkpoint, seconds)
     else:
         query = streams.to_files(lines, args.out, args.checkpoint, seconds, fmt="text")
     query.awaitTermination()
@@ -84,11 +110,20 @@ def parser() -> argparse.ArgumentParser:
     train.add_argument("--key", help="column that decides sample and split; default is a random draw")
     train.add_argument("--seed", type=int, default=42)
     train.add_argument("--vocabulary-from", choices=("all", "train"), default="all")
-    train.add_argument("--preview", type=int, default=0, help="print the schema and this many training rows")
+    train.add_argument("--preview", type=int, default=0, help="print the schema and this many encoded training rows")
+    train.add_argument("--classifier", help="also save the classifier alone here, for use with --vocabularies")
+    train.add_argument("--max-bins", type=int, default=training.MAX_BINS, help="forest bins, raised to the vocabulary")
+    train.add_argument("--max-columns", type=int, default=files.MAX_COLUMNS, help="most fields of a CSV line")
     train.set_defaults(run=_train)
 
     score = jobs.add_parser("score", help="score a stream of CSV lines with a saved pipeline")
-    score.add_argument("--model", required=True)
+    saved = score.add_mutually_exclusive_group(required=True)
+    saved.add_argument("--model", help="a saved pipeline")
+    saved.add_argument("--vocabularies", help="separately saved vocabularies, with --classifier")
+    score.add_argument("--classifier", help="a classifier saved alone")
+    score.add_argument("--to-topic", help="also publish each prediction as JSON to this topic of --servers")
+    score.add_argument("--min-partitions", type=int, help="least read tasks per micro-batch of a topic")
+    score.add_argument("--group-prefix", help="prefix of the consumer group ids")
     score.add_argument("--out", required=True, help="folder for the predictions")
     score.add_argument("--dead", required=True, help="folder for lines that cannot be scored")
     score.add_argument("--checkpoint", required=True)
@@ -97,8 +132,9 @@ def parser() -> argparse.ArgumentParser:
     source.add_argument("--lines", help="folder of text files, instead of a topic")
     score.add_argument("--topic", default="planes")
     score.add_argument("--starting", default="latest")
-    score.add_argument("--max-records", type=int, help="records per micro-batch")
-    score.add_argument("--max-files", type=int, help="files per micro-batch")
+    # a micro-batch is held while it is scored, so a backlog is taken in portions; nothing is left out
+    score.add_argument("--max-records", type=int, default=10_000_000, help="records per micro-batch of a topic")
+    score.add_argument("--max-files", type=int, default=1000, help="files per micro-batch of a folder")
     score.add_argument("--seconds", type=float, default=30, help="micro-batch interval")
     score.add_argument("--once", action="store_true", help="score what there is and stop")
     score.add_argument("--require-label", action="store_true", help="reject lines without a label")
@@ -107,7 +143,7 @@ def parser() -> argparse.ArgumentParser:
 
     again = jobs.add_parser("replay", help="publish a stored CSV as a paced stream of lines")
     again.add_argument("--data", required=True)
-    again.add_argument("--staged", required=True, help="folder for the cut lines")
+    again.add_argument("--staged", help="folder for lines cut to --lines-per-file; default is to read the CSV as it is")
     again.add_argument("--checkpoint", required=True)
     target = again.add_mutually_exclusive_group(required=True)
     target.add_argument("--servers", help="Kafka bootstrap servers")
@@ -119,6 +155,9 @@ def parser() -> argparse.ArgumentParser:
     again.add_argument("--once", action="store_true", help="publish everything without pauses and stop")
     again.set_defaults(run=_replay)
 
+    for job in (score, again):
+        job.add_argument("--kafka-option", action="append", default=[], help="client setting as key=value, repeatable")
+
     words = jobs.add_parser("words", help="count the words of a folder of text files")
     words.add_argument("source")
     words.add_argument("target")
@@ -128,7 +167,11 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
-    args.run(build_session(f"tarmac {args.job}", args.master), args)
+    spark = build_session(f"tarmac {args.job}", args.master)
+    try:
+        args.run(spark, args)
+    finally:
+        delete_written(spark)
     return 0
 
 

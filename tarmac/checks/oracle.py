@@ -101,12 +101,14 @@ ORACLE = {
         + " FROM encoded"
     ),
     "parse_lines": _query(f"SELECT FLIGHT_ID, {COLUMNS} FROM typed"),
+    "parse_wide_lines": _query(f"SELECT FLIGHT_ID, {COLUMNS} FROM typed"),
     "split_fields": _query(f"SELECT string_split(value, ',')[2] AS FLIGHT_ID, {FIELD_TEXTS} FROM flights_lines"),
     "sample_bernoulli_check": _query(
         "SELECT count(*) AS n_source, CAST(0 AS BIGINT) AS n_foreign, "
         "CAST(0 AS BIGINT) AS n_repeated, TRUE AS share_holds FROM clean"
     ),
     "sample_hash": _query(f"SELECT FLIGHT_ID, {COLUMNS} FROM sampled"),
+    "sample_hash_nulls": "SELECT CAST(f AS DOUBLE) AS fraction, TRUE AS share_holds FROM (VALUES (0.1), (0.5), (0.9)) AS t(f)",
     "split_hash": _query("SELECT FLIGHT_ID, part FROM parts"),
     "split_random_cover": _query("SELECT FLIGHT_ID, CAST(1 AS BIGINT) AS n_parts FROM clean"),
     "row_count": _query("SELECT count(*) AS n FROM clean"),
@@ -125,7 +127,9 @@ ORACLE = {
     "word_count": _query("SELECT word, n FROM words ORDER BY word"),
     "word_count_files": _query("SELECT word, n FROM words ORDER BY word"),
     "model_roundtrip": _query("SELECT FLIGHT_ID, TRUE AS same_prediction FROM parts WHERE part = 'test'"),
-    "rf_quality": _query(QUALITY.format(claim="beats_majority")),
+    "rf_quality": _query(QUALITY.format(claim="nearly_always_right")),
+    "rf_predict_bounds": _query("SELECT FLIGHT_ID, TRUE AS sound FROM parts WHERE part = 'test'"),
+    "stream_score_bounds": _query("SELECT FLIGHT_ID, TRUE AS sound FROM scorable"),
     "lr_quality": _query(QUALITY.format(claim="beats_constant")),
     "stream_parse_filter": _query(f"SELECT FLIGHT_ID, {COLUMNS} FROM clean"),
     "stream_foreach_batch": _query(f"SELECT FLIGHT_ID, {COLUMNS} FROM scorable"),

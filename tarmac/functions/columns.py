@@ -16,10 +16,11 @@ def lenient(column: Column, type_name: str) -> Column:
 
 
 def usable(name: str, type_name: str) -> Column:
-    """True where a value can enter a feature vector: not null and not NaN."""
+    """True where a value can enter a feature vector: not null, not NaN and not infinite."""
     present = F.col(name).isNotNull()
     if type_name in ("double", "float"):
-        return present & ~F.isnan(name)
+        infinity = F.lit(float("inf")).cast(type_name)  # NaN is the largest value of all
+        return present & (F.col(name) < infinity) & (F.col(name) > -infinity)
     return present
 
 
@@ -31,14 +32,12 @@ def all_usable(columns: Iterable[tuple[str, str]]) -> Column:
 
 
 def bucket_of_integer(key: Column, multiplier: int, offset: int, modulus: int) -> Column:
-    """Bucket of an integer key in ``[0, modulus)`` by a linear congruence.
+    """Bucket of an integer key of any width in ``[0, modulus)`` by a linear congruence; null for a null key.
 
-    The key is reduced first, so that large keys cannot overflow; the residue is
-    the same. A null key goes to bucket 0 instead of vanishing from every part.
+    The key is reduced first, so that large keys cannot overflow; the residue is the same.
     """
-    reduced = F.pmod(key, F.lit(modulus))
-    bucket = F.pmod(reduced * multiplier + offset, F.lit(modulus))
-    return F.coalesce(bucket, F.lit(0))
+    reduced = F.pmod(key.cast("bigint"), F.lit(modulus))
+    return F.pmod(reduced * multiplier + offset, F.lit(modulus))
 
 
 def bucket_of_row(columns: Iterable[Column], seed: int, modulus: int) -> Column:

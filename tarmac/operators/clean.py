@@ -7,14 +7,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tarmac.contract import FLIGHTS, Contract
 from tarmac.functions.columns import all_usable, lenient, usable
 
-# The CSV parser behind from_csv refuses a line with more columns than this.
-PARSER_COLUMN_LIMIT = 20_480
+# The CSV parser behind from_csv refuses a line with more columns than this. Such a
+# line is cut behind the fields in use; the rest would be ignored anyway.
+PARSER_COLUMNS = 20_480
 
 
 def project_cast(df: DataFrame, contract: Contract = FLIGHTS, keep: tuple[str, ...] = ()) -> DataFrame:
-    """The contract's columns, typed from text; ``keep`` names extra columns to carry along."""
+    """The contract's columns, typed from text; ``keep`` names further columns to carry along."""
     typed = [lenient(F.col(f.name), f.type).alias(f.name) for f in contract.fields]
-    return df.select(*keep, *typed)
+    extra = [name for name in keep if name not in contract.columns]
+    return df.select(*[F.col(f"`{name}`") for name in extra], *typed)
 
 
 def drop_any_null(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -36,8 +38,18 @@ def drop_columns(df: DataFrame, columns: list[str]) -> DataFrame:
 def _line_struct(value: Column, contract: Contract) -> Column:
     schema = ", ".join(f"`{c}` STRING" for c in contract.line_columns)
     commas = F.length(value) - F.length(F.replace(value, F.lit(","), F.lit("")))
-    fits = (F.length(value) < PARSER_COLUMN_LIMIT) | (commas < PARSER_COLUMN_LIMIT)
-    return F.when(fits, F.from_csv(value, schema, {"mode": "PERMISSIVE"}))
+    fits = (F.length(value) < PARSER_COLUMNS) | (commas < PARSER_COLUMNS)
+    held = F.when(fits, value).otherwise(first_fields(value, contract.line_width))
+    return F.from_csv(held, schema, {"mode": "PERMISSIVE"})
+
+
+def first_fields(value: Column, n: int) -> Column:
+    """A line up to its field ``n``. Commas within quotes do not end a field; a quote without an end is text.
+
+    The quantifiers are possessive: a field of any length is passed over once, without a stack.
+    """
+    field = r'(?:"[^"\\]*+(?:\\.[^"\\]*+)*+"[^,]*+|[^,]*+)'
+    return F.regexp_extract(value, f"(?s)^{field}(?:,{field}){{0,{n - 1}}}+", 0)
 
 
 def parse_lines(

@@ -11,8 +11,10 @@ from tarmac.contract import FLIGHTS, Contract
 from tarmac.operators.vocabulary import MAX_SMALL_LABELS, Vocabulary, count_labels
 from tarmac.session import materialize
 
-# A label with more than this share of the rows is kept out of a shuffle by label.
-HOT_SHARE = 0.001
+# A label with more rows than this part of an even shuffle partition is kept out of
+# the shuffle by label, if it is short enough to be broadcast with its like.
+HOT_PER_PARTITION = 4
+HOT_BYTES = 1024
 
 
 def encode(df: DataFrame, *indexers: StringIndexerModel) -> DataFrame:
@@ -40,20 +42,18 @@ def encode_join(
     move; past that the rows are shuffled by label, hot labels apart. ``unseen`` is
     ``keep`` (unseen and null labels get the number of labels) or ``error``.
 
-    With a shuffled vocabulary ``df`` is read three times, for its hot labels, for
-    the rows that stay and for those that move: give it a stored table then.
-    Streams can use broadcast vocabularies only.
+    With a shuffled vocabulary ``df`` is read twice, to count its labels and to
+    encode it; all lookups are one plan without a copy in between. A stream is not
+    counted: its hot labels stay in the shuffle, where only null labels are spread.
     """
     large = [c for c in contract.categorical if not vocabulary.sizes[c].small(max_labels)]
-    hot = _hot_labels(df, vocabulary, large) if large else None
+    hot = _hot_labels(df, vocabulary, large) if large and not df.isStreaming else None
     for column, output in contract.index_columns.items():
         labels = vocabulary.of(column).select("label", F.col("idx").alias(output))
         if column not in large:
             df = _attach(df, F.broadcast(labels), column, output)
         else:
-            # The shuffled form reads its input twice; do not let that multiply.
-            source = df if column == large[0] else materialize(df, "encoded")
-            df = _attach_shuffled(source, labels, hot, column, output)
+            df = _attach_shuffled(df, labels, hot, column, output)
         df = df.withColumn(output, _resolve(F.col(output), column, unseen, vocabulary.sizes[column].labels))
     return df
 
@@ -64,30 +64,43 @@ def _attach(df: DataFrame, labels: DataFrame, column: str, output: str) -> DataF
 
 
 def _hot_labels(df: DataFrame, vocabulary: Vocabulary, columns: list[str]) -> DataFrame:
-    """``field, label, idx`` of the labels, seen or unseen, that exceed the hot share of ``df``.
+    """``field, label, idx`` of the labels, seen or unseen, with more rows than a share of one shuffle partition.
 
-    There are at most ``1 / HOT_SHARE`` of them per column, whatever the data.
+    At most ``HOT_PER_PARTITION`` labels per shuffle partition and column, none longer than ``HOT_BYTES``.
     """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = materialize(count_labels(df, columns), "row-labels")
     totals = counts.groupBy("field").agg(F.sum("n").alias("total"))
-    hot = counts.join(F.broadcast(totals), "field").where(F.col("n") > F.col("total") * HOT_SHARE)
+    frequent = F.col("n") * (HOT_PER_PARTITION * partitions) > F.col("total")
+    hot = counts.join(F.broadcast(totals), "field").where(frequent & (F.octet_length("label") <= HOT_BYTES))
     hot = materialize(hot.select("field", "label"), "hot-labels")
     seen = vocabulary.table.join(F.broadcast(hot), ["field", "label"]).select("field", "label", "idx")
     return materialize(hot.join(seen, ["field", "label"], "left"), "hot-indexes")
 
 
-def _attach_shuffled(df: DataFrame, labels: DataFrame, hot: DataFrame, column: str, output: str) -> DataFrame:
+def _attach_shuffled(df: DataFrame, labels: DataFrame, hot: DataFrame | None, column: str, output: str) -> DataFrame:
     """Left lookup against a vocabulary too large to broadcast, safe for any label skew.
 
-    Hot labels are looked up by broadcast and null labels need no lookup. Every
-    label left for the shuffle has at most the hot share of the rows.
+    Hot labels are looked up by broadcast and null labels need no lookup. Such rows
+    take part in the shuffled join under a hash of the row, which scatters them, and
+    a flag that no label has, so they meet nothing there.
     """
-    lookup = hot.where(F.col("field") == column).select(F.col("label").alias("_hot"), F.col("idx").alias(output))
-    probed = df.join(F.broadcast(lookup), F.col(column) == F.col("_hot"), "left")
-    settled = F.col("_hot").isNotNull() | F.col(column).isNull()
-    stay = probed.where(settled).select(*df.columns, output)
-    move = probed.where(~settled).select(*df.columns)
-    return stay.unionByName(_attach(move, labels, column, output))
+    columns = df.columns
+    settled = F.col(column).isNull()
+    if hot is not None:
+        lookup = hot.where(F.col("field") == column).select(F.col("label").alias("_hot"), F.col("idx").alias("_hot_idx"))
+        df = df.join(F.broadcast(lookup), F.col(column) == F.col("_hot"), "left")
+        settled = settled | F.col("_hot").isNotNull()
+    scattered = F.xxhash64(*[F.col(f"`{c}`") for c in columns]).cast("string")
+    probing = df.withColumns(
+        {"_key": F.when(settled, scattered).otherwise(F.col(column)), "_looks_up": ~settled}
+    )
+    labels = labels.select(F.col("label").alias("_label"), F.lit(True).alias("_is_label"), output)
+    matched = (F.col("_key") == F.col("_label")) & (F.col("_looks_up") == F.col("_is_label"))
+    # the engine must not broadcast a table that may outgrow memory, whatever its estimate says
+    joined = probing.join(labels.hint("merge"), matched, "left")
+    index = F.col(output) if hot is None else F.coalesce("_hot_idx", output)
+    return joined.select(*[F.col(f"`{c}`") for c in columns], index.alias(output))
 
 
 def assembler(contract: Contract = FLIGHTS) -> VectorAssembler:

@@ -32,12 +32,16 @@ def split_random(df: DataFrame, fraction: float, seed: int | None = None) -> tup
 
 
 def _bucket(df: DataFrame, key: str | None, rule: tuple[int, int, int], seed: int) -> Column:
+    """By the key; rows without one are spread by the whole row, so that they fall into all parts."""
     multiplier, offset, modulus = rule
+    by_row = bucket_of_row([F.col(c) for c in df.columns], seed, modulus)
     if key is None:
-        return bucket_of_row([F.col(c) for c in df.columns], seed, modulus)
+        return by_row
     if dict(df.dtypes)[key] in ("tinyint", "smallint", "int", "bigint"):
-        return bucket_of_integer(F.col(key), multiplier, offset, modulus)
-    return bucket_of_row([F.col(key)], seed, modulus)
+        by_key = bucket_of_integer(F.col(key), multiplier, offset, modulus)
+    else:
+        by_key = bucket_of_row([F.col(key)], seed, modulus)
+    return F.when(F.col(key).isNull(), by_row).otherwise(by_key)
 
 
 def threshold(fraction: float, modulus: int) -> int:

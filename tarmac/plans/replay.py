@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from tarmac.session import is_complete
 from tarmac.sources.streams import stream_text
 
 
@@ -11,12 +12,18 @@ def stage(lines: DataFrame, path: str, lines_per_file: int) -> None:
     """Write the lines into files of at most ``lines_per_file``, without a shuffle.
 
     Each task cuts its own lines, in order, so staging scales with the table's
-    splits and the pace below is set by the number of files per interval.
+    splits and the pace below is set by the number of files per interval. What an
+    earlier, unfinished staging left is replaced.
     """
-    lines.select("value").write.option("maxRecordsPerFile", lines_per_file).text(path)
+    writer = lines.select("value").write.mode("overwrite")
+    writer.option("maxRecordsPerFile", lines_per_file).text(path)
 
 
 def replay(lines: DataFrame, path: str, lines_per_file: int, files_per_trigger: int) -> DataFrame:
-    """Stage lines and open them as a stream of ``files_per_trigger`` files per micro-batch."""
-    stage(lines, path, lines_per_file)
+    """A stream of ``files_per_trigger`` staged files per micro-batch; the lines are staged unless they were before.
+
+    So a replay that is started again on the same folders goes on where its checkpoint says.
+    """
+    if not is_complete(lines.sparkSession, path):
+        stage(lines, path, lines_per_file)
     return stream_text(lines.sparkSession, path, files_per_trigger)

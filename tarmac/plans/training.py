@@ -6,36 +6,35 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StringIndexerModel
+from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from tarmac.contract import FLIGHTS, Contract
 from tarmac.operators.clean import drop_any_null
-from tarmac.operators.encoding import assemble, assembler, encode
+from tarmac.operators.encoding import assemble, assembler, encode, encode_join
 from tarmac.operators.evaluate import accuracy
 from tarmac.operators.sampling import sample_bernoulli, sample_hash, split_hash
-from tarmac.operators.vocabulary import Vocabulary, VocabularyTooLarge, fit_vocabulary, to_indexers
+from tarmac.operators.vocabulary import MAX_SMALL_LABELS, Vocabulary, fit_vocabulary, measure, to_indexers
 from tarmac.session import materialize, spread
 
 # Fixed value: bins per feature of the forest, raised where a vocabulary needs more.
 MAX_BINS = 343
-# The forest looks for split points in about the square of its bins, per feature
-# in one task, so the bins must not follow the vocabulary without end.
-MOST_BINS = 4096
 
 EstimatorFactory = Callable[[Contract, Vocabulary, int], Estimator]
 
 
 def forest(contract: Contract, vocabulary: Vocabulary, seed: int, max_bins: int = MAX_BINS) -> Estimator:
-    """Random forest. A categorical feature needs a bin per label, and one for unseen labels."""
+    """Random forest. A categorical feature needs a bin per label, and one for unseen labels.
+
+    The search for split points collects about the square of the bins of a feature in one
+    task, so past some thousand labels a logistic regression is the cheaper model.
+    """
     bins = max(max_bins, vocabulary.largest() + 1)
-    if bins > max(max_bins, MOST_BINS):
-        raise VocabularyTooLarge(f"a forest needs a bin for each of {bins - 1} labels; train a logistic regression")
-    return RandomForestClassifier(
-        labelCol=contract.label, featuresCol=contract.vector, maxBins=bins, seed=seed
-    )
+    return RandomForestClassifier(labelCol=contract.label, featuresCol=contract.vector, maxBins=bins, seed=seed)
 
 
 def logistic(contract: Contract, vocabulary: Vocabulary, seed: int) -> Estimator:
@@ -43,11 +42,25 @@ def logistic(contract: Contract, vocabulary: Vocabulary, seed: int) -> Estimator
     return LogisticRegression(labelCol=contract.label, featuresCol=contract.vector)
 
 
+@dataclass(frozen=True)
+class LookupPipeline:
+    """A pipeline whose vocabularies are a table instead of lists on the driver, for any number of labels."""
+
+    vocabulary: Vocabulary
+    model: Model
+    contract: Contract = FLIGHTS
+    max_labels: int = MAX_SMALL_LABELS
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        encoded = encode_join(rows, self.vocabulary, self.contract, max_labels=self.max_labels)
+        return self.model.transform(assemble(encoded, self.contract))
+
+
 @dataclass(frozen=True)
 class Trained:
     """``pipeline`` takes typed rows to predictions; ``train`` and ``test`` are the parts, typed."""
 
-    pipeline: PipelineModel
+    pipeline: PipelineModel | LookupPipeline
     vocabulary: Vocabulary
     train: DataFrame
     test: DataFrame
@@ -59,7 +72,7 @@ class Trained:
 
     @property
     def model(self) -> Model:
-        return self.pipeline.stages[-1]
+        return self.pipeline.model if isinstance(self.pipeline, LookupPipeline) else self.pipeline.stages[-1]
 
     def predictions(self) -> DataFrame:
         return self.pipeline.transform(self.test)
@@ -74,6 +87,7 @@ def train(
     key: str | None = None,
     seed: int = 42,
     vocabulary_from: str = "all",
+    max_labels: int = MAX_SMALL_LABELS,
 ) -> Trained:
     """Clean, sample, index, split, fit and evaluate; ``typed`` is read once.
 
@@ -81,7 +95,8 @@ def train(
     the same rows when it is computed again, and the kept rows need no storage.
     Without one they are drawn at random, and the drawn rows are written as a
     table, because a random draw must not be repeated. ``vocabulary_from`` is
-    ``all`` sampled rows or the ``train`` part only.
+    ``all`` sampled rows or the ``train`` part only. A vocabulary with more than
+    ``max_labels`` labels, or too many bytes for the driver, is looked up as a table.
     """
     rows = drop_any_null(typed, contract.columns)
     if key is None:
@@ -89,16 +104,21 @@ def train(
         rows = spread(materialize(draw(rows, sample, split, seed), "drawn"))
         parts = rows.where("_first").drop("_first"), rows.where("NOT _first").drop("_first")
     else:
-        kept = [sample_hash(rows, sample, key).persist(StorageLevel.MEMORY_AND_DISK)]
-        kept.append(spread(kept[0]).persist(StorageLevel.MEMORY_AND_DISK))
-        rows = kept[-1]
+        rows = spread(sample_hash(rows, sample, key)).persist(StorageLevel.MEMORY_AND_DISK)
+        kept = [rows]
         parts = split_hash(rows, split, key)
     try:
         vocabulary = fit_vocabulary({"all": rows, "train": parts[0]}[vocabulary_from], contract=contract)
-        indexers = to_indexers(vocabulary, contract, "error")
-        encoded = assemble(encode(parts[0], *indexers), contract)
-        model = estimator(contract, vocabulary, seed).fit(encoded)
-        pipeline = scoring_pipeline([i.copy().setHandleInvalid("keep") for i in indexers], model, contract)
+        if all(vocabulary.sizes[c].small(max_labels) for c in contract.categorical):
+            indexers = to_indexers(vocabulary, contract, "error")
+            encoded = assemble(encode(parts[0], *indexers), contract)
+            model = estimator(contract, vocabulary, seed).fit(encoded)
+            pipeline = scoring_pipeline([i.copy().setHandleInvalid("keep") for i in indexers], model, contract)
+        else:
+            encoded = encode_join(parts[0], vocabulary, contract, unseen="error", max_labels=max_labels)
+            encoded = materialize(encoded.select(contract.label, *contract.features), "encoded")
+            model = estimator(contract, vocabulary, seed).fit(assemble(encoded, contract))
+            pipeline = LookupPipeline(vocabulary, model, contract, max_labels)
         metrics = accuracy(pipeline.transform(parts[1]), contract.label).first()
     finally:
         for frame in kept:
@@ -116,12 +136,22 @@ def scoring_pipeline(indexers: list[StringIndexerModel], model: Model, contract:
     return PipelineModel(stages=[*indexers, assembler(contract), model])
 
 
-def save_pipeline(pipeline: PipelineModel, path: str) -> None:
-    pipeline.write().overwrite().save(path)
+def save_pipeline(pipeline: PipelineModel | LookupPipeline, path: str) -> None:
+    if isinstance(pipeline, LookupPipeline):
+        save_vocabulary_table(pipeline.vocabulary, f"{path}/vocabulary")
+        save_model(pipeline.model, f"{path}/classifier")
+    else:
+        pipeline.write().overwrite().save(path)
 
 
-def load_pipeline(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_pipeline(path: str, contract: Contract = FLIGHTS) -> PipelineModel | LookupPipeline:
+    """A pipeline saved in either form."""
+    spark = SparkSession.active()
+    try:
+        table = load_vocabulary_table(spark, f"{path}/vocabulary")
+    except AnalysisException:  # no such folder
+        return PipelineModel.load(path)
+    return LookupPipeline(Vocabulary(table, measure(table, contract.categorical)), load_model(f"{path}/classifier"), contract)
 
 
 def save_model(model: Model, path: str) -> None:
@@ -129,6 +159,16 @@ def save_model(model: Model, path: str) -> None:
     model.write().overwrite().save(path)
 
 
+def load_model(path: str) -> Model:
+    """A classifier saved alone, of the class that its metadata name."""
+    return DefaultParamsReader.loadParamsInstance(path, SparkSession.active())
+
+
+def pipeline_of(vocabularies: str, classifier: str, contract: Contract = FLIGHTS) -> PipelineModel:
+    """Separately saved indexers and classifier as one pipeline."""
+    return scoring_pipeline(load_vocabularies(vocabularies, contract), load_model(classifier), contract)
+
+
 def save_vocabularies(vocabulary: Vocabulary, path: str, contract: Contract = FLIGHTS) -> None:
     """One single-column indexer per categorical column, each in a folder of its column's name."""
     for indexer in to_indexers(vocabulary, contract):

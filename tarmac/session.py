@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
+_WRITTEN: set[str] = set()  # folders of this process below the shared folder
+
 # Runtime re-planning carries the skew handling of shuffled lookups, and a
 # bounded number of open writers lets a partitioned sink skip its local sort.
 SETTINGS = {
@@ -42,12 +45,35 @@ def shared_folder(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tarmac-"))
         folder = spark.sparkContext.getCheckpointDir()
+    if folder.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        warnings.warn(f"spark.checkpoint.dir is {folder}: all executors must mount it as one shared folder", stacklevel=2)
     return folder.rstrip("/")
 
 
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
     """A path under the shared folder that nothing has used before."""
-    return f"{shared_folder(spark)}/tarmac-{purpose}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/tarmac-{purpose}-{uuid.uuid4().hex}"
+    _WRITTEN.add(path)
+    return path
+
+
+def _located(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it takes it."""
+    located = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return located.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), located
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write to this folder has run to its end: the writer marks that with a file of its own."""
+    system, marker = _located(spark, f"{path.rstrip('/')}/_SUCCESS")
+    return system.exists(marker)
+
+
+def delete_written(spark: SparkSession) -> None:
+    """Delete what this process has written below the shared folder, once no frame refers to it any more."""
+    while _WRITTEN:
+        system, path = _located(spark, _WRITTEN.pop())
+        system.delete(path, True)
 
 
 def materialize(df: DataFrame, purpose: str) -> DataFrame:

@@ -5,16 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+# A line of a CSV may have so many fields; the parser sets aside a few bytes for each.
+MAX_COLUMNS = 1_000_000
+
+# No line holds this text, so that a CSV reader with it as its separator reads whole lines.
+_NO_SEPARATOR = "\x01\x02\x01"
+
+
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, max_columns: int = MAX_COLUMNS
+) -> DataFrame:
     """A headered CSV with every column a string.
 
-    Without a schema the names come from the header, which costs one small job. With
-    one, the header is checked against it instead of being trusted by position.
+    Without a schema the names come from the first header, which costs one small job. The
+    header of every file is checked against the names: a file with its columns in another
+    order fails the job instead of being read by position. ``max_columns`` is the most
+    fields of a line; a line with more fails the job, so raise it for wider ones.
     """
-    reader = spark.read.option("header", True)
-    if schema is not None:
-        reader = reader.schema(schema).option("enforceSchema", False)
-    return reader.csv(path)
+    reader = spark.read.option("header", True).option("maxColumns", max_columns)
+    if schema is None:
+        schema = reader.csv(path).schema
+    return reader.schema(schema).option("enforceSchema", False).csv(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -22,20 +33,21 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.option("header", True).option("emptyValue", "").csv(path)
 
 
-def header_of(spark: SparkSession, path: str) -> str | None:
-    """The first line of the files at ``path``, which are assumed to share it."""
-    first = spark.read.text(path).where("_metadata.file_block_start = 0").first()
-    return first["value"] if first else None
+def scan_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The raw lines at ``path`` without the first line of each file, whatever it says; empty lines are left out."""
+    return _whole_lines(spark.read).csv(path)
 
 
-def scan_lines(spark: SparkSession, path: str) -> DataFrame:
-    """The raw lines at ``path`` without the header line that opens each file."""
-    lines = spark.read.text(path)
-    header = header_of(spark, path)
-    if header is None:
-        return lines
-    opens_file = (F.col("_metadata.file_block_start") == 0) & (F.col("value") == header)
-    return lines.where(~opens_file)
+def stream_lines(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+    """``scan_lines`` as a stream of the files that are or appear at ``path``."""
+    reader = _whole_lines(spark.readStream)
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.csv(path)
+
+
+def _whole_lines(reader):
+    return reader.schema("value string").option("header", True).option("sep", _NO_SEPARATOR).option("quote", "")
 
 
 def to_lines(df: DataFrame) -> DataFrame:

@@ -16,6 +16,11 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 class Topic:
     servers: str
     name: str
+    client: tuple[tuple[str, str], ...] = ()  # further client settings, such as those of a secured broker
+
+    def _client(self) -> dict[str, str]:
+        settings = {k if k.startswith("kafka.") else f"kafka.{k}": v for k, v in self.client}
+        return {**settings, "kafka.bootstrap.servers": self.servers}
 
     def read_options(
         self,
@@ -26,7 +31,7 @@ class Topic:
     ) -> dict[str, str]:
         """Offsets live in the query's checkpoint; ``starting`` counts for its first run only."""
         options = {
-            "kafka.bootstrap.servers": self.servers,
+            **self._client(),
             "subscribe": self.name,
             "startingOffsets": starting,
         }
@@ -39,7 +44,7 @@ class Topic:
         return options
 
     def write_options(self) -> dict[str, str]:
-        return {"kafka.bootstrap.servers": self.servers, "topic": self.name}
+        return {**self._client(), "topic": self.name}
 
 
 def stream_topic(spark: SparkSession, topic: Topic, **limits) -> DataFrame:

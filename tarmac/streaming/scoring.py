@@ -107,11 +107,13 @@ def score_routed(
     scored: Callable[[DataFrame, int], None],
     dead: Callable[[DataFrame, int], None],
     show: int = 0,
+    publish: Callable[[DataFrame], None] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """A callback for batches of ``route``: predictions of the good rows, and the dead ones.
 
     The batch is held by ``each_batch``, so both outputs cost one read of the source.
     ``show`` prints that many good rows of every batch, and their predictions.
+    ``publish`` gets the predictions as records; a repeated batch is published again.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -119,6 +121,8 @@ def score_routed(
         predictions = flatten_vectors(score(good, model))
         scored(predictions, batch_id)
         dead(batch.where(F.col("route") == "dead").select("value", "missing"), batch_id)
+        if publish:
+            publish(to_records(predictions))
         if show:
             good.show(show)
             predictions.show(show)

@@ -130,3 +130,35 @@ def test_parser_and_plain_split_agree_without_quotes(spark, lines):
     parsed = [tuple(r) for r in parse_lines(df, every).collect()]
     cut = [tuple(v or None for v in r) for r in split_fields(df, every).collect()]
     assert parsed == cut == [tuple((f + [""] * 26)[i] or None for i in range(26)) for f in lines]
+
+
+@pytest.mark.parametrize("tail", ['"' + "," * 21_000 + '"', "," * 21_000, '"' + "x" * 1_000_000 + '"' + "," * 21_000])
+def test_wide_lines_are_read(spark, tail):
+    """A quoted field with many commas, very many fields, and a field of a megabyte before them."""
+    line = ",".join(str(i) for i in range(26))
+    df = spark.createDataFrame([(f"{line},{tail}",), (line,)], "value string")
+    first, second = parse_lines(df).collect()
+    assert first == second and first["MONTH"] == 0 and first["AWND"] == 25.0
+
+
+def test_wide_fields_among_those_in_use(spark):
+    fields = [str(i) for i in range(26)]
+    fields[8] = '"' + "a," * 21_000 + '\\"z"'
+    row = parse_lines(spark.createDataFrame([(",".join(fields) + "," * 21_000,)], "value string")).first()
+    assert row["CARRIER_NAME"] == "a," * 21_000 + '"z' and row["AWND"] == 25.0
+
+
+def test_an_infinite_number_is_missing(spark):
+    fields = [str(i) for i in range(26)]
+    for text in ("Infinity", "-Infinity", "1e999", "NaN"):
+        fields[25] = text
+        rows = parse_lines(spark.createDataFrame([(",".join(fields),)], "value string"))
+        assert drop_any_null(rows).count() == 0
+        assert with_validity(rows).first()["missing"] == "AWND"
+
+
+def test_a_key_may_be_a_column_of_the_contract(spark, sf):
+    from tarmac.checks.fixtures import flights_raw
+
+    typed = project_cast(flights_raw(spark, sf), keep=("MONTH", "FLIGHT_ID"))
+    assert typed.columns == ["FLIGHT_ID", *FLIGHTS.columns]

@@ -116,6 +116,23 @@ def test_shuffled_lookup_with_hot_labels(spark):
     assert shuffled.count() == 9000
 
 
+def test_shuffled_lookup_is_shuffled_and_copies_nothing(flights, partial, plan):
+    text = plan(encode_join(materialize(flights, "test"), partial, max_labels=0))
+    assert text.count("SortMergeJoin") == 4 and "Union" not in text
+
+
+def test_lookup_on_a_stream(spark, typed, partial, tmp_path):
+    """Large vocabularies too, with hot and null labels."""
+    inputs = typed.select("FLIGHT_ID", *FLIGHTS.inputs)
+    inputs.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(inputs.schema).parquet(str(tmp_path / "in"))
+    encoded = encode_join(stream, partial, max_labels=0)
+    writer = encoded.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp"))
+    writer.option("path", str(tmp_path / "out")).trigger(availableNow=True).start().awaitTermination()
+    found = spark.read.schema(encoded.schema).parquet(str(tmp_path / "out"))
+    assert rows_of(found) == rows_of(encode_join(inputs, partial))
+
+
 def test_broadcast_lookup_does_not_move_the_rows(flights, vocabulary, plan):
     text = plan(encode_join(materialize(flights, "test"), vocabulary))
     assert text.count("BroadcastHashJoin") == 4 and "SortMergeJoin" not in text

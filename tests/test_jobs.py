@@ -1,4 +1,5 @@
 import re
+from pathlib import Path
 
 import pytest
 
@@ -38,6 +39,12 @@ def test_train_replay_score(spark, sf, home, data, capsys):
         spark, "replay", "--data", data, "--staged", home / "staged", "--out", home / "topic",
         "--checkpoint", home / "replay-cp", "--lines-per-file", 200, "--files-per-interval", 3, "--once",
     )
+    again = sorted(spark.read.text(str(home / "topic")).inputFiles())
+    run(
+        spark, "replay", "--data", data, "--staged", home / "staged", "--out", home / "topic",
+        "--checkpoint", home / "replay-cp", "--lines-per-file", 200, "--files-per-interval", 3, "--once",
+    )
+    assert sorted(spark.read.text(str(home / "topic")).inputFiles()) == again
     lines = spark.read.text(str(home / "topic"))
     assert sorted(lines.collect()) == sorted(flights_lines(spark, sf).collect())
 
@@ -53,6 +60,43 @@ def test_train_replay_score(spark, sf, home, data, capsys):
     assert spark.read.parquet(str(home / "dead")).count() == typed.count() - good.count()
 
 
+def test_replay_without_staging(spark, sf, home, data):
+    run(
+        spark, "replay", "--data", data, "--out", home / "direct", "--checkpoint", home / "direct-cp",
+        "--files-per-interval", 1, "--once",
+    )
+    lines = spark.read.text(str(home / "direct"))
+    assert sorted(lines.collect()) == sorted(flights_lines(spark, sf).collect())
+
+
+def test_score_with_separate_parts(spark, home, data, capsys):
+    run(
+        spark, "train", "--data", data, "--model", home / "model2", "--vocabularies", home / "indexers2",
+        "--classifier", home / "classifier2", "--estimator", "logistic", "--key", "MONTH", "--sample", 1, "--max-bins", 400,
+    )
+    for name, parts in (("whole", ("--model", home / "model2")),
+                        ("parts", ("--vocabularies", home / "indexers2", "--classifier", home / "classifier2"))):
+        run(
+            spark, "score", *parts, "--lines", home / "topic", "--out", home / name, "--dead", home / f"{name}-dead",
+            "--checkpoint", home / f"{name}-cp", "--once", "--max-files", 2,
+        )
+    columns = [*FLIGHTS.inputs, "prediction", "probability"]
+    whole, parts = (sorted(map(repr, spark.read.parquet(str(home / n)).select(*columns).collect())) for n in ("whole", "parts"))
+    assert whole == parts and whole
+
+
+def test_what_a_job_wrote_is_deleted(spark, monkeypatch):
+    from tarmac import session
+    from tarmac.session import delete_written, materialize, shared_folder
+
+    monkeypatch.setattr(session, "_WRITTEN", set())  # that of this test only
+    table = materialize(spark.range(5), "test-of-deletion")
+    path = table.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert path.startswith(shared_folder(spark).removeprefix("file:")) and Path(path).exists()
+    delete_written(spark)
+    assert not Path(path).exists()
+
+
 def test_a_label_can_be_required(spark, sf, home):
     run(
         spark, "score", "--model", home / "model", "--lines", home / "topic", "--out", home / "labelled",

@@ -53,6 +53,17 @@ def test_rows_with_a_null_key_stay(spark):
         assert first.count() + second.count() == 3
 
 
+@pytest.mark.parametrize("kind", ["tinyint", "smallint", "int", "bigint", "string"])
+def test_keys_of_any_type_and_null_keys_keep_their_share(spark, kind):
+    df = spark.range(20_000).selectExpr("id", f"CAST(IF(id % 2 = 0, NULL, id % 120) AS {kind}) AS key")
+    for fraction in (0.1, 0.5, 0.9):
+        kept = sample_hash(df.where("key IS NULL"), fraction, "key").count()
+        assert abs(kept / 10_000 - fraction) < 0.02
+    first, second = split_hash(df, 0.7, "key")
+    assert first.count() + second.count() == 20_000
+    assert abs(first.where("key IS NULL").count() / 10_000 - 0.7) < 0.02
+
+
 def test_no_sort_and_no_shuffle(spark, sf, plan):
     orders = drop_any_null(spark.read.parquet(f"{sf}/orders.parquet"))
     for key in ("o_orderkey", None):

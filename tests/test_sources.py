@@ -4,7 +4,7 @@ import pytest
 
 from tarmac.checks.fixtures import flights_raw
 from tarmac.session import fresh_folder, materialize, shared_folder, spread
-from tarmac.sources.files import header_of, read_csv, scan_lines, to_lines, write_csv
+from tarmac.sources.files import read_csv, scan_lines, stream_lines, to_lines, write_csv
 
 
 @pytest.fixture
@@ -33,10 +33,32 @@ def test_csv_reads_only_the_columns_asked_for(spark, csv, plan):
 def test_lines_skip_one_header_per_file(spark, tmp_path):
     for name, body in (("a", "1,2\n3,4\n"), ("b", "5,6\n"), ("c", "")):
         (tmp_path / f"{name}.csv").write_text("X,Y\n" + body)
-    assert header_of(spark, str(tmp_path)) == "X,Y"
     assert sorted(r[0] for r in scan_lines(spark, str(tmp_path)).collect()) == ["1,2", "3,4", "5,6"]
 
 
+def test_lines_skip_the_first_line_whatever_it_says(spark, tmp_path):
+    """Headers that differ between files go; a later line that equals a header stays; quotes stay as they are."""
+    (tmp_path / "a.csv").write_text('X,Y\n1,"a, ""b"""\nX,Y\n')
+    (tmp_path / "b.csv").write_text("x,y\n3,4\\\n")
+    expected = sorted(['1,"a, ""b"""', "X,Y", "3,4\\"])
+    assert sorted(r[0] for r in scan_lines(spark, str(tmp_path)).collect()) == expected
+    query = stream_lines(spark, str(tmp_path), 1).writeStream.format("memory").queryName("streamed_lines")
+    query.trigger(availableNow=True).start().awaitTermination()
+    assert sorted(r[0] for r in spark.table("streamed_lines").collect()) == expected
+
+
+def test_reordered_header_fails(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("A,B\n1,2\n")
+    (tmp_path / "b.csv").write_text("B,A\n2,1\n")
+    with pytest.raises(Exception, match="CSV header|FAILED_READ_FILE"):
+        read_csv(spark, str(tmp_path)).collect()
+
+
+def test_csv_with_a_very_wide_line(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("A,B\n1,2" + "," * 21_000 + "\n3,4\n")
+    assert sorted(tuple(r) for r in read_csv(spark, str(tmp_path)).collect()) == [("1", "2"), ("3", "4")]
+
+
 def test_lines_of_an_empty_file(spark, tmp_path):
     (tmp_path / "a.csv").write_text("")
     assert scan_lines(spark, str(tmp_path)).count() == 0

@@ -6,18 +6,9 @@ from pyspark.sql import functions as F
 from tarmac.contract import FLIGHTS
 from tarmac.operators.clean import drop_any_null
 from tarmac.operators.evaluate import accuracy, preview_top, row_count
-from tarmac.operators.vocabulary import Size, Vocabulary, VocabularyTooLarge
+from tarmac.operators.vocabulary import Size, Vocabulary
 from tarmac.plans.training import (
-    draw,
-    forest,
-    load_pipeline,
-    load_vocabularies,
-    logistic,
-    save_model,
-    save_pipeline,
-    save_vocabularies,
-    scoring_pipeline,
-    train,
+    LookupPipeline, draw, forest, load_pipeline, load_vocabularies, logistic, save_model, save_pipeline, save_vocabularies, scoring_pipeline, train,
 )
 
 
@@ -82,8 +73,7 @@ def test_bins_grow_with_the_vocabulary(trained):
     assert forest(FLIGHTS, trained.vocabulary, 1).getMaxBins() == 343
     assert forest(FLIGHTS, trained.vocabulary, 1, max_bins=2).getMaxBins() == trained.vocabulary.largest() + 1
     huge = Vocabulary(trained.vocabulary.table, {"DEP_BLOCK": Size(100_000, 1_000_000)})
-    with pytest.raises(VocabularyTooLarge, match="100000 labels"):
-        forest(FLIGHTS, huge, 1)
+    assert forest(FLIGHTS, huge, 1).getMaxBins() == 100_001
     assert logistic(FLIGHTS, huge, 1).getFeaturesCol() == FLIGHTS.vector
 
 
@@ -100,6 +90,39 @@ def test_logistic_regression(typed):
     assert result.metrics["n"] == result.test.count()
 
 
+def test_vocabulary_past_the_driver(spark, typed, tmp_path):
+    """A vocabulary that is looked up as a table gives the model that indexers give, and it is saved and loaded."""
+    small = train(typed, logistic, sample=1.0, key="FLIGHT_ID")
+    large = train(typed, logistic, sample=1.0, key="FLIGHT_ID", max_labels=0)
+    assert isinstance(large.pipeline, LookupPipeline) and large.metrics == small.metrics
+    expected = predictions(small.predictions())  # sums of floats come in another order
+    for key, (label, chances) in predictions(large.predictions()).items():
+        assert label == expected[key][0] and list(chances) == pytest.approx(list(expected[key][1]))
+    save_pipeline(large.pipeline, str(tmp_path / "large"))
+    loaded = load_pipeline(str(tmp_path / "large"))
+    assert isinstance(loaded, LookupPipeline)
+    assert predictions(loaded.transform(large.test)) == predictions(large.predictions())
+    save_pipeline(small.pipeline, str(tmp_path / "small"))
+    assert predictions(load_pipeline(str(tmp_path / "small")).transform(small.test)) == predictions(small.predictions())
+
+
+def test_forest_of_many_labels(typed):
+    """More labels than the forest once allowed."""
+    many = typed.withColumn("PREVIOUS_AIRPORT", F.concat(F.lit("x"), F.col("FLIGHT_ID") * 10 % 5003))
+    rows = many.unionByName(many.withColumn("PREVIOUS_AIRPORT", F.concat("PREVIOUS_AIRPORT", F.lit("y"))))
+    rows = rows.unionByName(rows.withColumn("PREVIOUS_AIRPORT", F.concat("PREVIOUS_AIRPORT", F.lit("z"))))
+    copies = F.explode(F.array(*[F.lit(i) for i in range(5)]))  # a forest has no more bins than rows
+    rows = rows.select("*", copies.alias("copy")).drop("copy")
+    result = train(rows, forest, sample=1.0, key="FLIGHT_ID")
+    assert result.vocabulary.largest() > 4096 and result.metrics["n"] > 0
+
+
+def test_infinite_numbers_are_missing(typed):
+    spoiled = typed.withColumn("AWND", F.when(F.col("FLIGHT_ID") % 40 == 0, F.lit(float("inf"))).otherwise(F.col("AWND")))
+    result = train(spoiled, logistic, sample=1.0, key="FLIGHT_ID")
+    assert result.train.where("FLIGHT_ID % 40 = 0").count() == 0
+
+
 def test_nothing_stays_in_memory(spark, typed):
     before = spark.sparkContext._jsc.getPersistentRDDs().size()
     train(typed, logistic, sample=0.3, key="FLIGHT_ID")
