@@ -43,7 +43,8 @@ MANY = 64
 
 SURROUNDED, WINDOW, SETTLED = range(3)  # kinds of records between the passes
 
-_SLICE = 1 << 18  # windows that a task tells apart at a time
+_SLICE = 1 << 17  # windows that a task tells apart at a time
+_ROWS = 1 << 14  # surroundings that a task hashes at a time
 
 
 def _gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -104,10 +105,9 @@ class Rows:
     FIELDS = {"doc_id": np.int64, "mark": np.int32, "low": np.int32, "high": np.int32, "a": np.int64, "b": np.int64}
 
     def __init__(self, doc_id: np.ndarray, mark: np.ndarray, low: np.ndarray, high: np.ndarray, a=None, b=None):
-        none = np.zeros(len(doc_id), np.int64)
         self.doc_id, self.mark = doc_id.astype(np.int64), mark.astype(np.int32)
         self.low, self.high = low.astype(np.int32), high.astype(np.int32)
-        self.a, self.b = (none if x is None else x.view(np.int64) for x in (a, b))
+        self.a, self.b = (np.zeros(len(doc_id), np.int64) if x is None else x.view(np.int64) for x in (a, b))
 
     def __len__(self) -> int:
         return len(self.doc_id)
@@ -226,6 +226,17 @@ def _windows(rows: Rows, data: np.ndarray, start: np.ndarray) -> tuple[Rows, np.
     return Rows(rows.doc_id[row], rows.mark[row], low, low, rows.a[row], hashes), row
 
 
+def _slices(starts: np.ndarray, weights: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of whole groups that weigh at most ``most``; a heavier group is a range of its own."""
+    bounds = np.append(starts, len(weights)).astype(np.int64)
+    before = np.append(0, np.cumsum(weights))[bounds]
+    k = 0
+    while k < len(starts):
+        upto = max(k + 1, int(np.searchsorted(before, before[k] + most, side="right")) - 1)
+        yield int(bounds[k]), int(bounds[upto])
+        k = upto
+
+
 def remove_repeats(documents: DataFrame) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` of every document; ``kept`` are its remaining bytes."""
     chunks = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -351,9 +362,13 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
             size = (rows.high - rows.low).astype(np.int64) + THRESHOLD
             start = np.cumsum(size) - size
             at = flat(records["at"]).astype(np.int64)
-            rows.a = _gram_hashes(data)[start + at].view(np.int64)
-            (around,) = stretch_hashes(data, start, start + size)
-            rows.b = mix(around + at.astype(np.uint64)).view(np.int64)
+            for i in range(0, len(rows), _ROWS):  # the kernels need several times the memory of their bytes
+                mine = slice(i, i + _ROWS)
+                own = data[start[i] : start[mine][-1] + size[mine][-1]]
+                begin = start[mine] - start[i]
+                rows.a[mine] = _gram_hashes(own)[begin + at[mine]].view(np.int64)
+                (around,) = stretch_hashes(own, begin, begin + size[mine])
+                rows.b[mine] = mix(around + at[mine].astype(np.uint64)).view(np.int64)
             repeated = rows.settle()
             found.append(_bytes(rows.take(repeated)))
             chunks_.append(chunk[repeated])
@@ -365,12 +380,11 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
             differ = np.minimum.reduceat(rows.b[order], first) != np.maximum.reduceat(rows.b[order], first) if len(order) else size
             order = order[np.repeat(differ.astype(bool), size)]
             first = group_starts(rows.a[order])
-            total = np.cumsum((rows.high - rows.low)[order].astype(np.int64) + 1)
-            cuts = np.unique(first[np.searchsorted(total[first], np.arange(0, total[-1] if len(total) else 0, _SLICE))
-                                   .clip(max=len(first) - 1)]) if len(order) else first
-            for i, j in zip(cuts, np.append(cuts[1:], len(order)), strict=True):
+            for i, j in _slices(first, (rows.high - rows.low)[order].astype(np.int64) + 1, _SLICE):
                 mine = order[i:j]
-                windows, row = _windows(rows.take(mine), data, start[mine])
+                length = (rows.high - rows.low)[mine].astype(np.int64) + THRESHOLD
+                own = data[ranges(start[mine], length)]
+                windows, row = _windows(rows.take(mine), own, np.cumsum(length) - length)
                 repeated = windows.settle()
                 found.append(_bytes(windows.take(repeated)))
                 chunks_.append(chunk[mine][row[repeated]])

@@ -88,6 +88,15 @@ def test_substrings_of_few_letters(make):
     assert result(substring_dedup.digest(make(rows))) == substrings_expected(rows)
 
 
+def test_substrings_window_by_window(make, monkeypatch):
+    """With the limits lowered, passages with many surroundings go window by window, in many slices."""
+    for name, value in (("MANY", 2), ("_SLICE", 64), ("_ROWS", 8)):
+        monkeypatch.setattr(substring_dedup, name, value)
+    passage = "a passage that many of the documents share, with some of its surroundings " * 2
+    rows = [(i, f"{i * 7919 % 101} {'q' * (i % 7)}{passage[i % 3 :]}{'z' * (i % 5)} {i * 104729 % 97} tail") for i in range(40)]
+    assert result(substring_dedup.digest(make(rows))) == substrings_expected(rows)
+
+
 def test_groups_of_odd_rows(odd, odd_rows):
     assert result(ngram_join.near_duplicate_groups(odd)) == groups_expected(odd_rows)
 
