@@ -88,6 +88,29 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Shared tables of one computation, deleted together when it ends and its result is stored elsewhere."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def table(self, df: DataFrame, purpose: str) -> DataFrame:
+        """As ``materialize``."""
+        path = fresh_folder(self.spark, purpose)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for name in self.paths:
+            system, path = _located(self.spark, name)
+            system.delete(path, True)
+            _WRITTEN.discard(name)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give every core a share of a scan, or a kept frame, that has too few splits for them.
 
