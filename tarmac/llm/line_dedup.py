@@ -12,7 +12,8 @@ the band of diagonals, for all pairs of a batch at once.
 
 Only whether some earlier line is near matters. So of the lines that share a segment each meets its
 predecessor and the earliest in a first round, and in later rounds those up to 16, 256, ... places before
-it, as long as it is not gone yet: a large family of lines costs a few pairs for each member.
+it, as long as it is not gone yet. Pairs whose code point counts differ by more than the edits can change
+are not formed, which clears families of lines that share most of their text but are not near.
 
 Null and empty texts have one empty line, which stays. Rows with the same id and text are judged as one;
 rows with a null id keep all lines and take none away. Extra columns are kept.
@@ -26,16 +27,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tarmac.llm.bits import bit_table, likely
 from tarmac.llm.buffers import Block, blocks, flat, group_starts, lists, mix, stretch_hashes
-from tarmac.session import materialize
+from tarmac.session import Scratch, materialize
 
 EDITS = 2
 LEAST = 20
 LEAST_NEAR = 32
 
-_WORDS_LOG2 = 20  # of the bit table that spares most lines a shuffle; 64 bits each
-
-
 class Lines:
     """Lines of a block with at least ``LEAST`` code points: text, number in the text, and extent in code points."""
 
@@ -147,6 +146,37 @@ def edit_distances(left: list[str], right: list[str], most: int = EDITS) -> np.n
     return result
 
 
+COUNTERS = 16
+
+
+def point_counts(contents: list[str]) -> np.ndarray:
+    """How many code points of every line fall into each of 16 classes, modulo 16, as four bits each.
+
+    An edit changes the counts by two in sum at most, so near lines have near counts.
+    """
+    size = np.array([len(c) for c in contents], np.int64)
+    points = np.frombuffer("".join(contents).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    line = np.repeat(np.arange(len(size)), size)
+    kind = (mix(points) & np.uint64(COUNTERS - 1)).astype(np.int64)
+    counts = np.bincount(line * COUNTERS + kind, minlength=len(size) * COUNTERS).reshape(-1, COUNTERS)
+    shifts = np.arange(COUNTERS, dtype=np.uint64) * np.uint64(4)
+    return ((counts % 16).astype(np.uint64) << shifts).sum(axis=1, dtype=np.uint64).view(np.int64)
+
+
+def _classes(counts: np.ndarray) -> np.ndarray:
+    """The counts as one row of small numbers for each class."""
+    return np.stack([(counts >> shift & 15).astype(np.uint8) for shift in range(0, 64, 4)])
+
+
+def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The least by which the counts behind two sets of columns can differ, in sum over the classes."""
+    total = np.zeros(np.broadcast_shapes(x[0].shape, y[0].shape), np.uint8)
+    for a, b in zip(x, y, strict=True):
+        d = (a - b) & 15
+        total += np.minimum(d, 16 - d)
+    return total
+
+
 def _named(documents: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return documents.where("doc_id is not null").select(
@@ -224,71 +254,79 @@ def meetings(documents: DataFrame) -> DataFrame:
     return met.applyInArrow(shared, "bucket int, meets long, a long, probes boolean")
 
 
-def _bit_table(keys: DataFrame) -> np.ndarray:
-    """A table of 2**26 bits in which the keys' bits are set: at most 2**20 words reach the driver."""
-    word = F.shiftrightunsigned(F.col("a"), 64 - _WORDS_LOG2)
-    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(a, {58 - _WORDS_LOG2}) & 63 as int))")
-    rows = keys.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
-    table = np.zeros(1 << _WORDS_LOG2, np.int64)
-    table[rows["word"].to_numpy()] = rows["bits"].to_numpy()
-    return table.view(np.uint64)
-
-
 def met_lines(documents: DataFrame, met: DataFrame) -> DataFrame:
-    """``a, place, content`` of the lines that met others: where each stands first, and what it is."""
+    """``a, place, content, counts`` of the lines that met others: where each stands first, and what it is."""
     keys = met.select("a").distinct()
-    table = _bit_table(keys)
+    table = bit_table(keys.withColumnRenamed("a", "h"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch["text"]):
                 found = Lines(block)
                 a = found.keys()[0]
-                at = a.view(np.uint64)
-                bits = table[(at >> np.uint64(64 - _WORDS_LOG2)).astype(np.int64)]
-                likely = np.flatnonzero((bits >> ((at >> np.uint64(58 - _WORDS_LOG2)) & np.uint64(63))) & np.uint64(1))
-                row = pa.array(found.text[likely] + block.first)
+                some = likely(table, a)
+                row = pa.array(found.text[some] + block.first)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(a[likely]),
+                        pa.array(a[some]),
                         batch["doc_id"].take(row),
                         batch["mark"].take(row),
-                        pa.array(found.number[likely].astype(np.int32)),
-                        pa.array([found.points_of(i) for i in likely], pa.string()),
+                        pa.array(found.number[some].astype(np.int32)),
+                        pa.array([found.points_of(i) for i in some], pa.string()),
                     ],
                     names=["a", "doc_id", "mark", "line", "content"],
                 )
 
     rows = _named(documents).mapInArrow(read, "a long, doc_id long, mark int, line int, content string")
     first = rows.groupBy("a").agg(F.min(F.struct("doc_id", "mark", "line", "content")).alias("first"))
-    place = F.struct("first.doc_id", "first.mark", "first.line").alias("place")
-    return first.join(keys, "a", "left_semi").select("a", place, F.col("first.content").alias("content"))
+    wanted = first.join(keys, "a", "left_semi").select("a", "first.*")
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = pa.array(point_counts(batch["content"].to_pylist()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, counts], names=[*batch.schema.names, "counts"])
+
+    schema = "a long, doc_id long, mark int, line int, content string, counts long"
+    return wanted.mapInArrow(counted, schema)
 
 
 def pairs_within(reach: tuple[int, int], star: bool):
     """For a bucket's rows: pairs of a line that is not gone and an earlier one, ``reach`` places apart."""
 
     def found(table: pa.Table) -> pa.Table:
-        columns = ("meets", "a", "probes", "gone", "doc_id", "mark", "line")
-        meets, a, probes, gone, *place = (table[c].to_numpy() for c in columns)
+        columns = ("meets", "a", "probes", "gone", "counts", "doc_id", "mark", "line")
+        meets, a, probes, gone, counts, *place = (table[c].to_numpy() for c in columns)
         order = np.lexsort((probes, a, *reversed(place), meets))
-        meets, a, probes, gone = meets[order], a[order], probes[order], gone[order]
-        index = np.arange(len(meets))
+        meets, a, probes, gone, counts = (c[order] for c in (meets, a, probes, gone, counts))
+        index, classes = np.arange(len(meets)), _classes(counts)
         earlier, later = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
 
         def add(i: np.ndarray, j: np.ndarray) -> None:
-            fits = (probes[i] != probes[j]) & (a[i] != a[j]) & ~gone[j]
-            earlier.append(a[i][fits])
-            later.append(a[j][fits])
+            fits = np.flatnonzero((probes[i] != probes[j]) & (a[i] != a[j]) & ~gone[j])
+            fits = fits[_apart(classes[:, i[fits]], classes[:, j[fits]]) <= 2 * EDITS]
+            if len(fits):
+                earlier.append(a[i[fits]])
+                later.append(a[j[fits]])
 
         at = group_starts(meets)
         size = np.diff(np.append(at, len(meets)))
-        for d in range(reach[0] + 1, min(reach[1], int(size.max())) + 1):
-            i = index[: len(index) - d]
-            i = i[meets[i] == meets[i + d]]
-            if not len(i):
-                break
-            add(i, i + d)
+        if reach[1] <= 16:
+            for d in range(reach[0] + 1, min(reach[1], int(size.max())) + 1):
+                i = index[: len(index) - d]
+                i = i[meets[i] == meets[i + d]]
+                add(i, i + d)
+        else:  # few groups are as large as that: in each, tiles of rows against rows
+            for first, n in zip(at[size > reach[0]], size[size > reach[0]], strict=True):
+                left = first + np.flatnonzero(~gone[first : first + n])
+                left = left[left > first + reach[0]]
+                for j in np.array_split(left, -(-len(left) // 128)) if len(left) else ():
+                    low, high = max(first, j[0] - reach[1]), j[-1] - reach[0]
+                    for k in range(low, high, 4096):
+                        i = np.arange(k, min(k + 4096, high))
+                        near = _apart(classes[:, i][:, None], classes[:, j][:, :, None]) <= 2 * EDITS
+                        near &= (j[:, None] - i > reach[0]) & (j[:, None] - i <= reach[1])
+                        tile = np.nonzero(near)
+                        add(i[tile[1]], j[tile[0]])
         if star:
             for k in (0, 1):  # the earliest line may stand here as indexed, as probing, or as both
                 head = np.repeat(np.minimum(at + k, at + size - 1), size)
@@ -302,12 +340,18 @@ def pairs_within(reach: tuple[int, int], star: bool):
 def near_repeats(documents: DataFrame) -> DataFrame:
     """``a``: keys of lines that have an earlier line within the edits, other than themselves."""
     spark = documents.sparkSession
-    met = materialize(meetings(documents), "line-meetings")
+    with Scratch(spark) as scratch:
+        met = scratch.table(meetings(documents), "line-meetings")
+        return _near_repeats(documents, met, scratch)
+
+
+def _near_repeats(documents: DataFrame, met: DataFrame, scratch: Scratch) -> DataFrame:
+    spark = documents.sparkSession
     longest = met.groupBy("meets").count().agg(F.max("count")).first()[0] or 0
     gone = spark.createDataFrame([], "a long")
     if not longest:
         return gone
-    lines = materialize(met_lines(documents, met), "met-lines")
+    lines = scratch.table(met_lines(documents, met), "met-lines")
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -321,7 +365,7 @@ def near_repeats(documents: DataFrame) -> DataFrame:
     reach = (0, 1)
     while reach[0] < longest:
         state = lines.join(gone.distinct().withColumn("gone", F.lit(True)), "a", "left")
-        state = state.select("a", "place.*", F.coalesce("gone", F.lit(False)).alias("gone"))
+        state = state.select("a", "doc_id", "mark", "line", "counts", F.coalesce("gone", F.lit(False)).alias("gone"))
         buckets = met.join(state, "a").groupBy("bucket")
         pairs = buckets.applyInArrow(pairs_within(reach, star=reach[0] == 0), "x long, y long").distinct()
         joined = pairs.join(of_x, "x").join(of_y, "y").select("y", "of_x", "of_y")
