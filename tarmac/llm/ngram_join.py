@@ -4,13 +4,15 @@ Two documents link if their sets of five-word shingles agree in at least three q
 they do, then under *any* global order of the tokens they share one among the first quarter of their own.
 So under one order, documents that share such a prefix token meet; a pair that met must then share prefix
 tokens under every further order too; and only what passes all of them is verified on the whole sets.
+Short digests of the sets, which never understate an intersection, spare most pairs the reading of both.
 Tokens that many documents have come last in every order, the others in the order of a hash.
 
 What is wanted are the connected groups, so pairs that already are in one group are not looked at again.
-The documents of a token stand in a row by size; in the first round each meets its neighbour and the
+The documents of a token stand in a row by size; in the first round each meets the one with the row's
 smallest id, and in later ones those up to 16, 256, ... places away that are still in another group. A
 large group of copies thus costs a few pairs for each member, never all pairs, and yet no link between
-different groups is lost. Equal sets are one from the start.
+different groups is lost. Equal sets are one from the start. The sets of what is left to verify are read
+again from the texts, so that only they are shuffled.
 
 Words are runs without white space, A-Z lower-cased; with fewer than five, the whole sequence is the one
 shingle. Documents without words (null and empty texts) have no shingles and stay alone. Rows with the
@@ -20,17 +22,18 @@ Extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tarmac.llm.bits import bit_table, likely
 from tarmac.llm.buffers import (
     LOWER, Block, blocks, flat, group_starts, lists, mix, ranges, shingle_hashes, stretch_hashes, word_spans,
 )
 from tarmac.llm.components import components
-from tarmac.session import fresh_folder, materialize
+from tarmac.session import Scratch, fresh_folder, materialize
 
 WORDS = 5
 PERCENT = 75
@@ -38,8 +41,8 @@ ORDERS = 3
 
 #: So many of the most frequent tokens come last in every order; they are sent to all tasks (16 bytes each).
 #: The number bounds this table only: any set of late tokens gives the same links.
-LATE = 20_000
-_LOCALLY_FREQUENT = 4
+LATE = 100_000
+_LOCALLY_FREQUENT = 3
 
 _U1 = np.uint64(1)
 
@@ -122,7 +125,9 @@ def keys_and_frequent(documents: DataFrame) -> tuple[DataFrame, np.ndarray]:
             for block in blocks(batch["text"]):
                 tokens, counts = shingle_sets(block)
                 a, b = set_keys(tokens, counts)
-                found, often = np.unique(tokens, return_counts=True)
+                once = np.zeros(len(block), bool)
+                once[np.unique(a, return_index=True)[1]] = True  # copies do not make a token frequent
+                found, often = np.unique(tokens[np.repeat(once, counts)], return_counts=True)
                 found, often = found[often >= _LOCALLY_FREQUENT], often[often >= _LOCALLY_FREQUENT]
                 n, m = len(block), len(found)
                 ids = batch["doc_id"].slice(block.first, n)
@@ -149,9 +154,10 @@ def keys_and_frequent(documents: DataFrame) -> tuple[DataFrame, np.ndarray]:
 
 
 def shared_prefixes(documents: DataFrame, orders: Orders) -> DataFrame:
-    """``bucket`` and lists ``token, doc_id, n, place``: prefix tokens (first order) that different sets share.
+    """``bucket, token, doc_id, n, place``: prefix tokens (first order) that several documents share.
 
-    A task passes on equal sets once. A token's rows are all in one bucket's records.
+    A task passes on equal sets once. A token is its bucket and 32 further bits of its hash here: different
+    tokens that agree in these only bring some pairs together that verification then rejects.
     """
     buckets = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -172,9 +178,9 @@ def shared_prefixes(documents: DataFrame, orders: Orders) -> DataFrame:
                 tokens, counts = tokens[np.repeat(new, counts)], counts[new]
                 token, text, place = orders.prefixes(tokens, counts, 0)
                 own = ids[block.first : block.first + len(block)][new]
-                parts.append((token, own[text], counts[text], place, a[new][text]))
+                parts.append((mix(token), own[text], counts[text], place))
                 held += len(token)
-                if held > 1_000_000:
+                if held > 2_000_000:
                     yield from deal(parts)
                     parts, held = [], 0
         yield from deal(parts)
@@ -182,36 +188,31 @@ def shared_prefixes(documents: DataFrame, orders: Orders) -> DataFrame:
     def deal(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
         if not parts:
             return
-        token, doc, n, place, key = (np.concatenate(c) for c in zip(*parts, strict=True))
-        bucket = (mix(token) >> np.uint64(33)).astype(np.int64) % buckets
-        order = np.argsort(bucket, kind="stable")
+        token, doc, n, place = (np.concatenate(c) for c in zip(*parts, strict=True))
+        bucket = (token >> np.uint64(33)).astype(np.int64) % buckets
+        order = np.argsort(bucket, kind="stable")  # in the order of the documents, which compresses well
         at = group_starts(bucket[order])
         counts = np.diff(np.append(at, len(order)))
-        columns = [token.view(np.int64), doc.astype(np.int64), n.astype(np.int32), place.astype(np.int32), key]
+        bits = token.astype(np.uint32).view(np.int32)
+        columns = [bits, doc.astype(np.int64), n.astype(np.int32), place.astype(np.int32)]
         arrays = [pa.array(bucket[order][at].astype(np.int32)), *[lists(c[order], counts) for c in columns]]
-        yield pa.RecordBatch.from_arrays(arrays, names=["bucket", "token", "doc_id", "n", "place", "key"])
+        yield pa.RecordBatch.from_arrays(arrays, names=["bucket", "token", "doc_id", "n", "place"])
 
     def shared(table: pa.Table) -> pa.Table:
-        token, doc, n, place, key = (flat(table[c]) for c in ("token", "doc_id", "n", "place", "key"))
-        order = np.lexsort((key, token))
-        token, doc, n, place, key = (c[order] for c in (token, doc, n, place, key))
+        token, doc, n, place = (flat(table[c]) for c in ("token", "doc_id", "n", "place"))
+        order = np.lexsort((doc, token))
+        token, doc, n, place = (c[order] for c in (token, doc, n, place))
         at = group_starts(token)
         size = np.diff(np.append(at, len(token)))
-        differ = np.repeat(key[at] != key[at + size - 1], size)
-        return pa.table(
-            {
-                "bucket": pa.array(np.full(int(differ.sum()), table["bucket"][0].as_py(), np.int32)),
-                "token": pa.array(token[differ]),
-                "doc_id": pa.array(doc[differ]),
-                "n": pa.array(n[differ]),
-                "place": pa.array(place[differ]),
-            }
-        )
-
-    lists_ = "token array<long>, doc_id array<long>, n array<int>, place array<int>, key array<long>"
+        differ = np.repeat(doc[at] != doc[at + size - 1], size)
+        bucket = pa.array(np.full(int(differ.sum()), table["bucket"][0].as_py(), np.int32))
+        columns = [pa.array(c[differ]) for c in (token, doc, n, place)]
+        return pa.Table.from_arrays([bucket, *columns], names=["bucket", "token", "doc_id", "n", "place"])
+
+    lists_ = "token array<int>, doc_id array<long>, n array<int>, place array<int>"
     named = _texts(documents).where("doc_id is not null")
     met = named.mapInArrow(emitted, "bucket int, " + lists_).groupBy("bucket")
-    return met.applyInArrow(shared, "bucket int, token long, doc_id long, n int, place int")
+    return met.applyInArrow(shared, "bucket int, token int, doc_id long, n int, place int")
 
 
 def pairs_within(reach: tuple[int, int], star: bool):
@@ -258,10 +259,26 @@ def pairs_within(reach: tuple[int, int], star: bool):
     return found
 
 
+def possible(pairs: DataFrame, digests: DataFrame) -> DataFrame:
+    """The pairs ``x, y`` whose sets, as 16-bit digests with repeats, still agree enough.
+
+    Digests of equal tokens are equal, so they never agree in less than the sets do.
+    """
+
+    def enough(x: np.ndarray, y: np.ndarray) -> bool:
+        values, counts = zip(np.unique(x, return_counts=True), np.unique(y, return_counts=True), strict=True)
+        _, i, j = np.intersect1d(*values, assume_unique=True, return_indices=True)
+        common = int(np.minimum(counts[0][i], counts[1][j]).sum())
+        return common >= least_overlap(len(x), len(y))
+
+    return _judged(pairs, digests, enough)
+
+
 def verified(pairs: DataFrame, sets: DataFrame, orders: Orders) -> DataFrame:
-    """The pairs ``a, b`` that share prefix tokens under every order and whose sets agree enough."""
+    """The pairs ``x, y`` that share prefix tokens under every order and whose sets agree enough."""
 
     def agree(x: np.ndarray, y: np.ndarray) -> bool:
+        x, y = x.view(np.uint64), y.view(np.uint64)
         for order in range(1, ORDERS):
             heads = [orders.prefixes(s, np.array([len(s)]), order)[0] for s in (x, y)]
             if not len(np.intersect1d(*heads, assume_unique=True)):
@@ -269,34 +286,48 @@ def verified(pairs: DataFrame, sets: DataFrame, orders: Orders) -> DataFrame:
         common = len(np.intersect1d(x, y, assume_unique=True))
         return 100 * common >= PERCENT * (len(x) + len(y) - common)
 
+    return _judged(pairs, sets, agree)
+
+
+def _judged(pairs: DataFrame, sets: DataFrame, agree: Callable[[np.ndarray, np.ndarray], bool]) -> DataFrame:
+    """The pairs whose ``tokens`` in ``sets`` agree."""
+
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sides = []
             for name in ("of_x", "of_y"):
                 column = batch[name]
-                values, counts = flat(column).view(np.uint64), column.value_lengths().to_numpy()
+                values, counts = flat(column), column.value_lengths().to_numpy()
                 sides.append(np.split(values, np.cumsum(counts)[:-1]))
             good = pa.array([agree(x, y) for x, y in zip(*sides, strict=True)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch["x"], batch["y"]], names=["a", "b"]).filter(good)
+            yield batch.select(["x", "y"]).filter(good)
 
     of_x = sets.select(F.col("doc_id").alias("x"), F.col("tokens").alias("of_x"))
     of_y = sets.select(F.col("doc_id").alias("y"), F.col("tokens").alias("of_y"))
     joined = pairs.join(of_x, "x").join(of_y, "y").select("x", "y", "of_x", "of_y")
-    return joined.mapInArrow(checked, "a long, b long")
+    return joined.mapInArrow(checked, "x long, y long")
 
 
-def shingle_table(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``doc_id, tokens`` (sorted) of the documents in ``wanted``, as a shared table."""
+def shingle_table(documents: DataFrame, pairs: DataFrame, whole: bool) -> DataFrame:
+    """``doc_id, tokens`` of the documents in the pairs and of few others.
+
+    The tokens are whole and sorted, or digests of 16 bits with repeats.
+    """
+    wanted = pairs.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct()
+    table = bit_table(wanted.select(F.xxhash64("doc_id").alias("h")))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch["text"]):
+            some = batch.take(pa.array(likely(table, batch["h"].to_numpy())))
+            for block in blocks(some["text"]):
                 tokens, counts = shingle_sets(block)
-                ids = batch["doc_id"].slice(block.first, len(block))
-                yield pa.RecordBatch.from_arrays([ids, lists(tokens.view(np.int64), counts)], names=["doc_id", "tokens"])
+                ids = some["doc_id"].slice(block.first, len(block))
+                values = tokens.view(np.int64) if whole else tokens.astype(np.uint16).view(np.int16)
+                yield pa.RecordBatch.from_arrays([ids, lists(values, counts)], names=["doc_id", "tokens"])
 
-    chosen = _texts(documents).join(wanted, "doc_id", "left_semi")
-    return materialize(chosen.mapInArrow(read, "doc_id long, tokens array<long>"), "shingles")
+    named = _texts(documents).where("doc_id is not null").withColumn("h", F.xxhash64("doc_id"))
+    kind = "long" if whole else "smallint"
+    return named.mapInArrow(read, f"doc_id long, tokens array<{kind}>")
 
 
 def near_duplicate_groups(documents: DataFrame) -> DataFrame:
@@ -307,21 +338,40 @@ def near_duplicate_groups(documents: DataFrame) -> DataFrame:
     copies = keys.where("n > 0").join(heads, ["a", "b", "n"]).where("doc_id <> head")
     edges = materialize(copies.select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct(), "copies")
 
-    met = materialize(shared_prefixes(documents, orders), "prefixes")
-    longest = met.groupBy("token").count().agg(F.max("count")).first()[0] or 0
     groups = components(edges)
-    if longest:
-        sets = shingle_table(documents, met.select("doc_id").distinct())
-        near, far = 0, 1
-        while near < longest:
-            grouped = met.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-            grouped = grouped.withColumn("component", F.coalesce("component", "doc_id"))
-            pairs = grouped.groupBy("bucket").applyInArrow(pairs_within((near, far), star=near == 0), "x long, y long")
-            links = materialize(verified(materialize(pairs.distinct(), "pairs"), sets, orders), "links")
+    spark = documents.sparkSession
+    with Scratch(spark) as scratch:
+        met = scratch.table(shared_prefixes(documents, orders), "prefixes")
+        longest = met.groupBy("bucket", "token").count().agg(F.max("count")).first()[0] or 0
+        reach = (0, 0)  # first the smallest id of each row only
+        while reach[0] < longest:
+            links = _links(documents, met, groups, reach, orders)
             if not links.isEmpty():
-                edges = edges.unionByName(links)
+                edges = edges.unionByName(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
                 groups = components(edges)
-            near, far = far, 16 * far
+            reach = (reach[1], 16 * max(reach[1], 1))
+    return _result(keys, groups)
+
+
+def _links(
+    documents: DataFrame, met: DataFrame, groups: DataFrame, reach: tuple[int, int], orders: Orders
+) -> DataFrame:
+    """The links ``x, y`` of one round, as a shared table."""
+    with Scratch(documents.sparkSession) as scratch:
+        grouped = met.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        grouped = grouped.withColumn("component", F.coalesce("component", "doc_id"))
+        meeting = grouped.groupBy("bucket").applyInArrow(pairs_within(reach, star=not reach[1]), "x long, y long")
+        pairs = scratch.table(meeting.distinct(), "pairs")
+        if not pairs.isEmpty():
+            digests = scratch.table(shingle_table(documents, pairs, whole=False), "digests")
+            pairs = scratch.table(possible(pairs, digests), "possible")
+        if not pairs.isEmpty():
+            sets = scratch.table(shingle_table(documents, pairs, whole=True), "shingles")
+            pairs = verified(pairs, sets, orders)
+        return materialize(pairs, "links")
+
+
+def _result(keys: DataFrame, groups: DataFrame) -> DataFrame:
     found = keys.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     return found.select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")

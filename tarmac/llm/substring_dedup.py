@@ -32,7 +32,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from tarmac.llm.buffers import Block, blocks, flat, group_starts, lists, mix, ranges, stretch_hashes
+from tarmac.llm.buffers import BLOCK_BYTES, Block, blocks, flat, group_starts, lists, mix, ranges, stretch_hashes
 
 THRESHOLD = 50
 GRAM = 20
@@ -94,7 +94,7 @@ def _chunk_blocks(table: pa.Table) -> Iterator[tuple[Block, np.ndarray, np.ndarr
     table = table.filter(table["doc_id"].is_valid())
     for batch in table.combine_chunks().to_batches():
         ids, marks = batch["doc_id"].to_numpy(), batch["mark"].to_numpy()
-        for block in blocks(batch["text"]):
+        for block in blocks(batch["text"], BLOCK_BYTES // 2):
             rows = slice(block.first, block.first + len(block))
             yield block, ids[rows], marks[rows]
 
@@ -315,6 +315,7 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
         if not len(rows):
             return _table([], "bucket", "chunk")
         part = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+        del parts
         start, at = (np.concatenate([h[k] for h in held]) for k in (1, 2))
         # shared with other chunks, or by several documents here
         order = np.lexsort((rows.doc_id, rows.a))
