@@ -44,6 +44,9 @@ ORDERS = 3
 LATE = 100_000
 _LOCALLY_FREQUENT = 3
 
+#: Tokens at which so many documents meet are put last as well, and the prefixes are taken anew.
+CROWD = 12
+
 _U1 = np.uint64(1)
 
 
@@ -89,18 +92,33 @@ def least_overlap(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     return -(-PERCENT * (n + m) // (100 + PERCENT))
 
 
+def short_ids(tokens: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """A token's bucket and 32 further bits of its hash."""
+    mixed = mix(tokens)
+    return (mixed >> np.uint64(33)).astype(np.int64) % buckets, mixed.astype(np.uint32).view(np.int32)
+
+
+def _id(bucket: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    return bucket.astype(np.int64) << 32 | bits.view(np.uint32).astype(np.int64)
+
+
 class Orders:
-    """Global orders of the tokens: by a hash that differs per order, the late tokens last."""
+    """Global orders of the tokens: by a hash that differs per order, the late tokens last.
 
-    def __init__(self, late: np.ndarray):
-        self.rank = np.argsort(late, kind="stable").astype(np.uint64)  # late: rarest first
-        self.late = late[self.rank.astype(np.int64)] if len(late) else late
+    Late tokens are known by their short ids, the rarest first.
+    """
+
+    def __init__(self, late: np.ndarray, buckets: int):
+        late = late[np.sort(np.unique(late, return_index=True)[1])]
+        self.rank = np.argsort(late, kind="stable").astype(np.uint64)
+        self.late, self.buckets = late[self.rank.astype(np.int64)], buckets
 
     def keys(self, tokens: np.ndarray, order: int) -> np.ndarray:
         keys = mix(tokens + np.uint64(0x9E3779B97F4A7C15 * (order + 1) & (1 << 64) - 1)) >> _U1
         if len(self.late):
-            at = np.minimum(np.searchsorted(self.late, tokens), len(self.late) - 1)
-            is_late = self.late[at] == tokens
+            ids = _id(*short_ids(tokens, self.buckets))
+            at = np.minimum(np.searchsorted(self.late, ids), len(self.late) - 1)
+            is_late = self.late[at] == ids
             keys[is_late] = (_U1 << np.uint64(63)) | self.rank[at[is_late]]
         return keys
 
@@ -159,7 +177,7 @@ def shared_prefixes(documents: DataFrame, orders: Orders) -> DataFrame:
     A task passes on equal sets once. A token is its bucket and 32 further bits of its hash here: different
     tokens that agree in these only bring some pairs together that verification then rejects.
     """
-    buckets = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = orders.buckets
 
     def emitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
@@ -178,7 +196,7 @@ def shared_prefixes(documents: DataFrame, orders: Orders) -> DataFrame:
                 tokens, counts = tokens[np.repeat(new, counts)], counts[new]
                 token, text, place = orders.prefixes(tokens, counts, 0)
                 own = ids[block.first : block.first + len(block)][new]
-                parts.append((mix(token), own[text], counts[text], place))
+                parts.append((*short_ids(token, buckets), own[text], counts[text], place))
                 held += len(token)
                 if held > 2_000_000:
                     yield from deal(parts)
@@ -188,12 +206,10 @@ def shared_prefixes(documents: DataFrame, orders: Orders) -> DataFrame:
     def deal(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
         if not parts:
             return
-        token, doc, n, place = (np.concatenate(c) for c in zip(*parts, strict=True))
-        bucket = (token >> np.uint64(33)).astype(np.int64) % buckets
+        bucket, bits, doc, n, place = (np.concatenate(c) for c in zip(*parts, strict=True))
         order = np.argsort(bucket, kind="stable")  # in the order of the documents, which compresses well
         at = group_starts(bucket[order])
         counts = np.diff(np.append(at, len(order)))
-        bits = token.astype(np.uint32).view(np.int32)
         columns = [bits, doc.astype(np.int64), n.astype(np.int32), place.astype(np.int32)]
         arrays = [pa.array(bucket[order][at].astype(np.int32)), *[lists(c[order], counts) for c in columns]]
         yield pa.RecordBatch.from_arrays(arrays, names=["bucket", "token", "doc_id", "n", "place"])
@@ -333,7 +349,8 @@ def shingle_table(documents: DataFrame, pairs: DataFrame, whole: bool) -> DataFr
 def near_duplicate_groups(documents: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of the documents."""
     keys, late = keys_and_frequent(documents)
-    orders = Orders(late)
+    buckets = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    orders = Orders(_id(*short_ids(late, buckets)), buckets)
     heads = keys.where("n > 0 and doc_id is not null").groupBy("a", "b", "n").agg(F.min("doc_id").alias("head"))
     copies = keys.where("n > 0").join(heads, ["a", "b", "n"]).where("doc_id <> head")
     edges = materialize(copies.select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct(), "copies")
@@ -342,6 +359,10 @@ def near_duplicate_groups(documents: DataFrame) -> DataFrame:
     spark = documents.sparkSession
     with Scratch(spark) as scratch:
         met = scratch.table(shared_prefixes(documents, orders), "prefixes")
+        crowded = _crowded(met)
+        if len(crowded):  # once more, with the tokens last that so many documents met at
+            orders = Orders(np.concatenate([crowded, _id(*short_ids(late, buckets))]), buckets)
+            met = scratch.table(shared_prefixes(documents, orders), "prefixes")
         longest = met.groupBy("bucket", "token").count().agg(F.max("count")).first()[0] or 0
         reach = (0, 0)  # first the smallest id of each row only
         while reach[0] < longest:
@@ -353,6 +374,13 @@ def near_duplicate_groups(documents: DataFrame) -> DataFrame:
     return _result(keys, groups)
 
 
+def _crowded(met: DataFrame) -> np.ndarray:
+    """Short ids of the tokens that at least ``CROWD`` documents met at, at most ``LATE``, the rarest first."""
+    sizes = met.groupBy("bucket", "token").agg(F.count("*").alias("n")).where(F.col("n") >= CROWD)
+    most = sizes.orderBy(F.desc("n"), "bucket", "token").limit(LATE).toArrow()
+    return _id(most["bucket"].to_numpy(), most["token"].to_numpy())[::-1]
+
+
 def _links(
     documents: DataFrame, met: DataFrame, groups: DataFrame, reach: tuple[int, int], orders: Orders
 ) -> DataFrame:
