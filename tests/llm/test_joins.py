@@ -1,8 +1,10 @@
 """The joins and removals against brute force: substrings, lines, shingle groups, benchmark passages."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -216,6 +218,31 @@ def test_passages_with_replaced_words(spark, make):
     assert {k for k, _ in expected} == {1, 2, 3, 9, 11, 12, None}
 
 
+@pytest.mark.parametrize("size", range(decontaminate.LEAST, decontaminate.STRETCH + 1))
+def test_seeds_cover_all_words_that_a_stretch_may_miss(size):
+    masks = decontaminate.FAMILIES[max(least for least in decontaminate.FAMILIES if least <= size)]
+    reads = [{i + at for i in mask} for mask in masks for at in range(size - mask[-1])]
+    for missed in combinations(range(size), size - -(-decontaminate.AGREE * size // 100)):
+        assert any(read.isdisjoint(missed) for read in reads), missed
+
+
+def test_passages_with_words_replaced_evenly_or_at_random(spark, make):
+    rnd = random.Random(4)
+    passages = [[f"p{n}x{i}" for i in range(n)] for n in [*range(11, 21), 50, 200]]
+    filler = " ".join(f"f{i}" for i in range(20))
+    leaks = [["other" if i % step == at else w for i, w in enumerate(p)] for p in passages[-2:] for step in (4, 5) for at in range(step)]
+    for passage in passages[:-2]:
+        for _ in range(12):
+            missed = set(rnd.sample(range(len(passage)), rnd.randint(1, 5)))
+            leaks.append(["other" if i in missed else w for i, w in enumerate(passage)])
+    rows = [(k, f"{filler} {' '.join(leak)} {filler}") for k, leak in enumerate(leaks)]
+    items = [(len(p), " ".join(p)) for p in passages]
+    found = decontaminate.decisions(make(rows), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    expected = contaminated_expected(rows, items)
+    assert {(r.doc_id, i) for r in found for i in r.item_ids} == expected
+    assert {k for k, _ in expected} >= set(range(18)) and len(expected) < len(rows)
+
+
 def test_passages_of_the_table(tables):
     """Every document that holds an item word for word is found."""
     items = [(r.item_id, " ".join(tokens(r.text))) for r in tables["benchmark"].collect()]
