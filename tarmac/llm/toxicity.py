@@ -2,8 +2,10 @@
 
 The score of a document is ``sigmoid(bias + sum w_i + sum_{i<j} <v_i, v_j>)`` over its distinct terms, so
 a pair such as an insult and the mention of a group can weigh more than its two parts. Terms are the
-lower-cased words and the beginnings of words, hashed into buckets. Only terms whose counts in the two
-classes differ beyond chance get weights, so long texts do not add up noise.
+lower-cased words and the beginnings of words, hashed into buckets. All terms of ``SUPPORT`` or more learned
+documents get weights and factors. Those whose own counts in the two classes do not differ beyond chance are
+shrunk by what chance alone would move them, so long texts do not add up noise, and a term that matters only
+beside another one is still learned. A pair too rare to stand out from chance is shrunk away.
 
 Null and empty texts have no terms and score ``sigmoid(bias)``. Repeated rows score alike. Extra columns
 are ignored. Without any labelled document of both classes, the bias is the only weight.
@@ -28,9 +30,15 @@ FACTORS = 4
 #: A model is fitted on at most so many labelled documents.
 SAMPLE = 8000
 
-#: Least log-likelihood ratio (twice the difference, in nats) between the classes for a term to get weights.
+#: Terms of fewer learned documents get no weights.
+SUPPORT = 3
+
+#: Least log-likelihood ratio (twice the difference, in nats) between the classes for a term to be fitted freely.
 EVIDENCE = 15.0
 
+#: The other terms are shrunk by so many standard deviations of their gradient under chance.
+SHRINK = 4.0
+
 
 def terms(block: Block) -> tuple[np.ndarray, np.ndarray]:
     """Distinct term buckets of every text, one text after another, and how many each has."""
@@ -91,8 +99,12 @@ def _evidence(support: np.ndarray, positive: np.ndarray, documents: int, toxic:
     return 2 * (fitted(positive, toxic) + fitted(rest, documents - toxic) - fitted(support, documents))
 
 
+def _soft(values: np.ndarray, less: np.ndarray) -> np.ndarray:
+    return np.sign(values) * np.maximum(np.abs(values) - less, 0)
+
+
 def fit(buckets: np.ndarray, counts: np.ndarray, labels: np.ndarray, epochs: int = 12, seed: int = 7) -> Machine:
-    """Adagrad on the log loss with a slight decay, over the terms with evidence."""
+    """Adagrad on the log loss with a slight decay; terms without evidence of their own are shrunk at each step."""
     rate = (labels.sum() + 0.5) / (len(labels) + 1.0)
     machine = Machine(float(np.log(rate / (1 - rate))), np.empty(0, np.int64), np.empty(0), np.empty((0, FACTORS)))
     if len(labels) == 0 or labels.min() == labels.max():
@@ -100,7 +112,12 @@ def fit(buckets: np.ndarray, counts: np.ndarray, labels: np.ndarray, epochs: int
     row = np.repeat(np.arange(len(counts)), counts)
     support = np.bincount(buckets, minlength=1 << BUCKETS_LOG2).astype(float)
     positive = np.bincount(buckets, labels[row], minlength=1 << BUCKETS_LOG2)
-    seen = np.flatnonzero(_evidence(support, positive, len(labels), int(labels.sum())) >= EVIDENCE)
+    seen = np.flatnonzero(support >= SUPPORT)
+    support, positive = support[seen], positive[seen]
+    shrunk = _evidence(support, positive, len(labels), int(labels.sum())) < EVIDENCE
+    # for the mean loss, from one document
+    chance = SHRINK * np.sqrt(rate * (1 - rate)) / len(labels) * shrunk
+    less_w, less_v = chance * np.sqrt(support), None
     slot = np.full(1 << BUCKETS_LOG2, -1, np.int64)
     slot[seen] = np.arange(len(seen))
     at = slot[buckets]
@@ -111,6 +128,7 @@ def fit(buckets: np.ndarray, counts: np.ndarray, labels: np.ndarray, epochs: int
     gw, gv, gb, bias = np.full(len(seen), 1e-4), np.full(v.shape, 1e-4), 1e-4, machine.bias
     step, decay = 0.1, 1e-4
     for _ in range(epochs):
+        squares = np.zeros(v.shape)
         order = rng.permutation(len(labels))
         for batch in np.array_split(order, max(1, len(order) // 128)):
             size = counts[batch]
@@ -120,13 +138,19 @@ def fit(buckets: np.ndarray, counts: np.ndarray, labels: np.ndarray, epochs: int
             raw = bias + _sums(w[idx], size) + (total**2 - _sums(vi**2, size)).sum(axis=1) / 2
             error = (sigmoid(raw) - labels[batch]) / len(batch)
             dw = np.bincount(idx, error[rows], len(seen)) + decay * w
-            dv = error[rows][:, None] * (total[rows] - vi)
+            others = total[rows] - vi
+            squares += np.stack([np.bincount(idx, others[:, f] ** 2, len(seen)) for f in range(FACTORS)], axis=1)
+            dv = error[rows][:, None] * others
             dv = np.stack([np.bincount(idx, dv[:, f], len(seen)) for f in range(FACTORS)], axis=1) + decay * v
             gw, gv, gb = gw + dw**2, gv + dv**2, gb + error.sum() ** 2
             bias -= step * error.sum() / np.sqrt(gb)
-            w -= step * dw / np.sqrt(gw)
+            w = _soft(w - step * dw / np.sqrt(gw), step * less_w / np.sqrt(gw))
             v -= step * dv / np.sqrt(gv)
-    return Machine(float(bias), seen, w, v)
+            if less_v is not None:
+                v = _soft(v, step * less_v / np.sqrt(gv))
+        less_v = chance[:, None] * np.sqrt(squares)
+    used = (w != 0) | (v != 0).any(axis=1)
+    return Machine(float(bias), seen[used], w[used], v[used])
 
 
 def _term_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

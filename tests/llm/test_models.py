@@ -89,6 +89,26 @@ def test_pairs_of_terms_are_learned():
     assert ((toxicity.sigmoid(machine.raw(found, counts)) >= 0.5) == np.array(labels)).all()
 
 
+@pytest.mark.parametrize("others", [10, 150])
+def test_a_term_neutral_alone_is_learned_beside_another(others):
+    """A group mention is as frequent in toxic texts as in the rest, and an insult alone is not toxic."""
+    rng = np.random.default_rng(3)
+    texts, labels = [], []
+    for i in range(4000):
+        insult, group = i % 6 == 0, i % 5 == 0
+        slur = i % 6 == 1 and not group
+        own = ["insulting"] * insult + ["groupname"] * group + ["slurword"] * slur
+        texts.append(" ".join(rng.permutation([f"w{int(k)}q" for k in rng.pareto(1.0, others) * 5] + own)))
+        labels.append(float(insult and group or slur))
+    labels = np.array(labels)
+    group = np.array(["groupname" in t for t in texts])
+    assert labels[group].mean() == pytest.approx(labels[~group].mean(), abs=0.005)
+    blocks_of = [toxicity.terms(next(blocks(pa.array(part), 1 << 30))) for part in (texts[:3000], texts[3000:])]
+    machine = toxicity.fit(*blocks_of[0], labels[:3000])
+    found = toxicity.sigmoid(machine.raw(*blocks_of[1])) >= 0.5
+    assert np.mean(found == labels[3000:]) >= 0.995
+
+
 @pytest.fixture(scope="module")
 def larger(spark):
     folder = "/root/testdata/sf0.01"
