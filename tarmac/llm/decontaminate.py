@@ -6,7 +6,8 @@ the item is laid along the document without gaps, and the document is contaminat
 stretch of the item (``STRETCH`` words, or the whole item if it is shorter) agrees in enough of its words.
 
 The seeds are chosen so that some seed lies on agreeing words only, wherever the words that a stretch may miss
-stand; no stretch that the check would accept is overlooked. Items of fewer than ``LEAST`` words are looked up whole.
+stand; no stretch that the check would accept is overlooked. Items of three words must stand
+in the text word for word. Items of one or two words, which clean texts hold by chance, must be the whole text.
 
 Words are lower-cased (A-Z) runs without white space. Null and empty texts have no words: they neither contaminate nor are contaminated.
 Repeated items and documents are judged alike, extra columns are kept, and texts are read whole.
@@ -27,7 +28,7 @@ STRETCH = 16
 AGREE = 75
 
 #: Places that seeds read, by the least number of words of the items they are for. Each family covers every
-#: choice of 4 missed words in 16, of 3 in 12 and of 2 in 8, which is what items up to the next family may miss.
+#: choice of 4 missed words in 16, of 3 in 12, of 2 in 8 and of 1 in 4, which is what items up to the next family may miss.
 FAMILIES = {
     16: (
         (0, 1, 2, 4, 5, 6),
@@ -38,9 +39,13 @@ FAMILIES = {
     ),
     12: ((0, 1, 2, 4, 5), (0, 1, 3, 7, 8), (0, 1, 4, 6, 7), (0, 1, 3, 4, 5)),
     8: ((0, 1, 3, 4), (0, 1, 2, 3), (0, 1, 5, 6)),
+    4: ((0, 1, 2), (0, 1, 3), (0, 2, 3)),
 }
 LEAST = min(FAMILIES)
 
+#: Items of fewer words are looked for as whole texts only.
+WITHIN = 3
+
 #: Words of items that are laid along documents at a time.
 LAID = 4 << 20
 
@@ -111,7 +116,8 @@ class Items:
         for salt, mask in enumerate(self.masks, 1):
             yield seeds(words, first, mask, salt)
         for size in self.short:
-            at = ranges(first[:-1], np.maximum(np.diff(first) - size + 1, 0))
+            number = np.maximum(np.diff(first) - size + 1, 0)
+            at = ranges(first[:-1], number if size >= WITHIN else number == 1)
             yield at, self.runs(words, at, size)
 
     def hits(self, words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

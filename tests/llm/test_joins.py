@@ -243,6 +243,25 @@ def test_passages_with_words_replaced_evenly_or_at_random(spark, make):
     assert {k for k, _ in expected} >= set(range(18)) and len(expected) < len(rows)
 
 
+def test_short_passages(spark, make):
+    """Of items of 4 to 10 words three quarters suffice; items of one or two words are whole texts."""
+    items = [(n, " ".join(f"p{n}x{i}" for i in range(n))) for n in range(3, 11)]
+    rows = []
+    for n, passage in items:
+        for missed in (*combinations(range(n), 1), *combinations(range(n), 2), (0, 1, n - 1)):
+            leak = ["other" if i in missed else w for i, w in enumerate(passage.split())]
+            rows.append((100 * n + len(rows), f"some filler {' '.join(leak)} more"))
+    expected = contaminated_expected(rows, items)
+    whole = [(1, "Paris"), (2, "new york")]
+    rows += [(1, "He went to paris in May"), (2, "paris "), (3, "in new york"), (4, " New  York"), (5, "york new"), (6, "paris paris")]
+    benchmark = spark.createDataFrame(items + whole, "item_id bigint, text string")
+    found = decontaminate.decisions(make(rows), benchmark).collect()
+    assert {(r.doc_id, i) for r in found for i in r.item_ids} == expected | {(2, 1), (4, 2)}
+    kept = decontaminate.keep_clean(make(rows), benchmark).collect()
+    assert {r.doc_id for r in kept} == {k for k, _ in rows} - {k for k, _ in expected} - {2, 4}
+    assert {i for _, i in expected} == set(range(4, 11))
+
+
 def test_passages_of_the_table(tables):
     """Every document that holds an item word for word is found."""
     items = [(r.item_id, " ".join(tokens(r.text))) for r in tables["benchmark"].collect()]
