@@ -2,9 +2,9 @@
 
 Two documents link if their sets of five-word shingles agree in at least three quarters of their union. If
 they do, then under *any* global order of the tokens they share one among the first quarter of their own.
-So under one order, documents that share such a prefix token meet; a pair that met must then share prefix
-tokens under every further order too; and only what passes all of them is verified on the whole sets.
-Short digests of the sets, which never understate an intersection, spare most pairs the reading of both.
+So under one order, documents that share such a prefix token meet. Short digests of the sets, which never
+understate an intersection, spare most pairs that met the reading of both. The further orders are looked at
+only with the whole sets at hand, just before the exact intersection: they do not lessen the pairs to look at.
 Tokens that many documents have come last in every order, the others in the order of a hash.
 
 What is wanted are the connected groups, so pairs that already are in one group are not looked at again.
