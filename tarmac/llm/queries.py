@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.llm import (
-    decontaminate, fingerprint, language, line_dedup, ngram_join, packing, quality, substring_dedup, toxicity, url_filter,
+    decontaminate, fingerprint, language, line_dedup, manifest, ngram_join, packing, quality, substring_dedup, toxicity,
+    url_filter,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +74,8 @@ def op7_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op4_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return line_dedup.digest(_table(spark, sf, "documents"))
+
+
+@query
+def op11_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    return manifest.digest(_table(spark, sf, "documents"))
