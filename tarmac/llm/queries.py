@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.llm import (
-    decontaminate, fingerprint, language, line_dedup, manifest, ngram_join, packing, quality, substring_dedup, toxicity,
-    url_filter,
+    decontaminate, fingerprint, language, licenses, line_dedup, manifest, ngram_join, packing, quality, substring_dedup,
+    toxicity, url_filter,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,8 @@ def op4_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op11_manifest(spark: SparkSession, sf: str) -> DataFrame:
     return manifest.digest(_table(spark, sf, "documents"))
+
+
+@query
+def op12_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.digest(_table(spark, sf, "documents"))
