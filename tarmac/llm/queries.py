@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.llm import (
-    decontaminate, fingerprint, language, licenses, line_dedup, manifest, ngram_join, packing, quality, substring_dedup,
-    toxicity, url_filter,
+    conversations, decontaminate, fingerprint, language, licenses, line_dedup, manifest, ngram_join, packing, quality,
+    substring_dedup, toxicity, url_filter,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,8 @@ def op11_manifest(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op12_licenses(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.digest(_table(spark, sf, "documents"))
+
+
+@query
+def op13_conversations(spark: SparkSession, sf: str) -> DataFrame:
+    return conversations.digest(_table(spark, sf, "conversations"))
