@@ -78,17 +78,23 @@ def _score(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _replay(spark: SparkSession, args: argparse.Namespace) -> None:
-    if args.staged:
+    seconds = None if args.once else args.seconds
+    if args.index:  # in order, so a batch goes to the sink as one partition
+        lines = replay.replay_in_order(spark, args.data, args.index, args.lines_per_interval)
+        lines, seconds = lines.coalesce(1).select("value"), seconds or 0
+    elif args.staged:
         stored = files.scan_lines(spark, args.data)
         lines = replay.replay(stored, args.staged, args.lines_per_file, args.files_per_interval)
     else:
         lines = files.stream_lines(spark, args.data, args.files_per_interval)
-    seconds = None if args.once else args.seconds
     if args.servers:
         query = streams.to_topic(lines, _topic(args, args.topic), args.checkpoint, seconds)
     else:
         query = streams.to_files(lines, args.out, args.checkpoint, seconds, fmt="text")
-    query.awaitTermination()
+    if args.index:
+        streams.drain(query)
+    else:
+        query.awaitTermination()
 
 
 def _words(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -143,6 +149,8 @@ def parser() -> argparse.ArgumentParser:
 
     again = jobs.add_parser("replay", help="publish a stored CSV as a paced stream of lines")
     again.add_argument("--data", required=True)
+    again.add_argument("--index", help="folder for an index of the lines: replay them in their order, by lines")
+    again.add_argument("--lines-per-interval", type=int, default=1, help="lines per interval with --index")
     again.add_argument("--staged", help="folder for lines cut to --lines-per-file; default is to read the CSV as it is")
     again.add_argument("--checkpoint", required=True)
     target = again.add_mutually_exclusive_group(required=True)

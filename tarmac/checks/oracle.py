@@ -92,7 +92,10 @@ ORACLE = {
     "scan_lines": _query(f"SELECT {RAW_LINE} AS value FROM flights_raw"),
     "stream_source": _query("SELECT value FROM flights_lines"),
     "replay_sink": _query(f"SELECT {RAW_LINE} AS value FROM flights_raw"),
-    "replay_stream": _query("SELECT value FROM flights_lines"),
+    "replay_stream": _query(
+        "SELECT value, row_number() OVER (ORDER BY CAST(string_split(value, ',')[2] AS BIGINT)) - 1 AS line FROM flights_lines"
+    ),
+    "replay_staged": _query("SELECT value FROM flights_lines"),
     "project_cast": _query(f"SELECT FLIGHT_ID, {COLUMNS} FROM typed"),
     "drop_any_null": _query(f"SELECT FLIGHT_ID, {COLUMNS} FROM clean"),
     "drop_columns": _query(

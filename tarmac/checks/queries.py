@@ -12,7 +12,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarmac.checks.fixtures import LINE_ID, documents, flights_lines, flights_raw, flights_typed, table
+from tarmac.checks.fixtures import LINE_ID, documents, flights_lines, flights_raw, flights_table, flights_typed, table
 from tarmac.checks.oracle import VOCABULARY_ROWS
 from tarmac.contract import FLIGHTS
 from tarmac.operators import clean, encoding, evaluate, sampling, vocabulary, words
@@ -70,7 +70,29 @@ def replay_sink(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def _ordered_csv(spark: SparkSession, sf: str) -> str:
+    """The records as CSV files in the order of their ids, of the full width of a line."""
+    path = fresh_folder(spark, "ordered-csv")
+    files.write_csv(flights_table(spark, sf).orderBy(F.col("_c1").cast("bigint")), path)
+    return path
+
+
 def replay_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The lines in their order, a seventh of them per batch; the stream is stopped on its way and started again."""
+    data = _ordered_csv(spark, sf)
+    index, path, checkpoint = (fresh_folder(spark, p) for p in ("index", "replay", "replay-checkpoint"))
+    per_batch = math.ceil(table(spark, sf, "orders").count() / 7)
+    for stop_after in (3, None):
+        lines = replay.replay_in_order(spark, data, index, per_batch, stride=1000)
+        query = streams.to_files(lines, path, checkpoint, seconds=0)
+        while stop_after and query.isActive and len(query.recentProgress) < stop_after:
+            query.awaitTermination(0.1)
+        query.stop() if stop_after else streams.drain(query)
+    return spark.read.schema(lines.schema).parquet(path)
+
+
+def replay_staged(spark: SparkSession, sf: str) -> DataFrame:
+    """The lines cut into files, some files per batch; in no order over files."""
     path = fresh_folder(spark, "staged")
     rows = table(spark, sf, "orders").count()
     replay.stage(flights_lines(spark, sf), path, math.ceil(rows / 8))
@@ -396,7 +418,7 @@ def stream_score_parity(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        scan_csv, scan_lines, stream_source, replay_sink, replay_stream, preview_top,
+        scan_csv, scan_lines, stream_source, replay_sink, replay_stream, replay_staged, preview_top,
         project_cast, drop_any_null, drop_columns, parse_lines, parse_wide_lines, split_fields,
         sample_bernoulli, sample_bernoulli_check, sample_hash, sample_hash_nulls, split_random, split_random_cover, split_hash,
         vocab_fit, vocab_fit_distributed, vocab_roundtrip,

@@ -67,12 +67,20 @@ def publish(lines: DataFrame, topic: Topic) -> None:
 
 
 def paced(writer: DataStreamWriter, seconds: float | None) -> DataStreamWriter:
-    """One micro-batch per interval, or, without an interval, all there is and then stop."""
+    """One micro-batch per interval (0: without pauses), or, without an interval, all there is and then stop."""
     if seconds is None:
         return writer.trigger(availableNow=True)
     return writer.trigger(processingTime=f"{seconds} seconds")
 
 
+def drain(query: StreamingQuery) -> None:
+    """Let a stream of a source that ends deliver all it has, at its pace, and stop it."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
 def to_topic(lines: DataFrame, topic: Topic, checkpoint: str, seconds: float | None = None) -> StreamingQuery:
     """Stream the ``value`` column to a topic. Delivery is at least once."""
     writer = lines.select("value").writeStream.format("kafka").options(**topic.write_options())

@@ -69,6 +69,17 @@ def test_replay_without_staging(spark, sf, home, data):
     assert sorted(lines.collect()) == sorted(flights_lines(spark, sf).collect())
 
 
+def test_replay_in_order(spark, sf, home, data):
+    """All lines arrive, in the order of the files, and a second run adds none."""
+    for _ in range(2):
+        run(
+            spark, "replay", "--data", data, "--index", home / "index", "--out", home / "ordered",
+            "--checkpoint", home / "ordered-cp", "--lines-per-interval", 400, "--once",
+        )
+    lines = [r["value"] for r in spark.read.text(str(home / "ordered")).collect()]
+    assert sorted(lines) == sorted(r["value"] for r in flights_lines(spark, sf).collect())
+
+
 def test_score_with_separate_parts(spark, home, data, capsys):
     run(
         spark, "train", "--data", data, "--model", home / "model2", "--vocabularies", home / "indexers2",

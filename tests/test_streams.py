@@ -1,3 +1,5 @@
+import gzip
+
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -8,7 +10,8 @@ from tarmac.operators.clean import drop_any_null
 from tarmac.operators.encoding import encode_join
 from tarmac.operators.vocabulary import fit_vocabulary
 from tarmac.plans import replay
-from tarmac.sources.streams import Topic, stream_text, to_files
+from tarmac.sources.ordered import index_lines
+from tarmac.sources.streams import Topic, drain, stream_text, to_files
 from tarmac.streaming import scoring
 
 GOOD = "1,7,0,4,0600,,,,Acme,,,,,,,,7,Here,,,There,0.5,0,,,8.5"
@@ -131,6 +134,77 @@ def test_replay_paces_and_delivers_everything(spark, landed, tmp_path):
     assert sorted(spark.read.text(out).collect()) == sorted(lines.collect())
 
 
+@pytest.fixture
+def files_in_order(tmp_path):
+    """Files of odd names and ends, a compressed one and an empty one, and their lines in order."""
+    folder, expected = tmp_path / "files", []
+    folder.mkdir()
+    for name, end in (("a 1%.csv", "\n"), ("b.csv", ""), ("c.csv.gz", "\n"), ("d.csv", "\r\n")):
+        lines = [f"{name} {i} " + "é" * (i % 40) for i in range(250)] + ["", "", "last"]
+        sep = "\r\n" if end == "\r\n" else "\n"
+        content = (sep.join(["header", *lines]) + end).encode()
+        (folder / name).write_bytes(gzip.compress(content) if name.endswith("gz") else content)
+        expected += lines
+    (folder / "e.csv").write_text("")
+    (folder / "f.csv").write_text("only a header\n")
+    return str(folder), expected
+
+
+@pytest.fixture
+def small_splits(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 2000)
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_lines_are_numbered_in_order_over_files_and_splits(spark, files_in_order, small_splits):
+    path, expected = files_in_order
+    index = index_lines(spark, path, stride=37).orderBy("first").collect()
+    assert [r["first"] for r in index] == [0, *(r["last"] for r in index[:-1])] and index[-1]["last"] == len(expected)
+    assert len({r["file"] for r in index}) == 4 and max(r["last"] - r["first"] for r in index) <= 37
+    assert index_lines(spark, f"{path}/f.csv").count() == 0
+
+
+def test_replay_in_order_goes_on_within_a_file(spark, files_in_order, small_splits, tmp_path):
+    path, expected = files_in_order
+    out, batches = str(tmp_path / "out"), []
+    for _ in range(50):  # one batch a run, until nothing is left
+        lines = replay.replay_in_order(spark, path, str(tmp_path / "index"), 301, stride=20)
+        query = lines.writeStream.option("checkpointLocation", str(tmp_path / "cp")).trigger(once=True)
+        query = query.foreachBatch(lambda b, i: b.write.mode("append").parquet(out)).start()
+        query.awaitTermination()
+        rows = sum(p["numInputRows"] for p in query.recentProgress)
+        if not rows:
+            break
+        batches.append(rows)
+    assert max(batches) <= 301 and sum(batches) == len(expected) and len(batches) == -(-len(expected) // 301)
+    found = [tuple(r) for r in spark.read.parquet(out).orderBy("line").collect()]
+    assert found == list(enumerate(expected))
+
+
+def test_a_failed_batch_of_an_ordered_replay_is_repeated(spark, files_in_order, tmp_path):
+    path, expected = files_in_order
+    seen = []
+
+    def handle(batch, batch_id):
+        seen.append((batch_id, sorted(r["line"] for r in batch.collect())))
+        if len(seen) == 3:
+            raise ValueError("lost")
+
+    for _ in range(2):
+        lines = replay.replay_in_order(spark, path, str(tmp_path / "index"), 200)
+        writer = lines.writeStream.option("checkpointLocation", str(tmp_path / "cp")).foreachBatch(handle)
+        query = writer.trigger(processingTime="0 seconds").start()
+        if len(seen) < 3:
+            with pytest.raises(StreamingQueryException):
+                query.awaitTermination()
+        else:
+            drain(query)
+    assert seen[2] == seen[3]
+    delivered = [line for _, lines in seen[:2] + seen[3:] for line in lines]
+    assert delivered == list(range(len(expected)))
+
+
 def test_records_for_a_topic(spark, trained):
     records = scoring.to_records(trained.predictions())
     assert records.columns == ["value"]
