@@ -2,20 +2,29 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tarmac.contract import FLIGHTS, Contract
-from tarmac.operators.vocabulary import MAX_SMALL_LABELS, Vocabulary, count_labels
-from tarmac.session import materialize
+from tarmac.operators.vocabulary import MAX_SMALL_LABELS, Size, Vocabulary
 
-# A label with more rows than this part of an even shuffle partition is kept out of
-# the shuffle by label, if it is short enough to be broadcast with its like.
+# A label with more rows than this part of an even shuffle partition is dealt over several. At most
+# so many labels can be that frequent in a column, and never more than HOT_LABELS are told apart:
+# beyond, a partition gets a 4096th of all rows by one label, which is no skew worth a copy.
 HOT_PER_PARTITION = 4
+HOT_LABELS = 4096
 HOT_BYTES = 1024
 
+# A sketch that tracks so many times the labels wanted errs by less than a quarter of the share that counts.
+_TRACKED = 16
+
+# Up to so many bytes of labels for each shuffle partition are hashed rather than sorted.
+_HASHED_BYTES = 16 * 1024 * 1024
+
 
 def encode(df: DataFrame, *indexers: StringIndexerModel) -> DataFrame:
     """Apply fitted indexers as one pipeline; nothing is fitted again."""
@@ -39,68 +48,110 @@ def encode_join(
     """Encode by looking labels up in the vocabulary table, at any vocabulary size.
 
     A vocabulary whose measured size is small is broadcast, so the rows do not
-    move; past that the rows are shuffled by label, hot labels apart. ``unseen`` is
+    move; past that the rows are shuffled by label, hot labels in parts. ``unseen`` is
     ``keep`` (unseen and null labels get the number of labels) or ``error``.
 
-    With a shuffled vocabulary ``df`` is read twice, to count its labels and to
-    encode it; all lookups are one plan without a copy in between. A stream is not
-    counted: its hot labels stay in the shuffle, where only null labels are spread.
+    With a shuffled vocabulary a sketch of ``df`` finds its hot labels, seen or not, in one pass that
+    shuffles a few kilobytes a task; all lookups are one plan, and nothing is written. A stream cannot be
+    read ahead, so labels that were hot in training count as hot there; within ``foreachBatch`` each batch
+    has its own sketch.
     """
     large = [c for c in contract.categorical if not vocabulary.sizes[c].small(max_labels)]
-    hot = _hot_labels(df, vocabulary, large) if large and not df.isStreaming else None
+    hot = {}
+    if large:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        find = trained_hot_labels if df.isStreaming else hot_labels
+        hot = find(vocabulary.table if df.isStreaming else df, large, partitions)
     for column, output in contract.index_columns.items():
         labels = vocabulary.of(column).select("label", F.col("idx").alias(output))
-        if column not in large:
-            df = _attach(df, F.broadcast(labels), column, output)
+        if column in large:
+            df = _attach_shuffled(df, labels, hot[column], vocabulary.sizes[column], column, output)
         else:
-            df = _attach_shuffled(df, labels, hot, column, output)
+            df = _attach(df, F.broadcast(labels), column, output)
         df = df.withColumn(output, _resolve(F.col(output), column, unseen, vocabulary.sizes[column].labels))
     return df
 
 
-def _attach(df: DataFrame, labels: DataFrame, column: str, output: str) -> DataFrame:
-    joined = df.join(labels, df[column] == labels["label"], "left")
-    return joined.select(*[df[c] for c in df.columns], labels[output])
+def _copies(counts: dict[str, int], total: int, partitions: int) -> dict[str, int]:
+    """Over how many parts each label is dealt that has more than its share of one shuffle partition."""
+    share = max(total / (HOT_PER_PARTITION * partitions), total / HOT_LABELS)
+    return {label: math.ceil(n / share) for label, n in counts.items() if n > share}
 
 
-def _hot_labels(df: DataFrame, vocabulary: Vocabulary, columns: list[str]) -> DataFrame:
-    """``field, label, idx`` of the labels, seen or unseen, with more rows than a share of one shuffle partition.
+def hot_labels(df: DataFrame, columns: list[str], partitions: int) -> dict[str, dict[str, int]]:
+    """Per column the labels with more rows than a share of one shuffle partition, and how many such shares.
 
-    At most ``HOT_PER_PARTITION`` labels per shuffle partition and column, none longer than ``HOT_BYTES``.
+    One mergeable sketch of frequent items for each column: its size does not depend on the labels, and it
+    misses none that is frequent. Labels longer than ``HOT_BYTES`` are left out.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = materialize(count_labels(df, columns), "row-labels")
-    totals = counts.groupBy("field").agg(F.sum("n").alias("total"))
-    frequent = F.col("n") * (HOT_PER_PARTITION * partitions) > F.col("total")
-    hot = counts.join(F.broadcast(totals), "field").where(frequent & (F.octet_length("label") <= HOT_BYTES))
-    hot = materialize(hot.select("field", "label"), "hot-labels")
-    seen = vocabulary.table.join(F.broadcast(hot), ["field", "label"]).select("field", "label", "idx")
-    return materialize(hot.join(seen, ["field", "label"], "left"), "hot-indexes")
+    wanted = min(HOT_PER_PARTITION * partitions, HOT_LABELS)
+    short = [F.when(F.octet_length(c) <= HOT_BYTES, F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(columns)]
+    sketches = [
+        part
+        for i in range(len(columns))
+        for part in (
+            F.count(f"c{i}").alias(f"n{i}"),
+            F.expr(f"approx_top_k(c{i}, {wanted}, {_TRACKED * wanted}) FILTER (WHERE c{i} IS NOT NULL)").alias(f"top{i}"),
+        )
+    ]
+    row = df.select(*short).agg(*sketches).first()
+    return {
+        c: _copies({e["item"]: e["count"] for e in row[f"top{i}"] or []}, row[f"n{i}"], partitions)
+        for i, c in enumerate(columns)
+    }
+
+
+def trained_hot_labels(table: DataFrame, columns: list[str], partitions: int) -> dict[str, dict[str, int]]:
+    """As ``hot_labels``, from the counts of a vocabulary."""
+    found = {}
+    for column in columns:
+        counts = table.where((F.col("field") == column) & (F.octet_length("label") <= HOT_BYTES))
+        total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        most = counts.orderBy(F.desc("n"), "label").limit(HOT_LABELS).select("label", "n").collect()
+        found[column] = _copies({r["label"]: r["n"] for r in most}, total, partitions)
+    return found
 
 
-def _attach_shuffled(df: DataFrame, labels: DataFrame, hot: DataFrame | None, column: str, output: str) -> DataFrame:
+def _attach(df: DataFrame, labels: DataFrame, column: str, output: str) -> DataFrame:
+    joined = df.join(labels, df[column] == labels["label"], "left")
+    return joined.select(*[df[c] for c in df.columns], labels[output])
+
+
+def _attach_shuffled(
+    df: DataFrame, labels: DataFrame, hot: dict[str, int], size: Size, column: str, output: str
+) -> DataFrame:
     """Left lookup against a vocabulary too large to broadcast, safe for any label skew.
 
-    Hot labels are looked up by broadcast and null labels need no lookup. Such rows
-    take part in the shuffled join under a hash of the row, which scatters them, and
-    a flag that no label has, so they meet nothing there.
+    The rows of a hot label are dealt over as many parts as it has shares, by a hash of the row, and the
+    label's entry is there once for each part. Null labels need no lookup: such rows take part under a hash
+    of the row, which scatters them, and a flag that no label has, so they meet nothing.
     """
-    columns = df.columns
-    settled = F.col(column).isNull()
-    if hot is not None:
-        lookup = hot.where(F.col("field") == column).select(F.col("label").alias("_hot"), F.col("idx").alias("_hot_idx"))
-        df = df.join(F.broadcast(lookup), F.col(column) == F.col("_hot"), "left")
-        settled = settled | F.col("_hot").isNotNull()
-    scattered = F.xxhash64(*[F.col(f"`{c}`") for c in columns]).cast("string")
+    spark, columns = df.sparkSession, df.columns
+    copies = spark.createDataFrame(list(hot.items()), "_hot string, _copies int")
+    labels = labels.select(F.col("label").alias("_label"), F.lit(True).alias("_is_label"), output)
+    one = F.coalesce("_copies", F.lit(1))
+    if hot:
+        df = df.join(F.broadcast(copies), F.col(f"`{column}`") == F.col("_hot"), "left")
+        labels = labels.join(F.broadcast(copies), F.col("_label") == F.col("_hot"), "left")
+        labels = labels.select("_label", "_is_label", output, F.explode(F.sequence(F.lit(0), one - 1)).alias("_of"))
+    else:
+        df, labels = df.withColumn("_copies", F.lit(None).cast("int")), labels.withColumn("_of", F.lit(0))
+    scattered = F.xxhash64(*[F.col(f"`{c}`") for c in columns])
+    absent = F.col(f"`{column}`").isNull()
     probing = df.withColumns(
-        {"_key": F.when(settled, scattered).otherwise(F.col(column)), "_looks_up": ~settled}
+        {
+            "_key": F.when(absent, scattered.cast("string")).otherwise(F.col(f"`{column}`")),
+            "_looks_up": ~absent,
+            "_part": F.pmod(scattered, one).cast("int"),
+        }
     )
-    labels = labels.select(F.col("label").alias("_label"), F.lit(True).alias("_is_label"), output)
-    matched = (F.col("_key") == F.col("_label")) & (F.col("_looks_up") == F.col("_is_label"))
+    pairs = (("_key", "_label"), ("_looks_up", "_is_label"), ("_part", "_of"))
+    matched = [F.col(a) == F.col(b) for a, b in pairs]
     # the engine must not broadcast a table that may outgrow memory, whatever its estimate says
-    joined = probing.join(labels.hint("merge"), matched, "left")
-    index = F.col(output) if hot is None else F.coalesce("_hot_idx", output)
-    return joined.select(*[F.col(f"`{c}`") for c in columns], index.alias(output))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hashed = size.bytes <= _HASHED_BYTES * partitions
+    joined = probing.join(labels.hint("shuffle_hash" if hashed else "merge"), matched, "left")
+    return joined.select(*[F.col(f"`{c}`") for c in columns], output)
 
 
 def assembler(contract: Contract = FLIGHTS) -> VectorAssembler:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tarmac.checks.compare import _sorted_rows
 from tarmac.contract import FLIGHTS
 from tarmac.operators.clean import drop_any_null
-from tarmac.operators.encoding import _hot_labels, assemble, encode, encode_join, vector_slots
+from tarmac.operators.encoding import assemble, encode, encode_join, hot_labels, trained_hot_labels, vector_slots
 from tarmac.operators.vocabulary import VocabularyTooLarge, fit_vocabulary, from_indexers, to_indexers
 from tarmac.session import materialize
 
@@ -109,8 +109,10 @@ def test_shuffled_lookup_with_hot_labels(spark):
         "WHEN id % 3 = 2 AND id > 600 THEN NULL ELSE concat('r', id) END AS x",
     )
     vocabulary = fit_vocabulary(df.where("x <> 'unseen'"), ["x"], one)
-    hot = _hot_labels(df, vocabulary, ["x"]).collect()
-    assert {r["label"]: r["idx"] for r in hot} == {"hot": 0.0, "unseen": None}
+    hot = hot_labels(df, ["x"], 8)["x"]
+    assert set(hot) == {"hot", "unseen"} and min(hot.values()) > 8
+    trained = trained_hot_labels(vocabulary.table, ["x"], 8)["x"]
+    assert set(trained) == {"hot"}
     shuffled = encode_join(df, vocabulary, one, max_labels=0)
     assert rows_of(shuffled) == rows_of(encode_join(df, vocabulary, one))
     assert shuffled.count() == 9000
@@ -118,7 +120,40 @@ def test_shuffled_lookup_with_hot_labels(spark):
 
 def test_shuffled_lookup_is_shuffled_and_copies_nothing(flights, partial, plan):
     text = plan(encode_join(materialize(flights, "test"), partial, max_labels=0))
-    assert text.count("SortMergeJoin") == 4 and "Union" not in text
+    assert text.count("ShuffledHashJoin") == 4 and "Union" not in text
+
+
+def test_a_hot_label_is_dealt_over_tasks(spark):
+    """No task of the lookup gets more than a few times an even share of the rows."""
+    from tarmac.contract import Contract, Field
+
+    one = Contract((Field(0, "x", "string"),), 1, "y", {"x": "xi"})
+    df = spark.range(40_000).selectExpr("id", "CASE WHEN id % 2 = 0 THEN 'hot' ELSE concat('r', id % 9999) END AS x")
+    vocabulary = fit_vocabulary(df, ["x"], one)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        encoded = encode_join(df, vocabulary, one, max_labels=0).withColumn("task", F.spark_partition_id())
+        sizes = [r["count"] for r in encoded.groupBy("task").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 40_000 and max(sizes) < 3 * 40_000 / 8
+
+
+def test_a_sketch_misses_no_hot_label(spark):
+    """Five labels of two hundredths each among a hundred thousand rare ones, in every partition alike."""
+    df = spark.range(0, 200_000, 1, 16).selectExpr(
+        "CASE WHEN id % 50 < 5 THEN concat('hot', id % 50) ELSE concat('r', id % 99991) END AS x", "cast(null AS string) AS y"
+    )
+    hot = hot_labels(df, ["x", "y"], 16)
+    assert set(hot["x"]) == {f"hot{i}" for i in range(5)} and hot["y"] == {}
+
+
+def test_a_lookup_writes_nothing(flights, partial, monkeypatch):
+    from tarmac import session
+
+    flights.count()
+    monkeypatch.setattr(session, "fresh_folder", lambda *a: pytest.fail("a table was written"))
+    assert encode_join(flights, partial, max_labels=0).count() == flights.count()
 
 
 def test_lookup_on_a_stream(spark, typed, partial, tmp_path):
