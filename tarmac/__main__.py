@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 
 from tarmac.contract import FLIGHTS
 from tarmac.operators.clean import project_cast
+from tarmac.operators.vocabulary import MAX_SMALL_LABELS
 from tarmac.operators.words import count_directory
 from tarmac.plans import replay, training
 from tarmac.session import build_session, delete_written
@@ -33,10 +34,14 @@ def _train(spark: SparkSession, args: argparse.Namespace) -> None:
         key=args.key,
         seed=args.seed,
         vocabulary_from=args.vocabulary_from,
+        max_labels=args.max_labels,
+        statistics_above=args.statistics_above,
     )
     training.save_pipeline(trained.pipeline, args.model)
     if args.vocabularies:
-        training.save_vocabularies(trained.vocabulary, args.vocabularies)
+        training.save_vocabularies(
+            trained.vocabulary, args.vocabularies, statistics=trained.statistics, max_labels=args.max_labels
+        )
     if args.classifier:
         training.save_model(trained.model, args.classifier)
     if args.preview:
@@ -119,6 +124,11 @@ def parser() -> argparse.ArgumentParser:
     train.add_argument("--preview", type=int, default=0, help="print the schema and this many encoded training rows")
     train.add_argument("--classifier", help="also save the classifier alone here, for use with --vocabularies")
     train.add_argument("--max-bins", type=int, default=training.MAX_BINS, help="forest bins, raised to the vocabulary")
+    train.add_argument(
+        "--statistics-above", type=int, default=training.STATISTICS_ABOVE,
+        help="a column with more labels becomes the mean of its label's rows, an ordered feature",
+    )
+    train.add_argument("--max-labels", type=int, default=MAX_SMALL_LABELS, help="labels of a column that the driver may hold")
     train.add_argument("--max-columns", type=int, default=files.MAX_COLUMNS, help="most fields of a CSV line")
     train.set_defaults(run=_train)
 

@@ -44,34 +44,55 @@ def encode_join(
     contract: Contract = FLIGHTS,
     unseen: str = "keep",
     max_labels: int = MAX_SMALL_LABELS,
+    columns: list[str] | None = None,
 ) -> DataFrame:
     """Encode by looking labels up in the vocabulary table, at any vocabulary size.
 
     A vocabulary whose measured size is small is broadcast, so the rows do not
     move; past that the rows are shuffled by label, hot labels in parts. ``unseen`` is
-    ``keep`` (unseen and null labels get the number of labels) or ``error``.
+    ``keep`` (unseen and null labels get the number of labels) or ``error``. ``columns`` are
+    the categorical columns to encode, by default all.
 
     With a shuffled vocabulary a sketch of ``df`` finds its hot labels, seen or not, in one pass that
     shuffles a few kilobytes a task; all lookups are one plan, and nothing is written. A stream cannot be
     read ahead, so labels that were hot in training count as hot there; within ``foreachBatch`` each batch
     has its own sketch.
     """
-    large = [c for c in contract.categorical if not vocabulary.sizes[c].small(max_labels)]
-    hot = {}
-    if large:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        find = trained_hot_labels if df.isStreaming else hot_labels
-        hot = find(vocabulary.table if df.isStreaming else df, large, partitions)
-    for column, output in contract.index_columns.items():
+    columns = contract.categorical if columns is None else columns
+    large = [c for c in columns if not vocabulary.sizes[c].small(max_labels)]
+    hot = _hot(df, large, vocabulary.table) if large else {}
+    for column in columns:
+        output = contract.index_columns[column]
         labels = vocabulary.of(column).select("label", F.col("idx").alias(output))
-        if column in large:
-            df = _attach_shuffled(df, labels, hot[column], vocabulary.sizes[column], column, output)
-        else:
-            df = _attach(df, F.broadcast(labels), column, output)
+        df = _looked_up(df, labels, column, output, vocabulary.sizes[column], hot.get(column))
         df = df.withColumn(output, _resolve(F.col(output), column, unseen, vocabulary.sizes[column].labels))
     return df
 
 
+def lookup(
+    df: DataFrame, labels: DataFrame, column: str, output: str, size: Size, max_labels: int = MAX_SMALL_LABELS
+) -> DataFrame:
+    """Adds ``output`` of the table ``label, output`` for the labels of a column; null where there is none."""
+    hot = None if size.small(max_labels) else _hot(df, [column], None)[column]
+    return _looked_up(df, labels, column, output, size, hot)
+
+
+def _hot(df: DataFrame, columns: list[str], trained: DataFrame | None) -> dict[str, dict[str, int]]:
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if not df.isStreaming:
+        return hot_labels(df, columns, partitions)
+    return {c: {} for c in columns} if trained is None else trained_hot_labels(trained, columns, partitions)
+
+
+def _looked_up(
+    df: DataFrame, labels: DataFrame, column: str, output: str, size: Size, hot: dict[str, int] | None
+) -> DataFrame:
+    """By broadcast, or by a shuffle if the labels are too many for it and ``hot`` is given."""
+    if hot is None:
+        return _attach(df, F.broadcast(labels), column, output)
+    return _attach_shuffled(df, labels, hot, size, column, output)
+
+
 def _copies(counts: dict[str, int], total: int, partitions: int) -> dict[str, int]:
     """Over how many parts each label is dealt that has more than its share of one shuffle partition."""
     share = max(total / (HOT_PER_PARTITION * partitions), total / HOT_LABELS)

@@ -36,7 +36,7 @@ class Vocabulary:
         return self.table.where(F.col("field") == column).select("label", "n", "idx")
 
     def largest(self) -> int:
-        return max(size.labels for size in self.sizes.values())
+        return max((size.labels for size in self.sizes.values()), default=0)
 
 
 class VocabularyTooLarge(ValueError):

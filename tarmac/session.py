@@ -69,6 +69,49 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return system.exists(marker)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    system, located = _located(spark, path)
+    return system.exists(located)
+
+
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder, in order; none if there is no such folder."""
+    system, located = _located(spark, path)
+    return sorted(s.getPath().getName() for s in system.listStatus(located)) if system.exists(located) else []
+
+
+def deleted(spark: SparkSession, path: str) -> None:
+    system, located = _located(spark, path)
+    system.delete(located, True)
+
+
+def publish_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small text at ``path`` in one step: a reader sees the whole of it, or what was there before."""
+    jvm = spark.sparkContext._jvm
+    system, draft = _located(spark, f"{path}.{uuid.uuid4().hex}.draft")
+    stream = system.create(draft, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    target = system.makeQualified(jvm.org.apache.hadoop.fs.Path(path))
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context.rename(system.makeQualified(draft), target, options)
+
+
+def published_text(spark: SparkSession, path: str) -> str | None:
+    """What ``publish_text`` put at ``path``, or none."""
+    system, located = _located(spark, path)
+    if not system.exists(located):
+        return None
+    stream = system.open(located)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def delete_written(spark: SparkSession) -> None:
     """Delete what this process has written below the shared folder, once no frame refers to it any more."""
     while _WRITTEN:

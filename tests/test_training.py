@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -7,8 +9,10 @@ from tarmac.contract import FLIGHTS
 from tarmac.operators.clean import drop_any_null
 from tarmac.operators.evaluate import accuracy, preview_top, row_count
 from tarmac.operators.vocabulary import Size, Vocabulary
+from tarmac.operators.statistics import SMOOTHING, fit_statistics, fold_of, with_other_folds, with_statistics
+from tarmac.plans.artefact import ArtefactError
 from tarmac.plans.training import (
-    LookupPipeline, draw, forest, load_pipeline, load_vocabularies, logistic, save_model, save_pipeline, save_vocabularies, scoring_pipeline, train,
+    LookupPipeline, draw, forest, load_pipeline, load_vocabularies, logistic, pipeline_of, save_model, save_pipeline, save_vocabularies, scoring_pipeline, train,
 )
 
 
@@ -117,6 +121,112 @@ def test_forest_of_many_labels(typed):
     assert result.vocabulary.largest() > 4096 and result.metrics["n"] > 0
 
 
+def _other_means(rows, column, label):
+    """Out-of-fold and whole means of a label, by plain Python."""
+    rows = [r.asDict() for r in rows.withColumn("fold", fold_of(rows)).collect()]
+    prior = sum(r[label] for r in rows) / len(rows)
+    smooth = lambda some: (sum(r[label] for r in some) + SMOOTHING * prior) / (len(some) + SMOOTHING)
+    by_label = {}
+    for r in rows:
+        by_label.setdefault(r[column], []).append(r)
+    folds = {r["FLIGHT_ID"]: smooth([o for o in by_label[r[column]] if o["fold"] != r["fold"]]) for r in rows}
+    return folds, {r["FLIGHT_ID"]: smooth(by_label[r[column]]) for r in rows}, prior
+
+
+@pytest.mark.parametrize("max_labels", [0, 1000])
+def test_statistics_equal_plain_means(typed, max_labels):
+    rows = drop_any_null(typed)
+    column, output = "PREVIOUS_AIRPORT", "PreviousAirportIndex"
+    statistics = fit_statistics(rows, [column])
+    folds, whole, prior = _other_means(rows, column, FLIGHTS.label)
+    for encoded, expected in ((with_other_folds(rows, statistics, max_labels=max_labels), folds),
+                              (with_statistics(rows, statistics, max_labels=max_labels), whole)):
+        assert encoded.columns == [*rows.columns, output]
+        found = {r["FLIGHT_ID"]: r[output] for r in encoded.collect()}
+        assert found.keys() == expected.keys() and all(found[k] == pytest.approx(expected[k]) for k in found)
+    strange = rows.withColumn(column, F.when(F.col("FLIGHT_ID") % 2 == 0, "never seen"))
+    means = with_statistics(strange, statistics, max_labels=max_labels).select(output).distinct().collect()
+    assert [r[0] for r in means] == [pytest.approx(prior)]
+
+
+def test_forest_on_statistics_is_as_right(typed, trained):
+    """The airports as means of their flights, and the rest as categories."""
+    result = train(typed, forest, sample=1.0, key="FLIGHT_ID", statistics_above=20)
+    assert result.statistics.columns == ["DEPARTING_AIRPORT", "PREVIOUS_AIRPORT"]
+    assert result.pipeline.numbered == ["DEP_BLOCK", "CARRIER_NAME"] and result.indexers == []
+    assert abs(result.metrics["accuracy"] - trained.metrics["accuracy"]) <= 0.005
+
+
+def test_forest_bins_do_not_grow_with_labels(spark, typed):
+    """A hundred thousand labels, whose flights are late or not by the label, are learned with 343 bins."""
+    copies = F.explode(F.sequence(F.lit(0), F.lit(int(300_000 / typed.count()))))
+    rows = typed.select("*", copies.alias("copy")).withColumn("PREVIOUS_AIRPORT", F.concat(F.lit("x"), F.pmod(F.xxhash64("FLIGHT_ID", "copy"), F.lit(100_000))))
+    rows = rows.withColumn(FLIGHTS.label, (F.crc32("PREVIOUS_AIRPORT") % 2).cast("double"))
+    rows = rows.withColumn("FLIGHT_ID", F.col("FLIGHT_ID") * 1000 + F.col("copy")).drop("copy")
+    bins = []
+
+    def counted(contract, vocabulary, seed):
+        estimator = forest(contract, vocabulary, seed)
+        bins.append(estimator.getMaxBins())
+        return estimator
+
+    result = train(rows, counted, sample=1.0, key="FLIGHT_ID")
+    late = result.test.agg(F.avg(FLIGHTS.label)).first()[0]
+    assert bins == [343] and result.vocabulary.largest() > 80_000
+    assert result.metrics["accuracy"] > max(late, 1 - late) + 0.1
+
+
+def test_artefacts_of_any_size(spark, typed, trained, tmp_path):
+    """Vocabularies past the driver, with and without statistics, as parts and as a whole."""
+    for above in (None, 20):
+        large = train(typed, forest, sample=1.0, key="FLIGHT_ID", max_labels=0, statistics_above=above)
+        parts, whole = str(tmp_path / f"parts-{above}"), str(tmp_path / f"whole-{above}")
+        save_vocabularies(large.vocabulary, f"{parts}/vocabularies", statistics=large.statistics, max_labels=0)
+        save_model(large.model, f"{parts}/classifier")
+        save_pipeline(large.pipeline, whole)
+        expected = predictions(large.predictions())
+        for loaded in (pipeline_of(f"{parts}/vocabularies", f"{parts}/classifier"), load_pipeline(whole)):
+            assert isinstance(loaded, LookupPipeline) and loaded.numbered == large.pipeline.numbered
+            assert predictions(loaded.transform(large.test)) == expected
+
+
+def test_incomplete_and_foreign_artefacts_are_refused(spark, typed, trained, tmp_path):
+    large = train(typed, logistic, sample=1.0, key="FLIGHT_ID", max_labels=0)
+    path = tmp_path / "model"
+    with pytest.raises(ArtefactError, match="no manifest"):
+        load_pipeline(str(path))
+    save_pipeline(large.pipeline, str(path))
+    load_pipeline(str(path))
+    other = replace(FLIGHTS, index_columns=dict(reversed(FLIGHTS.index_columns.items())))
+    with pytest.raises(ArtefactError, match="other columns"):
+        load_pipeline(str(path), other)
+    folder = next(path.glob("parts-*"))
+    one = next((folder / "vocabulary").glob("*.parquet"))
+    one.rename(tmp_path / "aside")
+    with pytest.raises(ArtefactError, match="not what was saved"):
+        load_pipeline(str(path))
+    (tmp_path / "aside").rename(one)
+    load_pipeline(str(path))
+    (path / "manifest.json").rename(tmp_path / "manifest")
+    with pytest.raises(ArtefactError, match="no manifest"):
+        load_pipeline(str(path))
+    save_pipeline(trained.pipeline, str(tmp_path / "plain"))
+    part = next((tmp_path / "plain" / "stages").rglob("part-*"))
+    part.write_bytes(part.read_bytes()[:-1])
+    (part.parent / f".{part.name}.crc").unlink(missing_ok=True)
+    with pytest.raises(ArtefactError, match="not what was saved"):
+        load_pipeline(str(tmp_path / "plain"))
+
+
+def test_an_artefact_is_replaced_in_one_step(typed, tmp_path):
+    path = tmp_path / "model"
+    for seed in (1, 2, 3):
+        large = train(typed, logistic, sample=0.5, key="FLIGHT_ID", max_labels=0, seed=seed)
+        save_pipeline(large.pipeline, str(path))
+    assert len(list(path.glob("parts-*"))) == 2 and not list(path.glob("*.draft"))
+    assert predictions(load_pipeline(str(path)).transform(large.test)) == predictions(large.predictions())
+
+
 def test_infinite_numbers_are_missing(typed):
     spoiled = typed.withColumn("AWND", F.when(F.col("FLIGHT_ID") % 40 == 0, F.lit(float("inf"))).otherwise(F.col("AWND")))
     result = train(spoiled, logistic, sample=1.0, key="FLIGHT_ID")
