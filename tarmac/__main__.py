@@ -6,16 +6,17 @@ import argparse
 import sys
 from functools import partial
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.contract import FLIGHTS
 from tarmac.operators.clean import project_cast
 from tarmac.operators.vocabulary import MAX_SMALL_LABELS
 from tarmac.operators.words import count_directory
 from tarmac.plans import replay, training
+from tarmac.plans.store import ModelStore, OneModel
 from tarmac.session import build_session, delete_written
 from tarmac.sources import files, streams
-from tarmac.streaming import scoring
+from tarmac.streaming import commits, scoring
 
 ESTIMATORS = {
     "forest": lambda args: partial(training.forest, max_bins=args.max_bins),
@@ -37,7 +38,10 @@ def _train(spark: SparkSession, args: argparse.Namespace) -> None:
         max_labels=args.max_labels,
         statistics_above=args.statistics_above,
     )
-    training.save_pipeline(trained.pipeline, args.model)
+    if args.model:
+        training.save_pipeline(trained.pipeline, args.model)
+    if args.store:
+        print(f"model version {ModelStore(spark, args.store).add(trained.pipeline)}")
     if args.vocabularies:
         training.save_vocabularies(
             trained.vocabulary, args.vocabularies, statistics=trained.statistics, max_labels=args.max_labels
@@ -70,16 +74,33 @@ def _open_lines(spark: SparkSession, args: argparse.Namespace):
 
 
 def _score(spark: SparkSession, args: argparse.Namespace) -> None:
-    if args.model:
-        model = training.load_pipeline(args.model)
+    if args.store:
+        models = ModelStore(spark, args.store)
+    elif args.model:
+        models = OneModel(training.load_pipeline(args.model), args.model)
     else:
-        model = training.pipeline_of(args.vocabularies, args.classifier)
+        models = OneModel(training.pipeline_of(args.vocabularies, args.classifier), args.classifier)
     routed = scoring.route(_open_lines(spark, args), FLIGHTS, args.require_label)
+    publish = partial(streams.publish, topic=_topic(args, args.to_topic)) if args.to_topic else None
+    seconds = None if args.once else args.seconds
+    if not args.dead:
+        after = partial(_after_commit, show=args.show, publish=publish)
+        commits.score_committed(routed, models, args.out, args.checkpoint, seconds, after).awaitTermination()
+        return
+    model = models.load(models.current())
     handle = scoring.score_routed(
-        model, scoring.write_batch(args.out), scoring.write_batch(args.dead), args.show,
-        publish=partial(streams.publish, topic=_topic(args, args.to_topic)) if args.to_topic else None,
-    )
-    scoring.each_batch(routed, handle, args.checkpoint, None if args.once else args.seconds).awaitTermination()
+        model, scoring.write_batch(args.out), scoring.write_batch(args.dead), args.show, publish=publish
+    )
+    scoring.each_batch(routed, handle, args.checkpoint, seconds).awaitTermination()
+
+
+def _after_commit(rows: DataFrame, commit: dict, show: int, publish) -> None:
+    good = rows.where("route = 'good'").drop("route", "missing", "value")
+    if publish:
+        publish(scoring.to_records(good))
+    if show:
+        good.show(show)
+    print(f"batch {commit['batch']}: {commit['good']} scored by {commit['version']}, {commit['dead']} dead")
 
 
 def _replay(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -113,7 +134,8 @@ def parser() -> argparse.ArgumentParser:
 
     train = jobs.add_parser("train", help="train on a headered CSV and save the pipeline")
     train.add_argument("--data", required=True)
-    train.add_argument("--model", required=True)
+    train.add_argument("--model", help="save the pipeline here")
+    train.add_argument("--store", help="add the pipeline to this folder of versions and put it in use")
     train.add_argument("--vocabularies", help="also save one indexer per categorical column here")
     train.add_argument("--estimator", choices=sorted(ESTIMATORS), default="forest")
     train.add_argument("--sample", type=float, default=0.3)
@@ -135,13 +157,16 @@ def parser() -> argparse.ArgumentParser:
     score = jobs.add_parser("score", help="score a stream of CSV lines with a saved pipeline")
     saved = score.add_mutually_exclusive_group(required=True)
     saved.add_argument("--model", help="a saved pipeline")
+    saved.add_argument("--store", help="a folder of versions; each batch takes the one in use when it begins")
     saved.add_argument("--vocabularies", help="separately saved vocabularies, with --classifier")
     score.add_argument("--classifier", help="a classifier saved alone")
     score.add_argument("--to-topic", help="also publish each prediction as JSON to this topic of --servers")
     score.add_argument("--min-partitions", type=int, help="least read tasks per micro-batch of a topic")
     score.add_argument("--group-prefix", help="prefix of the consumer group ids")
     score.add_argument("--out", required=True, help="folder for the predictions")
-    score.add_argument("--dead", required=True, help="folder for lines that cannot be scored")
+    score.add_argument(
+        "--dead", help="folder for lines that cannot be scored; without it both outputs of a batch are committed to --out at once"
+    )
     score.add_argument("--checkpoint", required=True)
     source = score.add_mutually_exclusive_group(required=True)
     source.add_argument("--servers", help="Kafka bootstrap servers")

@@ -179,9 +179,12 @@ def assembler(contract: Contract = FLIGHTS) -> VectorAssembler:
     return VectorAssembler(inputCols=contract.features, outputCol=contract.vector)
 
 
-def assemble(df: DataFrame, contract: Contract = FLIGHTS) -> DataFrame:
-    """Add the feature vector, slots in the contract's pinned order."""
-    return assembler(contract).transform(df)
+def assemble(df: DataFrame, contract: Contract = FLIGHTS, invalid: str = "error") -> DataFrame:
+    """Add the feature vector, slots in the contract's pinned order.
+
+    ``invalid`` is ``error``, or ``keep`` to have missing numbers as NaN.
+    """
+    return assembler(contract).setHandleInvalid(invalid).transform(df)
 
 
 def vector_slots(df: DataFrame, contract: Contract = FLIGHTS, keep: tuple[str, ...] = ()) -> DataFrame:

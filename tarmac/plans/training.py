@@ -63,11 +63,11 @@ class LookupPipeline:
     def numbered(self) -> list[str]:
         return _numbered(self.contract, self.statistics)
 
-    def transform(self, rows: DataFrame) -> DataFrame:
+    def transform(self, rows: DataFrame, invalid: str = "error") -> DataFrame:
         encoded = encode_join(rows, self.vocabulary, self.contract, max_labels=self.max_labels, columns=self.numbered)
         if self.statistics:
             encoded = with_statistics(encoded, self.statistics, self.contract, self.max_labels)
-        return self.model.transform(assemble(encoded, self.contract))
+        return self.model.transform(assemble(encoded, self.contract, invalid))
 
 
 def _numbered(contract: Contract, statistics: Statistics | None) -> list[str]:
