@@ -5,6 +5,7 @@ from __future__ import annotations
 from tarmac.checks.fixtures import FLIGHTS_LINES, FLIGHTS_RAW
 from tarmac.contract import FLIGHTS
 from tarmac.operators.sampling import SAMPLE_RULE, SPLIT_RULE, threshold
+from tarmac.operators.statistics import SMOOTHING
 
 COLUMNS = ", ".join(FLIGHTS.columns)
 INPUTS = ", ".join(FLIGHTS.inputs)
@@ -83,12 +84,32 @@ QUALITY = """SELECT count(*) FILTER (WHERE part = 'train') AS n_train,
               TRUE AS {claim}
        FROM parts"""
 
+SEEN = f"(SELECT * FROM clean WHERE {VOCABULARY_ROWS}) AS seen"
+
+
+def _statistics(source: str, columns: list[str]) -> str:
+    parts = [f"SELECT '{c}' AS field, {c} AS label, DEP_DEL15 AS target FROM {source}" for c in columns]
+    return f"""SELECT field, label, count(*) AS n, sum(target) AS total
+               FROM ({" UNION ALL ".join(parts)}) AS long WHERE label IS NOT NULL GROUP BY field, label"""
+
+
+def _means(column: str) -> str:
+    prior = f"(SELECT avg(DEP_DEL15) FROM {SEEN})"
+    return f"""SELECT {column} AS label, (sum(DEP_DEL15) + {SMOOTHING} * {prior}) / (count(*) + {SMOOTHING}) AS mean
+               FROM {SEEN} GROUP BY {column}"""
+
+
 ORACLE = {
     "scan_csv": _query(
         "SELECT CAST(FLIGHT_ID AS VARCHAR) AS FLIGHT_ID, "
         + ", ".join(f"nullif({c}, '') AS {c}" for c in FLIGHTS.columns)
         + " FROM flights_raw"
     ),
+    "scan_csv_by_name": _query(
+        "SELECT CAST(FLIGHT_ID AS VARCHAR) AS FLIGHT_ID, "
+        + ", ".join(f"nullif({c}, '') AS {c}" for c in FLIGHTS.columns)
+        + " FROM flights_raw"
+    ),
     "scan_lines": _query(f"SELECT {RAW_LINE} AS value FROM flights_raw"),
     "stream_source": _query("SELECT value FROM flights_lines"),
     "replay_sink": _query(f"SELECT {RAW_LINE} AS value FROM flights_raw"),
@@ -117,6 +138,21 @@ ORACLE = {
     "row_count": _query("SELECT count(*) AS n FROM clean"),
     "vocab_fit": _query("SELECT field, label, n, idx FROM vocabulary"),
     "vocab_fit_distributed": _query("SELECT field, label, n, idx FROM vocabulary"),
+    "vocab_generations": _query("SELECT field, label, n, idx FROM vocabulary"),
+    "hot_labels": _query(
+        """SELECT field, label, CAST(ceil(n / (total / 32.0)) AS INTEGER) AS shares
+           FROM (SELECT *, sum(n) OVER (PARTITION BY field) AS total FROM vocabulary) AS counted
+           WHERE n > total / 32.0"""
+    ),
+    "label_statistics": _query(_statistics("clean", FLIGHTS.categorical)),
+    "encode_statistics": _query(
+        f"""SELECT FLIGHT_ID,
+              round(coalesce(d.mean, (SELECT avg(DEP_DEL15) FROM {SEEN})), 9) AS DepartingAirportIndex,
+              round(coalesce(p.mean, (SELECT avg(DEP_DEL15) FROM {SEEN})), 9) AS PreviousAirportIndex
+            FROM typed
+            LEFT JOIN ({_means("DEPARTING_AIRPORT")}) d ON d.label = DEPARTING_AIRPORT
+            LEFT JOIN ({_means("PREVIOUS_AIRPORT")}) p ON p.label = PREVIOUS_AIRPORT"""
+    ),
     "vocab_roundtrip": _query("SELECT field, label, n, idx, idx AS loaded_idx FROM vocabulary"),
     "encode": _query(f"SELECT FLIGHT_ID, {', '.join(FLIGHTS.indexes)} FROM encoded"),
     "encode_keep": _query(_encoded("typed", "part_vocabulary", INPUTS)),
@@ -130,6 +166,7 @@ ORACLE = {
     "word_count": _query("SELECT word, n FROM words ORDER BY word"),
     "word_count_files": _query("SELECT word, n FROM words ORDER BY word"),
     "model_roundtrip": _query("SELECT FLIGHT_ID, TRUE AS same_prediction FROM parts WHERE part = 'test'"),
+    "artefact_roundtrip": _query("SELECT FLIGHT_ID, TRUE AS same_prediction FROM parts WHERE part = 'test'"),
     "rf_quality": _query(QUALITY.format(claim="nearly_always_right")),
     "rf_predict_bounds": _query("SELECT FLIGHT_ID, TRUE AS sound FROM parts WHERE part = 'test'"),
     "stream_score_bounds": _query("SELECT FLIGHT_ID, TRUE AS sound FROM scorable"),
@@ -144,5 +181,15 @@ ORACLE = {
             JOIN (SELECT value, CAST(string_split(value, ',')[2] AS BIGINT) AS line_id FROM flights_lines) AS lines
               ON line_id = FLIGHT_ID"""
     ),
+    "stream_committed": _query(
+        f"""SELECT FLIGHT_ID, CASE WHEN {_all_present(FLIGHTS.inputs)} THEN 'good' ELSE 'dead' END AS route,
+                   {MISSING} AS missing, {_all_present(FLIGHTS.inputs)} AS is_scored
+            FROM typed"""
+    ),
+    "stream_model_switch": _query("SELECT FLIGHT_ID, TRUE AS same_prediction FROM scorable"),
+    "stream_progress": _query(
+        "SELECT (SELECT count(*) FROM scorable) AS good, (SELECT count(*) FROM typed) - (SELECT count(*) FROM scorable) AS dead, "
+        "CAST(0 AS BIGINT) AS failed"
+    ),
     "stream_score_parity": _query("SELECT FLIGHT_ID, TRUE AS same_prediction FROM scorable"),
 }

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark.errors import StreamingQueryException
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,11 +16,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tarmac.checks.fixtures import LINE_ID, documents, flights_lines, flights_raw, flights_table, flights_typed, table
 from tarmac.checks.oracle import VOCABULARY_ROWS
 from tarmac.contract import FLIGHTS
-from tarmac.operators import clean, encoding, evaluate, sampling, vocabulary, words
+from tarmac.operators import clean, encoding, evaluate, sampling, statistics, vocabulary, words
+from tarmac.operators.generations import GrowingVocabulary
 from tarmac.plans import replay, training
-from tarmac.session import fresh_folder
-from tarmac.sources import files, streams
-from tarmac.streaming import scoring
+from tarmac.plans.store import ModelStore, OneModel
+from tarmac.session import exists, fresh_folder, materialize, publish_text
+from tarmac.sources import files, headers, streams
+from tarmac.streaming import commits, progress, scoring
 
 ID = ("FLIGHT_ID",)
 
@@ -55,6 +58,16 @@ def scan_csv(spark: SparkSession, sf: str) -> DataFrame:
     return files.read_csv(spark, _landed_csv(spark, sf))
 
 
+def scan_csv_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    """The records in files of three headers: their columns in order, reversed, and with one more between."""
+    path, raw = fresh_folder(spark, "mixed-csv"), flights_raw(spark, sf)
+    middle = len(raw.columns) // 2
+    more = [*raw.columns[:middle], F.lit("x").alias("REMARK"), *raw.columns[middle:]]
+    for i, columns in enumerate((raw.columns, raw.columns[::-1], more)):
+        files.write_csv(raw.where(F.col("FLIGHT_ID") % 3 == i).select(columns), f"{path}/{i}")
+    return headers.read_csv_by_name(spark, path, raw.columns)
+
+
 def scan_lines(spark: SparkSession, sf: str) -> DataFrame:
     return files.scan_lines(spark, _landed_csv(spark, sf))
 
@@ -218,6 +231,35 @@ def vocab_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return stored.join(loaded.withColumnRenamed("idx", "loaded_idx"), ["field", "label"], "full")
 
 
+def vocab_generations(spark: SparkSession, sf: str) -> DataFrame:
+    """Five days added one after another and compacted on the way, then numbered."""
+    store = GrowingVocabulary(spark, fresh_folder(spark, "generations"))
+    rows = _clean(spark, sf)
+    for day in range(5):
+        store.add(rows.where(F.col("FLIGHT_ID") % 5 == day), f"day {day}", most=3)
+    return store.fit().table
+
+
+def hot_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """Labels with more rows than a quarter of an eighth, and how many such shares they have, by the sketch."""
+    found = encoding.hot_labels(_clean(spark, sf), FLIGHTS.categorical, 8)
+    rows = [(field, label, shares) for field, labels in found.items() for label, shares in labels.items()]
+    return spark.createDataFrame(rows, "field string, label string, shares int")
+
+
+def label_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    fitted = statistics.fit_statistics(_clean(spark, sf), FLIGHTS.categorical)
+    return fitted.table.where("fold = -1").select("field", "label", "n", "total")
+
+
+def encode_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    """Airports as means over the flights of two carriers in three; unseen and null ones as the mean of all."""
+    airports = ["DEPARTING_AIRPORT", "PREVIOUS_AIRPORT"]
+    fitted = statistics.fit_statistics(_clean(spark, sf).where(VOCABULARY_ROWS), airports)
+    found = statistics.with_statistics(_encode_inputs(spark, sf), fitted, max_labels=0)
+    return found.select("FLIGHT_ID", *[F.round(FLIGHTS.index_columns[c], 9).alias(FLIGHTS.index_columns[c]) for c in airports])
+
+
 def encode(spark: SparkSession, sf: str) -> DataFrame:
     rows = _clean(spark, sf)
     indexers = vocabulary.to_indexers(vocabulary.fit_vocabulary(rows))
@@ -358,6 +400,20 @@ def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return after.select("FLIGHT_ID", same.alias("same_prediction"))
 
 
+def artefact_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``model_roundtrip``, with vocabularies and statistics as tables that no driver holds."""
+    rows, path = flights_typed(spark, sf), fresh_folder(spark, "artefact")
+    trained = training.train(rows, training.logistic, sample=1.0, key="FLIGHT_ID", max_labels=0, statistics_above=20)
+    training.save_vocabularies(trained.vocabulary, f"{path}/vocabularies", statistics=trained.statistics, max_labels=0)
+    training.save_model(trained.model, f"{path}/classifier")
+    before = _scores(trained.predictions(), *FLIGHTS.inputs)
+    before = materialize(before.withColumnsRenamed({"prediction": "before", "probability_late": "before_late"}), "before")
+    loaded = training.pipeline_of(f"{path}/vocabularies", f"{path}/classifier")
+    after = _scores(loaded.transform(before), "before", "before_late")
+    same = (F.col("prediction") == F.col("before")) & (F.col("probability_late") == F.col("before_late"))
+    return after.select("FLIGHT_ID", same.alias("same_prediction"))
+
+
 # Streams
 
 
@@ -390,6 +446,71 @@ def stream_dead_letter(spark: SparkSession, sf: str) -> DataFrame:
     return routed.select("FLIGHT_ID", "missing", "value", "route")
 
 
+def _fail_once(spark: SparkSession, path: str):
+    """A callback that fails after the first commit it sees, and not again."""
+
+    def failing(rows: DataFrame, commit: dict) -> None:
+        if not exists(spark, path):
+            publish_text(spark, path, commit["attempt"])
+            raise RuntimeError("as if the driver were lost")
+
+    return failing
+
+
+def stream_committed(spark: SparkSession, sf: str) -> DataFrame:
+    """Good and dead rows of committed batches; the run fails after its first commit and is started again."""
+    landed, out, checkpoint = landed_lines(spark, sf), fresh_folder(spark, "committed"), fresh_folder(spark, "committed-checkpoint")
+    models, after = OneModel(trained_model(spark, sf)), _fail_once(spark, f"{out}-failed")
+    per_batch = max(1, math.ceil(len(spark.read.text(landed).inputFiles()) / 3))
+    for _ in range(2):
+        routed = scoring.route(streams.stream_text(spark, landed, per_batch), extra=LINE_ID)
+        try:
+            commits.score_committed(routed, models, out, checkpoint, after=after).awaitTermination()
+            break
+        except StreamingQueryException as e:
+            if "as if the driver were lost" not in str(e):
+                raise
+    found = commits.read_committed(spark, out)
+    return found.select("FLIGHT_ID", "route", "missing", F.col("prediction").isNotNull().alias("is_scored"))
+
+
+def stream_model_switch(spark: SparkSession, sf: str) -> DataFrame:
+    """Each scored flight, and whether the version its batch names gives it the same prediction again."""
+    landed, out, checkpoint = landed_lines(spark, sf), fresh_folder(spark, "switched"), fresh_folder(spark, "switched-checkpoint")
+    store = ModelStore(spark, fresh_folder(spark, "models"))
+    store.add(trained_model(spark, sf))
+    second = store.add(_train(spark, sf, training.logistic).pipeline, use=False)
+    per_batch = max(1, math.ceil(len(spark.read.text(landed).inputFiles()) / 2))
+    routed = scoring.route(streams.stream_text(spark, landed, per_batch), extra=LINE_ID)
+    switch = lambda rows, commit: store.use(second)
+    commits.score_committed(routed, store, out, checkpoint, after=switch).awaitTermination()
+    found, parts = commits.read_committed(spark, out).where("route = 'good'"), []
+    for version in store.versions():
+        of_version = found.where(F.col("version") == version).withColumnRenamed("prediction", "streamed")
+        again = store.load(version).transform(of_version.select("FLIGHT_ID", "streamed", *FLIGHTS.inputs))
+        parts.append(again.select("FLIGHT_ID", (F.col("streamed") == F.col("prediction")).alias("same_prediction")))
+    return parts[0].unionByName(parts[1])
+
+
+def stream_progress(spark: SparkSession, sf: str) -> DataFrame:
+    """What a listener stored of a stream's batches, over a restart."""
+    landed, told = landed_lines(spark, sf), fresh_folder(spark, "progress")
+    path, checkpoint = fresh_folder(spark, "counted"), fresh_folder(spark, "counted-checkpoint")
+    per_batch = max(1, math.ceil(len(spark.read.text(landed).inputFiles()) / 2))
+    log = progress.ProgressLog(spark, told)
+    spark.streams.addListener(log)
+    try:
+        for _ in range(2):
+            routed = progress.counted(scoring.route(streams.stream_text(spark, landed, per_batch), extra=LINE_ID))
+            query = streams.to_files(routed, path, checkpoint, partition_by=("route",))
+            query.awaitTermination()
+            log.wait_for(str(query.id), [p["batchId"] for p in query.recentProgress if p["numInputRows"]])
+    finally:
+        spark.streams.removeListener(log)
+    records = progress.read_progress(spark, told)
+    return records.agg(*[F.sum(c).alias(c) for c in ("good", "dead", "failed")])
+
+
 def score_stream(spark: SparkSession, path: str, model: PipelineModel) -> DataFrame:
     rows = scoring.parse_filter(streams.stream_text(spark, path), extra=LINE_ID)
     return _written(_scores(scoring.score(rows, model)), "scored")
@@ -418,14 +539,17 @@ def stream_score_parity(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        scan_csv, scan_lines, stream_source, replay_sink, replay_stream, replay_staged, preview_top,
+        scan_csv, scan_csv_by_name, scan_lines, stream_source, replay_sink, replay_stream, replay_staged, preview_top,
         project_cast, drop_any_null, drop_columns, parse_lines, parse_wide_lines, split_fields,
         sample_bernoulli, sample_bernoulli_check, sample_hash, sample_hash_nulls, split_random, split_random_cover, split_hash,
-        vocab_fit, vocab_fit_distributed, vocab_roundtrip,
+        vocab_fit, vocab_fit_distributed, vocab_roundtrip, vocab_generations,
+        hot_labels, label_statistics, encode_statistics,
         encode, encode_keep, encode_join, encode_join_shuffled, assemble,
         row_count, accuracy, word_count, word_count_files,
         rf_train_eval, rf_predict, rf_predict_bounds, rf_quality, lr_train_eval, lr_quality, model_roundtrip,
+        artefact_roundtrip,
         stream_parse_filter, stream_foreach_batch, stream_restart, stream_dead_letter,
+        stream_committed, stream_model_switch, stream_progress,
         stream_score, stream_score_bounds, stream_score_parity,
     )
 }

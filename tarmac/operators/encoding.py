@@ -26,6 +26,9 @@ _TRACKED = 16
 _HASHED_BYTES = 16 * 1024 * 1024
 
 
+Hot = dict[str, dict[str, int]]  # by column, the hot labels and over how many parts each is dealt
+
+
 def encode(df: DataFrame, *indexers: StringIndexerModel) -> DataFrame:
     """Apply fitted indexers as one pipeline; nothing is fitted again."""
     return PipelineModel(stages=list(indexers)).transform(df)
@@ -45,13 +48,14 @@ def encode_join(
     unseen: str = "keep",
     max_labels: int = MAX_SMALL_LABELS,
     columns: list[str] | None = None,
+    hot: Hot | None = None,
 ) -> DataFrame:
     """Encode by looking labels up in the vocabulary table, at any vocabulary size.
 
     A vocabulary whose measured size is small is broadcast, so the rows do not
     move; past that the rows are shuffled by label, hot labels in parts. ``unseen`` is
     ``keep`` (unseen and null labels get the number of labels) or ``error``. ``columns`` are
-    the categorical columns to encode, by default all.
+    the categorical columns to encode, by default all; ``hot`` is given if it was found before.
 
     With a shuffled vocabulary a sketch of ``df`` finds its hot labels, seen or not, in one pass that
     shuffles a few kilobytes a task; all lookups are one plan, and nothing is written. A stream cannot be
@@ -59,8 +63,8 @@ def encode_join(
     has its own sketch.
     """
     columns = contract.categorical if columns is None else columns
-    large = [c for c in columns if not vocabulary.sizes[c].small(max_labels)]
-    hot = _hot(df, large, vocabulary.table) if large else {}
+    if hot is None:
+        hot = find_hot(df, {c: vocabulary.sizes[c] for c in columns}, max_labels, vocabulary.table)
     for column in columns:
         output = contract.index_columns[column]
         labels = vocabulary.of(column).select("label", F.col("idx").alias(output))
@@ -69,19 +73,28 @@ def encode_join(
     return df
 
 
-def lookup(
-    df: DataFrame, labels: DataFrame, column: str, output: str, size: Size, max_labels: int = MAX_SMALL_LABELS
-) -> DataFrame:
-    """Adds ``output`` of the table ``label, output`` for the labels of a column; null where there is none."""
-    hot = None if size.small(max_labels) else _hot(df, [column], None)[column]
-    return _looked_up(df, labels, column, output, size, hot)
-
+def find_hot(
+    df: DataFrame, sizes: dict[str, Size], max_labels: int = MAX_SMALL_LABELS, trained: DataFrame | None = None
+) -> Hot:
+    """The hot labels of the columns whose labels are too many for a broadcast, all in one pass.
 
-def _hot(df: DataFrame, columns: list[str], trained: DataFrame | None) -> dict[str, dict[str, int]]:
+    Of a stream, those of the ``trained`` vocabulary's counts, if there is one.
+    """
+    large = [c for c, size in sizes.items() if not size.small(max_labels)]
+    if not large:
+        return {}
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if not df.isStreaming:
-        return hot_labels(df, columns, partitions)
-    return {c: {} for c in columns} if trained is None else trained_hot_labels(trained, columns, partitions)
+        return hot_labels(df, large, partitions)
+    return {c: {} for c in large} if trained is None else trained_hot_labels(trained, large, partitions)
+
+
+def lookup(df: DataFrame, labels: DataFrame, column: str, output: str, size: Size, hot: Hot) -> DataFrame:
+    """Adds ``output`` of the table ``label, output`` for the labels of a column; null where there is none.
+
+    ``hot`` is what ``find_hot`` found for the column, among others.
+    """
+    return _looked_up(df, labels, column, output, size, hot.get(column))
 
 
 def _looked_up(

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from tarmac.contract import FLIGHTS, Contract
-from tarmac.operators.encoding import lookup
+from tarmac.operators.encoding import Hot, find_hot, lookup
 from tarmac.operators.vocabulary import MAX_SMALL_LABELS, Size
 from tarmac.session import materialize
 
@@ -76,14 +76,19 @@ def _mean(n: Column, total: Column, prior: float) -> Column:
 
 
 def with_statistics(
-    rows: DataFrame, statistics: Statistics, contract: Contract = FLIGHTS, max_labels: int = MAX_SMALL_LABELS
+    rows: DataFrame,
+    statistics: Statistics,
+    contract: Contract = FLIGHTS,
+    max_labels: int = MAX_SMALL_LABELS,
+    hot: Hot | None = None,
 ) -> DataFrame:
     """Put a label's mean into the column's feature; unseen and null labels get the mean of all rows."""
-    for column in statistics.columns:
+    hot = find_hot(rows, statistics.sizes, max_labels) if hot is None else hot
+    for column, size in statistics.sizes.items():
         output = contract.index_columns[column]
         whole = statistics.table.where((F.col("field") == column) & (F.col("fold") == -1))
         means = whole.select("label", _mean(F.col("n"), F.col("total"), statistics.prior).alias(output))
-        rows = lookup(rows, means, column, output, statistics.sizes[column], max_labels)
+        rows = lookup(rows, means, column, output, size, hot)
         rows = rows.withColumn(output, F.coalesce(output, F.lit(statistics.prior)))
     return rows
 
@@ -95,18 +100,23 @@ def with_other_folds(
     max_labels: int = MAX_SMALL_LABELS,
     folds: int = FOLDS,
 ) -> DataFrame:
-    """As ``with_statistics``, for the rows the statistics were taken from: each without its own fold."""
-    columns = rows.columns
-    rows = rows.withColumn("_fold", fold_of(rows, folds))
-    for column in statistics.columns:
+    """As ``with_statistics``, for the rows the statistics were taken from: each without its own fold.
+
+    Fold and label together are the key; hot keys are found for all columns in one pass.
+    """
+    columns, fold = rows.columns, fold_of(rows, folds).cast("string")
+    keys = {c: f"_own_{i}" for i, c in enumerate(statistics.columns)}
+    sizes = {keys[c]: Size(folds * s.labels, folds * (s.bytes + 2 * s.labels)) for c, s in statistics.sizes.items()}
+    own = {key: F.when(F.col(f"`{c}`").isNotNull(), F.concat_ws(_SEP, fold, F.col(f"`{c}`"))) for c, key in keys.items()}
+    rows = rows.withColumns(own)
+    hot = find_hot(rows, sizes, max_labels)
+    for column, key in keys.items():
         output = contract.index_columns[column]
         of_column = statistics.table.where(F.col("field") == column)
         whole = of_column.where("fold = -1").select("label", F.col("n").alias("all_n"), F.col("total").alias("all_total"))
-        own = of_column.where("fold >= 0").join(whole, "label")
         mean = _mean(F.col("all_n") - F.col("n"), F.col("all_total") - F.col("total"), statistics.prior)
-        means = own.select(F.concat_ws(_SEP, "fold", "label").alias("label"), mean.alias(output))
-        size = statistics.sizes[column]
-        keyed = rows.withColumn("_own", F.when(F.col(f"`{column}`").isNotNull(), F.concat_ws(_SEP, "_fold", column)))
-        keyed = lookup(keyed, means, "_own", output, Size(folds * size.labels, folds * (size.bytes + 2 * size.labels)), max_labels)
-        rows = keyed.withColumn(output, F.coalesce(output, F.lit(statistics.prior))).drop("_own")
+        means = of_column.where("fold >= 0").join(whole, "label")
+        means = means.select(F.concat_ws(_SEP, F.col("fold").cast("string"), "label").alias("label"), mean.alias(output))
+        rows = lookup(rows, means, key, output, sizes[key], hot)
+        rows = rows.withColumn(output, F.coalesce(output, F.lit(statistics.prior)))
     return rows.select(*[F.col(f"`{c}`") for c in columns], *[contract.index_columns[c] for c in statistics.columns])

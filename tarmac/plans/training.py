@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from tarmac.contract import FLIGHTS, Contract
 from tarmac.operators.clean import drop_any_null
-from tarmac.operators.encoding import assemble, assembler, encode, encode_join
+from tarmac.operators.encoding import assemble, assembler, encode, encode_join, find_hot
 from tarmac.operators.evaluate import accuracy
 from tarmac.operators.sampling import sample_bernoulli, sample_hash, split_hash
 from tarmac.operators.statistics import Statistics, fit_statistics, measured, with_other_folds, with_statistics
@@ -64,9 +64,10 @@ class LookupPipeline:
         return _numbered(self.contract, self.statistics)
 
     def transform(self, rows: DataFrame, invalid: str = "error") -> DataFrame:
-        encoded = encode_join(rows, self.vocabulary, self.contract, max_labels=self.max_labels, columns=self.numbered)
+        hot = find_hot(rows, self.vocabulary.sizes, self.max_labels, self.vocabulary.table)
+        encoded = encode_join(rows, self.vocabulary, self.contract, "keep", self.max_labels, self.numbered, hot)
         if self.statistics:
-            encoded = with_statistics(encoded, self.statistics, self.contract, self.max_labels)
+            encoded = with_statistics(encoded, self.statistics, self.contract, self.max_labels, hot)
         return self.model.transform(assemble(encoded, self.contract, invalid))
 
 

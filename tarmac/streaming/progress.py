@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import json
+import time
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
-from tarmac.session import publish_text
+from tarmac.session import exists, publish_text
 
 METRIC = "routes"
 RECORD = "query string, run string, batch long, good long, dead long, failed long, error string, started string"
@@ -45,6 +46,14 @@ class ProgressLog(StreamingQueryListener):
                 good=counts["good"], dead=counts["dead"], failed=0, started=progress.timestamp,
             )
 
+    def wait_for(self, query: str, batches: list[int], seconds: float = 60) -> None:
+        """Until the records of these batches are stored; the engine tells a listener some time after a batch."""
+        end = time.monotonic() + seconds
+        while any(not exists(self.spark, f"{self.path}/{query}-{batch}.json") for batch in batches):
+            if time.monotonic() > end:
+                raise TimeoutError(f"no record of every batch of {query}")
+            time.sleep(0.1)
+
     def onQueryIdle(self, event) -> None:
         pass
 

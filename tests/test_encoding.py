@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 
 from tarmac.checks.compare import _sorted_rows
 from tarmac.contract import FLIGHTS
+from tarmac.operators import generations
 from tarmac.operators.clean import drop_any_null
 from tarmac.operators.encoding import assemble, encode, encode_join, hot_labels, trained_hot_labels, vector_slots
+from tarmac.operators.generations import GrowingVocabulary
 from tarmac.operators.vocabulary import VocabularyTooLarge, fit_vocabulary, from_indexers, to_indexers
 from tarmac.session import materialize
 
@@ -60,6 +62,37 @@ def test_empty_input_gives_empty_vocabularies(flights):
     assert encoded.where("DepBlockIndex = 0.0").count() == flights.count()
 
 
+def test_generations_equal_one_fit(spark, flights, tmp_path, monkeypatch):
+    """Days added one by one, compacted on the way, number the labels as all rows at once do."""
+    store, counted = GrowingVocabulary(spark, str(tmp_path / "counts")), []
+    count = generations.count_labels
+    monkeypatch.setattr(generations, "count_labels", lambda rows, columns: counted.append(rows.count()) or count(rows, columns))
+    assert store.fit().table.isEmpty()
+    day = F.col("FLIGHT_ID") % 5
+    for i in range(5):
+        assert store.add(flights.where(day == i), f"day {i}", most=3)
+        assert not store.add(flights.where(day == i), f"day {i}", most=3)
+        merged = store.fit(max_labels=0 if i == 2 else 1_000_000)
+        assert rows_of(merged.table) == rows_of(fit_vocabulary(flights.where(day <= i)).table)
+    assert sum(counted) == flights.count()  # no row was counted twice
+    assert [g["names"] for g in store.generations()] == [["day 0", "day 1", "day 2", "day 3"], ["day 4"]]
+    store.compact()
+    assert len(store.generations()) == 1 and rows_of(store.fit().table) == rows_of(fit_vocabulary(flights).table)
+
+
+def test_a_generation_counts_whole_or_not(spark, flights, tmp_path, monkeypatch):
+    store = GrowingVocabulary(spark, str(tmp_path / "counts"))
+    store.add(flights.where("FLIGHT_ID % 2 = 0"), "even")
+    before = rows_of(store.counts())
+    monkeypatch.setattr(generations, "publish_text", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        store.add(flights.where("FLIGHT_ID % 2 = 1"), "odd")
+    assert rows_of(store.counts()) == before
+    monkeypatch.undo()
+    assert store.add(flights.where("FLIGHT_ID % 2 = 1"), "odd")
+    assert rows_of(store.fit().table) == rows_of(fit_vocabulary(flights).table)
+
+
 def test_indexers_keep_label_lists_of_unequal_length(spark, vocabulary):
     indexers = to_indexers(vocabulary)
     assert [len(i.labels) for i in indexers] == [vocabulary.sizes[c].labels for c in FLIGHTS.categorical]

@@ -1,3 +1,4 @@
+import gzip
 from types import SimpleNamespace
 
 import pytest
@@ -5,6 +6,7 @@ import pytest
 from tarmac.checks.fixtures import flights_raw
 from tarmac.session import fresh_folder, materialize, shared_folder, spread
 from tarmac.sources.files import read_csv, scan_lines, stream_lines, to_lines, write_csv
+from tarmac.sources.headers import headers, read_csv_by_name
 
 
 @pytest.fixture
@@ -112,3 +114,50 @@ def test_spread_leaves_a_well_split_input_alone(spark):
     many = spark.range(0, 1000, 1, 2 * cores)
     assert spread(many) is many
     assert spread(spark.range(0, 1000, 1, 1)).rdd.getNumPartitions() == cores
+
+
+@pytest.fixture
+def mixed(tmp_path):
+    """Files with their columns in different orders, extra and repeated ones, odd names and forms."""
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    (folder / "a.csv").write_text('x,y,z\n1,2,3\n4,"5,5",\n')
+    (folder / "b [1]%20.csv").write_text("z,x,y\n30,10,20\n")
+    (folder / "c.csv").write_text('y,x,w,y\n200,100,w,no\n')
+    (folder / "d.csv").write_text("")
+    (folder / "e.csv").write_text('\ufeff"x",y,z\n7,8,9\n')
+    (folder / "f.csv.gz").write_bytes(gzip.compress(b"z,x,y\n31,11,21\n"))
+    (folder / "g.csv").write_text("x,y,z")
+    return str(folder)
+
+
+def test_census_of_headers(spark, mixed):
+    found = {r["file"].rsplit("/", 1)[1]: r["header"] for r in headers(spark, mixed).collect()}
+    assert found == {
+        "a.csv": ["x", "y", "z"], "b [1]%20.csv": ["z", "x", "y"], "c.csv": ["y", "x", "w", "y"],
+        "e.csv": ["x", "y", "z"], "f.csv.gz": ["z", "x", "y"], "g.csv": ["x", "y", "z"],
+    }
+
+
+def test_columns_are_taken_by_name(spark, mixed):
+    found = read_csv_by_name(spark, mixed, ["x", "y"])
+    expected = [("1", "2"), ("4", "5,5"), ("10", "20"), ("100", "200"), ("7", "8"), ("11", "21")]
+    assert found.columns == ["x", "y"] and sorted(map(tuple, found.collect())) == sorted(expected)
+    everything = read_csv_by_name(spark, mixed)
+    assert everything.columns == ["x", "y", "z", "w"]
+    rows = {r["x"]: (r["y"], r["z"], r["w"]) for r in everything.collect()}
+    assert rows["100"] == ("200", None, "w") and rows["4"] == ("5,5", None, None) and rows["10"] == ("20", "30", None)
+
+
+def test_a_missing_column_is_named(spark, mixed, tmp_path):
+    with pytest.raises(ValueError, match=r"c\.csv has no column z"):
+        read_csv_by_name(spark, mixed, ["x", "z"])
+    (tmp_path / "none").mkdir()
+    assert read_csv_by_name(spark, str(tmp_path / "none"), ["x"]).count() == 0
+
+
+def test_one_scan_for_each_header(spark, tmp_path, plan):
+    for i in range(30):
+        (tmp_path / f"{i}.csv").write_text("x,y\n1,2\n" if i % 2 else "y,x\n2,1\n")
+    found = read_csv_by_name(spark, str(tmp_path), ["x", "y"])
+    assert plan(found).count("FileScan") == 2 and found.distinct().collect() == [("1", "2")]
