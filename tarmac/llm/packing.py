@@ -13,9 +13,8 @@ from __future__ import annotations
 
 import base64
 import os
-import re
-from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -25,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from tarmac.llm.buffers import blocks
+from tarmac.llm.buffers import Block, blocks, group_starts, ranges, stretch_hashes
 
 WINDOW = 2048
 END = 1
@@ -33,20 +32,34 @@ END = 1
 #: Rests that are packed together; a partition's buffer holds their ids.
 GROUP = 8192
 
-#: Pieces of text whose ids a task remembers.
-REMEMBERED = 600_000
+#: A task remembers the ids of pieces in a table of so many slots, and at most so many ids.
+SLOTS_LOG2 = 20
+REMEMBERED = 8_000_000
 
-_WIDE_GAP = re.compile(r"\s\s|^\s|\s$|[^\S \n]|\0")
+#: Texts with a longer piece go to the tokenizer whole.
+LONGEST = 64
+
+_LETTER = np.zeros(256, bool)
+_LETTER[0x41:0x5B] = _LETTER[0x61:0x7B] = True
+_END_MARK = np.zeros(256, bool)
+_END_MARK[list(b".,")] = True
+_SPACE, _NEWLINE = 0x20, 0x0A
+# White space other than space and newline, as bytes; and NUL, which is treated alike.
+_ODD = np.zeros(256, bool)
+_ODD[[0x00, 0x09, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F]] = True
+_WIDE = [chr(c).encode() for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
 
 
 class TextIds:
-    """Ids of whole texts as little-endian bytes, equal to the tokenizer's own.
+    """Ids of the texts of a block, equal to the tokenizer's own.
 
     Byte-level tokenizers of this kind never join what a single space or newline between visible
-    characters parts, nor a letter and a full stop or comma after it. So a text is cut there, and the ids
-    of its pieces, which often recur, are remembered. Texts with other white space or with the string of
-    a special token go to the tokenizer whole. Words of letters only, most of the pieces, get their ids
-    from the same vocabulary's ranks, which merge such a word alike at a fraction of the time.
+    characters parts, nor a letter and a full stop or comma at the end of a piece. So the texts are cut
+    there, all at once, and the ids of the pieces, which often recur, are remembered by their hashes,
+    lengths and first bytes. Texts with other white space, very long pieces or the string of a special
+    token go to the tokenizer whole. Words of letters only, most of the pieces, get their ids from the
+    same vocabulary's ranks, which merge such a word alike at a fraction of the time.
     """
 
     def __init__(self, definition: str, ranks: dict[bytes, int]):
@@ -55,45 +68,121 @@ class TextIds:
         self.words = tiktoken.Encoding(
             "words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
-        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-        self.newline, *self.ends = self._encode(["\n", ".", ","])
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def _learn(self, pieces: set[str]) -> None:
-        new = pieces - self.known.keys()
-        if len(self.known) + 2 * len(new) > REMEMBERED:
-            self.known.clear()
-            new = pieces
-        ended = {p for p in new if p[-1:] in (".", ",") and p[-2:-1].isalpha()}
-        plain = (new - ended | {p[:-1] for p in ended}) - self.known.keys()
-        words = [p for p in plain if p.isalpha() or (p[:1] == " " and p[1:].isalpha())]
-        others = list(plain.difference(words))
+        self.special = [token.content.encode() for token in self.tokenizer.get_added_tokens_decoder().values()]
+        slots = 1 << SLOTS_LOG2
+        self.key, self.lead = np.zeros(slots, np.uint64), np.zeros(slots, np.uint64)
+        self.length, self.at, self.count = (np.zeros(slots, np.int64) for _ in range(3))
+        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def _whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _pieces(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[list[int]]:
+        """Ids of pieces by the tokenizer, or by the ranks where that is the same."""
+        # one text of all pieces, with a NUL, which no piece holds, behind each
+        lengths = ends - starts + 1
+        joined = np.append(data, np.uint8(0))[ranges(starts, lengths)]
+        joined[np.cumsum(lengths) - 1] = 0
+        pieces = joined.tobytes().decode().split("\0")[:-1]
         merge = self.words.encode_ordinary
-        self.known.update({word: array("I", merge(word)).tobytes() for word in words})
-        self.known.update(zip(others, self._encode(others), strict=True))
-        full_stop, comma = self.ends
-        self.known.update({p: self.known[p[:-1]] + (full_stop if p[-1] == "." else comma) for p in ended})
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        whole = [bool(_WIDE_GAP.search(text)) or any(token in text for token in self.special) for text in texts]
-        as_they_are = iter(self._encode([text for text, w in zip(texts, whole, strict=True) if w]))
-        # a space stays with the piece after it
-        cut = [
-            None if w else [line.replace(" ", "\0 ").split("\0") for line in text.split("\n")]
-            for text, w in zip(texts, whole, strict=True)
-        ]
-        self._learn({piece for lines in cut if lines for pieces in lines for piece in pieces})
-        ids, newline = self.known, self.newline
-        return [
-            newline.join([b"".join([ids[piece] for piece in pieces]) for pieces in lines])
-            if lines
-            else next(as_they_are)
-            for lines in cut
-        ]
+        plain = [piece.isalpha() or (piece[:1] == " " and piece[1:].isalpha()) for piece in pieces]
+        others = iter(self._whole([piece for piece, p in zip(pieces, plain, strict=True) if not p]))
+        return [merge(piece) if p else next(others) for piece, p in zip(pieces, plain, strict=True)]
+
+    def _odd_texts(self, block: Block, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Which texts go to the tokenizer whole."""
+        data = block.data
+        gap = (data == _SPACE) | (data == _NEWLINE)
+        odd = _ODD[data]
+        odd[1:] |= gap[1:] & gap[:-1]  # two in a row
+        filled = np.flatnonzero(block.lengths)
+        first, last = block.starts[filled], block.ends[filled] - 1
+        odd[first[gap[first]]] = True
+        odd[last[gap[last]]] = True
+        odd[starts[ends - starts > LONGEST]] = True
+        places = np.flatnonzero(odd)
+        rare = np.flatnonzero((data == 0xC2) | (data == 0xE1) | (data == 0xE2) | (data == 0xE3))
+        if len(rare):
+            padded = np.concatenate([data, np.zeros(2, np.uint8)])
+            three = padded[rare].astype(np.int64) << 16 | padded[rare + 1].astype(np.int64) << 8 | padded[rare + 2]
+            wide = [int.from_bytes(w, "big") for w in _WIDE if len(w) == 3]
+            narrow = [int.from_bytes(w, "big") for w in _WIDE if len(w) == 2]
+            places = np.append(places, rare[np.isin(three, wide) | np.isin(three >> 8, narrow)])
+        found = np.zeros(len(block), bool)
+        found[np.searchsorted(block.bounds, places, side="right") - 1] = True
+        plain = data.tobytes()
+        for token in self.special:
+            at = plain.find(token)
+            while at >= 0:
+                found[np.searchsorted(block.bounds, at, side="right") - 1] = True
+                at = plain.find(token, at + 1)
+        return found
+
+    @staticmethod
+    def _cut(block: Block) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ends of the pieces: before a space, around a newline, before a mark that ends a piece."""
+        data, n = block.data, len(block.data)
+        cut = np.zeros(n + 1, bool)
+        cut[block.bounds] = True
+        cut[:n] |= data == _SPACE
+        lines = np.flatnonzero(data == _NEWLINE)
+        cut[lines] = cut[lines + 1] = True
+        marks = np.flatnonzero(_END_MARK[data])
+        marks = marks[marks > 0]
+        marks = marks[cut[marks + 1] & ~cut[marks] & _LETTER[data[marks - 1]]]
+        cut[marks] = True
+        starts = np.flatnonzero(cut[:n])
+        return starts, np.append(starts[1:], n)
+
+    def _store(self, found: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        """Append ids; where each piece's begin, and how many there are."""
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        total = int(counts.sum())
+        if self.used + total > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(self.used + total, np.uint32)])
+        self.ids[self.used : self.used + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
+        at = self.used + np.cumsum(counts) - counts
+        self.used += total
+        return at, counts
+
+    def __call__(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one text after another, and the bounds of each text's."""
+        if self.used > REMEMBERED:
+            self.used = 0
+            self.count[:] = 0  # no entry counts any more
+        data = block.data
+        starts, ends = self._cut(block)
+        whole = self._odd_texts(block, starts, ends)
+        text = np.searchsorted(block.bounds, starts, side="right") - 1
+        kept = ~whole[text]
+        starts, ends, text = starts[kept], ends[kept], text[kept]
+        (key,) = stretch_hashes(data, starts, ends)
+        length = ends - starts
+        eight = np.ndarray((len(data),), "<u8", np.concatenate([data, np.zeros(8, np.uint8)]).tobytes(), strides=(1,))
+        lead = eight[starts] & _MASKS[np.minimum(length, 8)]
+        slot = (key >> np.uint64(64 - SLOTS_LOG2)).astype(np.int64)
+        at, count = self.at[slot], self.count[slot]
+        known = (self.key[slot] == key) & (self.lead[slot] == lead) & (self.length[slot] == length) & (count > 0)
+        new = np.flatnonzero(~known)
+        if len(new):
+            order = new[np.lexsort((length[new], lead[new], key[new]))]
+            heads = group_starts(key[order], lead[order], length[order])
+            one = order[heads]
+            new_at, new_count = self._store(self._pieces(data, starts[one], ends[one]))
+            sizes = np.diff(np.append(heads, len(order)))
+            at[order], count[order] = np.repeat(new_at, sizes), np.repeat(new_count, sizes)
+            for table, values in ((self.key, key), (self.lead, lead), (self.length, length), (self.at, at), (self.count, count)):
+                table[slot[one]] = values[one]
+        per_text = np.bincount(text, weights=count, minlength=len(block)).astype(np.int64)
+        ids = self.ids[ranges(at, count)]
+        if whole.any():
+            rows = np.flatnonzero(whole)
+            found = self._whole([block.text(i).decode("utf-8", "replace") for i in rows.tolist()])
+            parts = np.split(ids, np.cumsum(per_text)[:-1])
+            for row, own in zip(rows.tolist(), found, strict=True):
+                parts[row], per_text[row] = np.array(own, np.uint32), len(own)
+            ids = np.concatenate(parts)
+        return ids, np.concatenate([[0], np.cumsum(per_text)])
 
 
 class OpenWindows:
@@ -160,7 +249,7 @@ def pack(
         definition = file.read()
     with open(ranks or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
         merges = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
-    end = np.array([END], "<u4").tobytes()
+    end = np.array([END], "<u4")
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text_ids = TextIds(definition, merges)
@@ -185,20 +274,20 @@ def pack(
 
         for batch in batches:
             for block in blocks(batch["text"]):
-                texts = [block.text(i).decode("utf-8", "replace") for i in range(len(block))]
                 keys = batch["doc_id"].slice(block.first, len(block)).to_pylist()
+                ids, bounds = text_ids(block)
                 full = []
-                for key, ids in zip(keys, text_ids(texts), strict=True):
-                    ids += end
-                    tokens = len(ids) // 4
+                for key, a, b in zip(keys, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                    own = np.append(ids[a:b], end)
+                    tokens = len(own)
                     whole = tokens // window
                     for k in range(whole):
-                        piece = ids[4 * k * window : 4 * (k + 1) * window]
+                        piece = own[k * window : (k + 1) * window].tobytes()
                         full.append((key, k * window, window, piece, tokens, base + used, 0))
                         used += 1
                     if tokens % window:
                         start = whole * window
-                        rests.append((key, start, tokens - start, ids[4 * start :], tokens))
+                        rests.append((key, start, tokens - start, own[start:].tobytes(), tokens))
                 if full:
                     yield rows(full)
                 if len(rests) >= GROUP:

@@ -1,11 +1,14 @@
 """URL filter, packing, fingerprints and the pipeline."""
 
+import base64
 import hashlib
+import random
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
@@ -13,6 +16,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from tarmac.checks.compare import connect
 from tarmac.llm import decontaminate, fingerprint, line_dedup, ngram_join, packing, quality, url_filter
+from tarmac.llm.buffers import blocks
 from tarmac.llm.oracle import ORACLE
 from tarmac.llm.queries import QUERIES
 
@@ -116,6 +120,27 @@ def test_best_fit_decreasing(sizes):
     assert sorted(filled.values()) == sorted(bins)
 
 
+def test_ids_equal_the_tokenizers():
+    """Random texts of many kinds, in small blocks, with a table that is soon full and forgotten."""
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        definition = file.read()
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
+    text_ids, rnd = packing.TextIds(definition, ranks), random.Random(4)
+    marks = [*"abcXYZ .,.,  \n\n'\"-!?()1234é ßñ日本ا\t\0", " the", "don't", "’", "\u00a0", "\u2009", "\u3000", "\x85", "\r\n",
+             "<|endoftext|>", "🙂", "x" * 70, ". ", ",\n", "\u0301"]
+    plain = [*"abc de.,fX1é\n'", " the", "ing", ". ", ", "]
+    for _ in range(6):
+        kinds = [marks if rnd.random() < 0.3 else plain for _ in range(1500)]
+        texts = ["".join(rnd.choice(kind) for _ in range(rnd.randrange(40))) for kind in kinds]
+        expected = [e.ids for e in text_ids.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        for block in blocks(pa.array(texts), 5000):
+            ids, bounds = text_ids(block)
+            for i in range(len(block)):
+                assert ids[bounds[i] : bounds[i + 1]].tolist() == expected[block.first + i], texts[block.first + i]
+        text_ids.used = packing.REMEMBERED + 1
+
+
 def check_packing(rows, documents):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     pieces, sequences = defaultdict(list), defaultdict(list)
