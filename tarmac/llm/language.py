@@ -28,6 +28,13 @@ SAMPLE = 6000
 STATES = 6
 WINDOW = 128  # bytes read from a fresh state
 LEARNED_WINDOW = 64
+
+#: The counts of so many languages are broadcast; of more, they are joined by a shuffle.
+MOST_LANGUAGES = 100_000
+_DRAWN = 1_000_003  # ids are drawn by their hashes modulo this prime
+
+#: Texts of each language that are learned from at least, however many languages there are.
+LEAST_PER_LANGUAGE = 20
 WINDOWS_PER_TEXT = 4
 WIDTH = 2048  # windows read side by side
 
@@ -179,40 +186,53 @@ def fit(windows: np.ndarray, labels: np.ndarray, languages: list[str], rounds: i
 
 
 def _window_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows spread evenly over each text; a text too short for one gives none."""
+    """Windows spread evenly over each text; a text too short for one fills one by being said again and again."""
     for batch in batches:
         data, bounds = byte_column(batch["text"])
         size = np.diff(bounds)
-        long = np.flatnonzero(size >= LEARNED_WINDOW)
-        if not len(long):
-            continue
+        long, short = np.flatnonzero(size >= LEARNED_WINDOW), np.flatnonzero((size > 0) & (size < LEARNED_WINDOW))
         row = np.repeat(long, WINDOWS_PER_TEXT)
         part = np.tile(np.arange(WINDOWS_PER_TEXT), len(long)) / (WINDOWS_PER_TEXT - 1)
         begin = bounds[row] + ((size[row] - LEARNED_WINDOW) * part).astype(np.int64)
-        cut = data[begin[:, None] + np.arange(LEARNED_WINDOW)]
+        place = np.arange(LEARNED_WINDOW)
+        again = place % (size[short] + 1)[:, None]  # with a space between
+        padded = np.append(data, np.uint8(0x20))
+        said = np.where(again < size[short][:, None], bounds[short][:, None] + again, len(data))
+        cut = padded[np.concatenate([begin[:, None] + place, said])]
+        if not len(cut):
+            continue
         window = pa.FixedSizeBinaryArray.from_buffers(
             pa.binary(LEARNED_WINDOW), len(cut), [None, pa.py_buffer(np.ascontiguousarray(cut))]
         )
         yield pa.RecordBatch.from_arrays(
-            [batch["lang"].take(pa.array(row)), window.cast(pa.binary())], names=["lang", "window"]
+            [batch["lang"].take(pa.array(np.concatenate([row, short]))), window.cast(pa.binary())], names=["lang", "window"]
         )
 
 
 def train(documents: DataFrame, sample: int = SAMPLE) -> Network:
-    """Learn from the texts with the smallest hashes of their ids among those with a language that are not held out.
+    """Learn from texts with a language that are not held out, the same number of ids for every language.
 
-    At most ``sample`` ids are broadcast; each text gives a few windows of 64 bytes to the driver.
+    Of each language as many ids as its even part of ``sample``, and at least ``LEAST_PER_LANGUAGE``, are
+    drawn by their hashes, so that a rare language is learned from a table of any size. The numbers hold on
+    average: an id is drawn or not by itself. Each text gives a few windows of 64 bytes to the driver.
     """
     known = documents.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    chosen = known.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = known.select("doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id").select("text", "lang")
-    table = rows.mapInArrow(_window_batches, "lang string, window binary").toArrow().sort_by(
+    known = known.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    known = known.where(F.octet_length("text") > 0)
+    counts = known.groupBy("lang").agg(F.count("*").alias("n"))
+    languages = counts.count()
+    quota = max(LEAST_PER_LANGUAGE, sample // max(1, languages))
+    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(_DRAWN)) < F.ceil(F.lit(_DRAWN * quota) / F.col("n"))
+    side = F.broadcast(counts) if languages <= MOST_LANGUAGES else counts
+    rows = known.join(side, "lang").where(drawn)
+    table = rows.select("text", "lang").mapInArrow(_window_batches, "lang string, window binary").toArrow().sort_by(
         [("lang", "ascending"), ("window", "ascending")]
     )
     found = table["lang"].to_pylist()
     languages = sorted(set(found))
     windows = np.frombuffer(b"".join(table["window"].to_pylist()), np.uint8).reshape(-1, LEARNED_WINDOW)
-    return fit(windows, np.array([languages.index(x) for x in found], np.int64), languages)
+    number = {language: k for k, language in enumerate(languages)}
+    return fit(windows, np.array([number[x] for x in found], np.int64), languages)
 
 
 def predict(documents: DataFrame, network: Network) -> DataFrame:

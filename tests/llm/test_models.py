@@ -1,10 +1,12 @@
 """The trained operators: gradients, held-out accuracy, and odd rows."""
 
+import random
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tarmac.llm import language, quality, toxicity
 from tarmac.llm.buffers import blocks
@@ -171,3 +173,28 @@ def test_nothing_to_learn_from(spark, odd, no_documents):
     assert quality.digest(no_documents, quality.train(no_documents, none)).count() == 0
     assert toxicity.score(no_documents, toxicity.train(no_documents, none)).count() == 0
     assert language.predict(no_documents, language.train(odd)).count() == 0
+
+
+SHORT = {
+    "en": "the of and with this that from which have been their would there about other into through when where".split(),
+    "de": "der die und nicht auch eine werden über für zwischen schon wieder können müssen gegen durch einen schön".split(),
+    "fr": "le la une est pas que dans pour avec être été où leur même après tout bien très aussi chez".split(),
+}
+
+
+def _lines(lang, n, low, high, first):
+    rnd = random.Random(f"{lang}{low}")
+    return [(first + i, " ".join(rnd.choices(SHORT[lang], k=rnd.randint(low, high))), lang) for i in range(n)]
+
+
+def test_languages_of_short_texts_only_are_learned(spark):
+    """Two languages have only texts of less than 64 bytes, one is rare, and the third has long texts."""
+    rows = _lines("en", 200, 2, 6, 0) + _lines("de", 40, 2, 6, 1000) + _lines("fr", 2000, 20, 60, 2000)
+    documents = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    network = language.train(documents, sample=300)
+    assert network.languages == ["de", "en", "fr"]
+    found = language.predict(documents, network).join(documents.select("doc_id", "lang"), "doc_id").where("held_out")
+    right = {r["lang"]: r["right"] for r in found.groupBy("lang").agg(F.avg((F.col("lang_pred") == F.col("lang")).cast("int")).alias("right")).collect()}
+    assert min(right.values()) > 0.8, right
+    only = language.train(documents.where("lang <> 'fr'"))
+    assert {r[0] for r in language.predict(documents.where("lang = 'en'"), only).select("lang_pred").distinct().collect()} <= {"de", "en"}
