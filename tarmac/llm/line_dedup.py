@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tarmac.llm.bits import bit_table, likely
 from tarmac.llm.buffers import Block, blocks, flat, group_starts, lists, mix, stretch_hashes
+from tarmac.llm.columns import free_names
 from tarmac.session import Scratch, materialize
 
 EDITS = 2
@@ -386,30 +387,37 @@ def repeats(documents: DataFrame) -> DataFrame:
 
 def drop_repeats(documents: DataFrame) -> DataFrame:
     """The documents without the lines that go, and ``n_lines`` and ``n_dropped``; columns of these names are replaced."""
-    added = ("n_lines", "n_dropped", "_mark", "_dropped")
-    gone = repeats(documents).groupBy("doc_id", "mark").agg(F.collect_set("line").alias("_dropped"))
-    gone = gone.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_of"), "_dropped")
-    own = documents.select(*[F.col(f"`{c}`") for c in documents.columns if c not in added])
+    added = ["n_lines", "n_dropped"]
+    own = documents.select(*[F.col(f"`{c}`") for c in documents.columns if c.lower() not in added])
+    return _without_repeats(own, *added)
+
+
+def _without_repeats(own: DataFrame, n_lines: str, n_dropped: str) -> DataFrame:
+    """``own`` without the lines that go, and two counts under names that it does not have."""
+    mark, dropped, key, of = free_names(own, "mark", "dropped", "key", "of")
+    gone = repeats(own).groupBy("doc_id", "mark").agg(F.collect_set("line").alias(dropped))
+    gone = gone.select(F.col("doc_id").alias(key), F.col("mark").alias(of), F.col(dropped))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    marked = own.withColumn("_mark", F.hash(text))
-    joined = marked.join(gone, (F.col("doc_id") == F.col("_id")) & (F.col("_mark") == F.col("_of")), "left")
+    joined = own.withColumn(mark, F.hash(text))
+    joined = joined.join(gone, (F.col("doc_id") == F.col(key)) & (F.col(mark) == F.col(of)), "left")
     parts = F.split(text, "\n", -1)
-    kept = F.filter(parts, lambda _, i: ~F.array_contains(F.col("_dropped"), i))
-    changed = F.when(F.col("_dropped").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    kept = F.filter(parts, lambda _, i: ~F.array_contains(F.col(dropped), i))
+    changed = F.when(F.col(dropped).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     return joined.select(
         *[changed.alias(c) if c == "text" else F.col(f"`{c}`") for c in own.columns],
-        F.size(parts).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_dropped"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.size(parts).cast("long").alias(n_lines),
+        F.coalesce(F.size(dropped), F.lit(0)).cast("long").alias(n_dropped),
     )
 
 
 def clean(documents: DataFrame) -> DataFrame:
-    """The documents with their own columns, without the lines that go.
+    """The documents with their own columns, whatever their names, without the lines that go.
 
     A document that loses all its visible text goes with it; one that had none stays.
     """
     names = documents.columns
-    left = drop_repeats(documents).where(F.col("text").rlike(r"\S") | (F.col("n_dropped") == 0))
+    n_lines, n_dropped = free_names(documents, "n_lines", "n_dropped")
+    left = _without_repeats(documents, n_lines, n_dropped).where(F.col("text").rlike(r"\S") | (F.col(n_dropped) == 0))
     return left.select(*[F.col(f"`{c}`") for c in names])
 
 

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from tarmac.llm.buffers import Block, blocks, lists, stretch_hashes, word_spans
+from tarmac.llm.columns import free_names
 from tarmac.llm.labels import held_out, learning_sample
 
 #: A model is fitted on at most so many labelled documents.
@@ -262,14 +263,20 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Fiel
     )
 
 
+ADDED = ("quality_score", "n_lines", "n_bad_lines")
+
+
 def score(documents: DataFrame, field: Field) -> DataFrame:
     """Every column of the documents, with ``quality_score`` and the numbers of lines and of bad lines.
 
     Columns of these names that the documents already have are replaced.
     """
-    added = ("quality_score", "n_lines", "n_bad_lines")
-    kept = documents.select(*[F.col(f"`{c}`") for c in documents.columns if c not in added])
-    schema = StructType(kept.schema.fields[:]).add("quality_score", "double").add("n_lines", "long").add("n_bad_lines", "long")
+    return _scored(documents.select(*[F.col(f"`{c}`") for c in documents.columns if c.lower() not in ADDED]), field, ADDED)
+
+
+def _scored(kept: DataFrame, field: Field, added: tuple[str, ...]) -> DataFrame:
+    """``score`` under names that the documents do not have."""
+    schema = StructType(kept.schema.fields[:]).add(added[0], "double").add(added[1], "long").add(added[2], "long")
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -300,7 +307,8 @@ def digest(documents: DataFrame, field: Field) -> DataFrame:
 
 
 def keep_good(documents: DataFrame, field: Field) -> DataFrame:
-    """The documents that score at least the threshold, with their own columns only."""
+    """The documents that score at least the threshold, with their own columns only, whatever their names."""
     names = documents.columns
-    scored = score(documents, field).where(F.col("quality_score") >= THRESHOLD)
+    added = free_names(documents, *ADDED)
+    scored = _scored(documents, field, tuple(added)).where(F.col(added[0]) >= THRESHOLD)
     return scored.select(*[F.col(f"`{c}`") for c in names])

@@ -11,6 +11,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -254,3 +255,24 @@ def test_pipeline(spark, sf, tables):
     assert check_packing(pieces, [(r.doc_id, r.text) for r in clean.collect()]) > 0.9
     assert quality.THRESHOLD == 0.3
     assert len(corpus_pipeline.run(spark, sf).collect()) == len(pieces)
+
+
+CLASHING = ("_id", "_of", "_mark", "_dropped", "_head", "_row", "n_lines", "N_Dropped", "quality_score", "N_BAD_LINES", "head",
+            "row", "mark", "dropped", "key", "of", "component_id", "n", "a", "token", "sketch", "size")
+
+
+def test_columns_of_any_name_and_type_pass_every_stage(spark, sf, tables):
+    """Values and types of columns named as helpers are, and a map, are those of the row they came with."""
+    documents = tables["documents"]
+    extra = [F.concat(F.lit(f"{name} of "), F.col("doc_id")).alias(name) for name in CLASHING]
+    wide = documents.select("*", *extra, F.create_map(F.lit("id"), F.col("doc_id")).alias("pairs"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plain = {r["doc_id"]: r for r in stage(spark, documents, sf).collect()}
+        found = stage(spark, wide, sf)
+        assert found.schema.simpleString() == wide.schema.simpleString(), name
+        rows = found.collect()
+        assert sorted(plain) == sorted(r["doc_id"] for r in rows) and rows
+        for r in rows:
+            assert r["text"] == plain[r["doc_id"]]["text"] and r["pairs"] == {"id": r["doc_id"]}
+            assert all(r[c] == f"{c} of {r['doc_id']}" for c in CLASHING), name
+    assert corpus_pipeline.STAGES[-1][1](spark, wide, sf).count() == corpus_pipeline.STAGES[-1][1](spark, documents, sf).count()
