@@ -2,8 +2,11 @@
 
 Two documents link if their sets of five-word shingles agree in at least three quarters of their union. If
 they do, then under *any* global order of the tokens they share one among the first quarter of their own.
-So under one order, documents that share such a prefix token meet. Short digests of the sets, which never
-understate an intersection, spare most pairs that met the reading of both. The further orders are looked at
+So under one order, documents that share such a prefix token meet. Many of them have little more than that
+token in common, so every document brings a sketch, the counts of its tokens by some bits of their hashes: the
+smaller counts of two add up to no less than their intersection, and where that is too little, no pair is made
+(but for a row's pairs with its smallest id, which are few). Short digests of the sets, which never understate
+an intersection either, spare most pairs the reading of both. The further orders are looked at
 only with the whole sets at hand, just before the exact intersection: they do not lessen the pairs to look at.
 Tokens that many documents have come last in every order, the others in the order of a hash.
 
@@ -32,6 +35,7 @@ from tarmac.llm.bits import bit_table, likely
 from tarmac.llm.buffers import (
     LOWER, Block, blocks, flat, group_starts, lists, mix, ranges, shingle_hashes, stretch_hashes, word_spans,
 )
+from tarmac.llm.columns import free_names
 from tarmac.llm.components import components
 from tarmac.session import Scratch, fresh_folder, materialize
 
@@ -82,6 +86,65 @@ def set_keys(tokens: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
     return a.view(np.int64), b.view(np.int64)
 
 
+#: Counts of a sketch: as many as a set has some six tokens for, within these bounds.
+NARROWEST, WIDEST = 16, 128
+
+
+def sketches(tokens: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Counts of every set's tokens by the leading bits of a hash, a byte each; null if a count does not fit."""
+    cell = (mix(tokens ^ np.uint64(0xA24BAED4963EE407)) >> np.uint64(64 - WIDEST.bit_length() + 1)).astype(np.int64)
+    found: list[bytes | None] = []
+    for at in range(0, len(counts), 4096):  # so many rows of counts at once
+        own = counts[at : at + 4096]
+        first = int(counts[:at].sum())
+        of = np.repeat(np.arange(len(own)), own) * WIDEST + cell[first : first + int(own.sum())]
+        table = np.bincount(of, minlength=len(own) * WIDEST).reshape(len(own), WIDEST)
+        for row, width in zip(table, sketch_widths(own).tolist(), strict=True):
+            row = row.reshape(width, -1).sum(axis=1)
+            found.append(None if row.max(initial=0) > 255 else row.astype(np.uint8).tobytes())
+    return pa.array(found, pa.binary())
+
+
+def sketch_widths(n: np.ndarray) -> np.ndarray:
+    return 1 << np.clip(np.ceil(np.log2(np.maximum(n, 1) / 6)).astype(np.int64), NARROWEST.bit_length() - 1, WIDEST.bit_length() - 1)
+
+
+class Sketches:
+    """The sketches of some rows, at every width that is at most their own."""
+
+    def __init__(self, column: np.ndarray):
+        self.width = np.array([0 if s is None else len(s) for s in column], np.int64)
+        self.tables, width = {}, WIDEST
+        rows = np.flatnonzero(self.width == width)
+        table = self._of(column, rows, width)
+        while True:
+            place = np.zeros(len(column), np.int64)
+            place[rows] = np.arange(len(rows))
+            self.tables[width] = (table, place)
+            if width == NARROWEST:
+                break
+            width //= 2
+            own = np.flatnonzero(self.width == width)
+            table = np.concatenate([table.reshape(len(rows), width, 2).sum(axis=2, dtype=np.uint16), self._of(column, own, width)])
+            rows = np.concatenate([rows, own])
+
+    @staticmethod
+    def _of(column: np.ndarray, rows: np.ndarray, width: int) -> np.ndarray:
+        data = b"".join(column[i] for i in rows.tolist())
+        return np.frombuffer(data, np.uint8).reshape(len(rows), width).astype(np.uint16)
+
+    def may_share(self, i: np.ndarray, j: np.ndarray, need: np.ndarray) -> np.ndarray:
+        """Where rows ``i`` and ``j`` may have as many tokens in common as needed."""
+        may = np.ones(len(i), bool)
+        common = np.minimum(self.width[i], self.width[j])
+        for width, (table, place) in self.tables.items():
+            at = np.flatnonzero(common == width)
+            for part in np.array_split(at, len(at) // 50_000 + 1):
+                least = np.minimum(table[place[i[part]]], table[place[j[part]]]).sum(axis=1, dtype=np.int64)
+                may[part] = least >= need[part]
+        return may
+
+
 def prefix_length(n: np.ndarray) -> np.ndarray:
     """How many leading tokens a set of ``n`` has to share one of with any larger or smaller partner."""
     return np.minimum(n, n - -(-PERCENT * n // 100) + 1)
@@ -143,6 +206,7 @@ def keys_and_frequent(documents: DataFrame) -> tuple[DataFrame, np.ndarray]:
             for block in blocks(batch["text"]):
                 tokens, counts = shingle_sets(block)
                 a, b = set_keys(tokens, counts)
+                sketch = sketches(tokens, counts)
                 once = np.zeros(len(block), bool)
                 once[np.unique(a, return_index=True)[1]] = True  # copies do not make a token frequent
                 found, often = np.unique(tokens[np.repeat(once, counts)], return_counts=True)
@@ -156,15 +220,16 @@ def keys_and_frequent(documents: DataFrame) -> tuple[DataFrame, np.ndarray]:
                         pa.array(np.concatenate([counts, often])),
                         pa.array(np.concatenate([a, found.view(np.int64)])),
                         pa.array(np.concatenate([b, np.zeros(m, np.int64)])),
+                        pa.concat_arrays([sketch, pa.nulls(m, pa.binary())]),
                     ],
-                    names=["is_token", "doc_id", "n", "a", "b"],
+                    names=["is_token", "doc_id", "n", "a", "b", "sketch"],
                 )
 
     spark = documents.sparkSession
-    schema = "is_token boolean, doc_id long, n long, a long, b long"
+    schema = "is_token boolean, doc_id long, n long, a long, b long, sketch binary"
     path = fresh_folder(spark, "shingle-keys")
     _texts(documents).mapInArrow(read, schema).write.partitionBy("is_token").parquet(path)
-    table = spark.read.schema("doc_id long, n long, a long, b long, is_token boolean").parquet(path)
+    table = spark.read.schema("doc_id long, n long, a long, b long, sketch binary, is_token boolean").parquet(path)
     frequent = table.where("is_token").groupBy("a").agg(F.sum("n").alias("n"))
     frequent = frequent.orderBy(F.desc("n"), "a").limit(LATE).toArrow()
     late = frequent["a"].to_numpy()[::-1].copy().view(np.uint64)
@@ -172,7 +237,7 @@ def keys_and_frequent(documents: DataFrame) -> tuple[DataFrame, np.ndarray]:
 
 
 def shared_prefixes(documents: DataFrame, orders: Orders) -> DataFrame:
-    """``bucket, token, doc_id, n, place``: prefix tokens (first order) that several documents share.
+    """``bucket, token, doc_id, n, place, size``: prefix tokens (first order) that ``size`` rows of documents share.
 
     A task passes on equal sets once. A token is its bucket and 32 further bits of its hash here: different
     tokens that agree in these only bring some pairs together that verification then rejects.
@@ -222,13 +287,13 @@ def shared_prefixes(documents: DataFrame, orders: Orders) -> DataFrame:
         size = np.diff(np.append(at, len(token)))
         differ = np.repeat(doc[at] != doc[at + size - 1], size)
         bucket = pa.array(np.full(int(differ.sum()), table["bucket"][0].as_py(), np.int32))
-        columns = [pa.array(c[differ]) for c in (token, doc, n, place)]
-        return pa.Table.from_arrays([bucket, *columns], names=["bucket", "token", "doc_id", "n", "place"])
+        columns = [pa.array(c[differ]) for c in (token, doc, n, place, np.repeat(size, size).astype(np.int64))]
+        return pa.Table.from_arrays([bucket, *columns], names=["bucket", "token", "doc_id", "n", "place", "size"])
 
     lists_ = "token array<int>, doc_id array<long>, n array<int>, place array<int>"
     named = _texts(documents).where("doc_id is not null")
     met = named.mapInArrow(emitted, "bucket int, " + lists_).groupBy("bucket")
-    return met.applyInArrow(shared, "bucket int, token int, doc_id long, n int, place int")
+    return met.applyInArrow(shared, "bucket int, token int, doc_id long, n int, place int, size long")
 
 
 def pairs_within(reach: tuple[int, int], star: bool):
@@ -244,6 +309,7 @@ def pairs_within(reach: tuple[int, int], star: bool):
         keep = np.repeat(several, size)
         token, doc, n, place, group = (c[keep].astype(np.int64) for c in (token, doc, n, place, group))
         index = np.arange(len(token))
+        sketch = None if star else Sketches(table["sketch"].to_numpy()[order][keep])
         left, right = [], []
 
         def let_through(i: np.ndarray, j: np.ndarray) -> None:
@@ -251,15 +317,20 @@ def pairs_within(reach: tuple[int, int], star: bool):
             need = least_overlap(n[i], n[j])
             fits = (group[i] != group[j]) & (np.minimum(n[i] - place[i], n[j] - place[j]) >= need)
             fits &= 100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j])
+            i, j, need = i[fits], j[fits], need[fits]
+            fits = np.ones(len(i), bool) if star else sketch.may_share(i, j, need)
             left.append(np.minimum(doc[i], doc[j])[fits])
             right.append(np.maximum(doc[i], doc[j])[fits])
 
-        for d in range(reach[0] + 1, min(reach[1], int(size.max())) + 1):
-            i = index[:-d] if len(index) > d else index[:0]
-            i = i[token[i] == token[i + d]]
-            if not len(i):
+        near = index  # rows that the one so many places on may still match; sizes rise along a token's rows
+        for d in range(1, min(reach[1], int(size.max(initial=0))) + 1):
+            near = near[near + d < len(index)]
+            near = near[(token[near] == token[near + d]) & (100 * n[near] // PERCENT >= n[near + d])]
+            if not len(near):
                 break
-            let_through(i, i + d)
+            if d <= reach[0]:
+                continue
+            let_through(near, near + d)
             if len(left) >= 64:  # pairs repeat over tokens
                 merged = np.unique(np.stack([np.concatenate(left), np.concatenate(right)]), axis=1)
                 left, right = [merged[0]], [merged[1]]
@@ -363,10 +434,12 @@ def near_duplicate_groups(documents: DataFrame) -> DataFrame:
         if len(crowded):  # once more, with the tokens last that so many documents met at
             orders = Orders(np.concatenate([crowded, _id(*short_ids(late, buckets))]), buckets)
             met = scratch.table(shared_prefixes(documents, orders), "prefixes")
-        longest = met.groupBy("bucket", "token").count().agg(F.max("count")).first()[0] or 0
-        reach = (0, 0)  # first the smallest id of each row only
+        longest = met.agg(F.max("size")).first()[0] or 0
+        sketched = _sketch_of(keys)
+        reach = (0, 0)  # first the smallest id of each row only, which is all there is to do for two
         while reach[0] < longest:
-            links = _links(documents, met, groups, reach, orders)
+            rows = met if not reach[1] else met.where(F.col("size") > max(2, reach[0])).join(sketched, "doc_id", "left")
+            links = _links(documents, rows, groups, reach, orders)
             if not links.isEmpty():
                 edges = edges.unionByName(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
                 groups = components(edges)
@@ -381,6 +454,12 @@ def _crowded(met: DataFrame) -> np.ndarray:
     return _id(most["bucket"].to_numpy(), most["token"].to_numpy())[::-1]
 
 
+def _sketch_of(keys: DataFrame) -> DataFrame:
+    """``doc_id, sketch``; an id with several sets has none, so that nothing is told of any of them."""
+    alone = (F.min("a") == F.max("a")) & (F.min("b") == F.max("b"))
+    return keys.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(F.when(alone, F.max("sketch")).alias("sketch"))
+
+
 def _links(
     documents: DataFrame, met: DataFrame, groups: DataFrame, reach: tuple[int, int], orders: Orders
 ) -> DataFrame:
@@ -407,15 +486,17 @@ def _result(keys: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def keep_one(documents: DataFrame) -> DataFrame:
-    """One row of each group of near duplicates: that with the group's smallest id. All columns stay.
+    """One row of each group of near duplicates: that with the group's smallest id. All columns stay, of any type.
 
-    Of repeated rows with that id, the one with the smallest text stays; rows with a null id all stay.
+    Of repeated rows with that id, the one with the smallest text stays (then by a hash of its other columns);
+    rows with a null id all stay.
     """
+    head, row = free_names(documents, "head", "row")
     named = documents.where("doc_id is not null")
-    heads = near_duplicate_groups(documents).where("doc_id = component_id").select(F.col("doc_id").alias("_head")).distinct()
-    kept = named.join(heads, F.col("doc_id") == F.col("_head"), "left_semi")
-    others = [c for c in documents.columns if c not in ("doc_id", "text")]
-    everything = F.struct("text", *[F.col(f"`{c}`") for c in others])
-    one = kept.groupBy("doc_id").agg(F.min(everything).alias("_row"))
-    columns = [F.col("doc_id") if c == "doc_id" else F.col("_row").getField(c).alias(c) for c in documents.columns]
+    heads = near_duplicate_groups(documents).where("doc_id = component_id").select(F.col("doc_id").alias(head)).distinct()
+    kept = named.join(heads, F.col("doc_id") == F.col(head), "left_semi")
+    everything = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
+    first = F.struct(F.col("text"), F.xxhash64(F.to_json(everything)))
+    one = kept.groupBy("doc_id").agg(F.min_by(everything, first).alias(row))
+    columns = [F.col(row).getField(c).alias(c) for c in documents.columns]
     return one.select(*columns).unionByName(documents.where("doc_id is null"))

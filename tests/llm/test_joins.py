@@ -14,6 +14,13 @@ from tarmac.llm import decontaminate, line_dedup, ngram_join, substring_dedup
 from tarmac.llm.buffers import Block
 from tarmac.llm.components import components
 
+
+
+def words(seed, n):
+    rnd = random.Random(seed)
+    return " ".join("".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(2, 8))) for _ in range(n))
+
+
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -103,6 +110,45 @@ def test_groups_of_odd_rows(odd, odd_rows):
     assert result(ngram_join.near_duplicate_groups(odd)) == groups_expected(odd_rows)
 
 
+def test_groups_of_the_table(tables):
+    rows = [(r.doc_id, r.text) for r in tables["documents"].collect()]
+    assert result(ngram_join.near_duplicate_groups(tables["documents"])) == groups_expected(rows)
+
+
+def with_passages(n):
+    """Texts that share long passages with many others, and a near copy of every tenth."""
+    rnd = random.Random(2)
+    passages = [words(100 + i, 70) for i in range(4)]
+    rows = []
+    for i in range(n):
+        rows.append((2 * i, f"{words(1000 + i, 150)} {passages[i % 4]} {words(5000 + i, 60)}"))
+        if i % 10 == 0:
+            near = rows[-1][1].split(" ")
+            near[rnd.randrange(len(near))] = "other"
+            rows.append((2 * i + 1, " ".join(near)))
+    return rows
+
+
+def test_groups_beside_crowded_passages(make):
+    rows = with_passages(160)
+    assert result(ngram_join.near_duplicate_groups(make(rows))) == groups_expected(rows)
+
+
+def test_sketches_never_understate_an_intersection():
+    rnd = np.random.default_rng(3)
+    sets = [rnd.integers(0, 40 + 40 * k, 3 + k * k % 997).astype(np.uint64) for k in range(120)]
+    sets = [np.unique(s) for s in sets] + [np.arange(60_000, dtype=np.uint64)]
+    counts = np.array([len(s) for s in sets])
+    column = ngram_join.sketches(np.concatenate(sets), counts)
+    assert column[-1].as_py() is None and {len(c.as_py()) for c in column[:-1]} == {16, 32, 64, 128}
+    kept = ngram_join.Sketches(column.to_numpy(zero_copy_only=False))
+    i, j = (a.ravel() for a in np.indices((len(sets), len(sets))))
+    common = np.array([len(np.intersect1d(sets[a], sets[b])) for a, b in zip(i, j, strict=True)])
+    assert kept.may_share(i, j, common).all()
+    own = np.flatnonzero((i == j) & (i < 120))
+    assert not kept.may_share(i[own], j[own], common[own] + 1).any()
+
+
 def test_groups_need_many_rounds(make):
     """A family of texts just below the threshold to each other, so that pairs far apart in a row are looked at."""
     base = [f"w{i}" for i in range(140)]
