@@ -99,17 +99,54 @@ class Lines:
         return self.points[self.begin[line] : self.end[line]].tobytes().decode("utf-32-le", "replace")
 
 
+#: Cells of the padded tables that pairs are compared in at a time; a pair of longer lines is compared alone.
+CELLS = 2 << 20
+
+#: Pairs in which both lines are longer than this lose their common ends first, which changes no distance.
+LONG = 1024
+
+
+def _inner(left: str, right: str) -> tuple[str, str]:
+    """The texts without the code points with which both begin, and those with which both end."""
+    a, b = (np.frombuffer(t.encode("utf-32-le", "surrogatepass"), "<u4") for t in (left, right))
+    n = min(len(a), len(b))
+    begin = int(np.argmin(np.append(a[:n] == b[:n], False)))
+    n -= begin
+    end = int(np.argmin(np.append(a[len(a) - n :][::-1] == b[len(b) - n :][::-1], False)))
+    return left[begin : len(a) - end], right[begin : len(b) - end]
+
+
 def edit_distances(left: list[str], right: list[str], most: int = EDITS) -> np.ndarray:
     """Edit distances of pairs, where at most ``most``; ``most + 1`` stands for more.
 
+    Pairs are compared by length, in slices of bounded memory.
+    """
+    result = np.full(len(left), most + 1, np.int64)
+    pairs = [_inner(a, b) if min(len(a), len(b)) > LONG else (a, b) for a, b in zip(left, right, strict=True)]
+    # lengths too far apart need no table
+    near = np.array([i for i, (a, b) in enumerate(pairs) if abs(len(a) - len(b)) <= most], np.int64)
+    size = np.array([max(map(len, pairs[i])) + 2 * most + 2 for i in near], np.int64)
+    order = np.argsort(size, kind="stable")
+    near, size = near[order], size[order]
+    at = 0
+    while at < len(near):
+        cells = np.arange(1, len(near) - at + 1) * size[at:]
+        end = at + max(1, int(np.searchsorted(cells, CELLS, side="right")))
+        some = near[at:end]
+        result[some] = _banded([pairs[i][0] for i in some], [pairs[i][1] for i in some], most)
+        at = end
+    return result
+
+
+def _banded(left: list[str], right: list[str], most: int) -> np.ndarray:
+    """The distances of pairs of similar length.
+
     For each number of edits, the reachable diagonals of a pair are the bits of one number, and all pairs
-    move on by one code point of the right text at a time.
+    move on by one code point of the right text at a time, until none has a diagonal left.
     """
     n, band = len(left), 2 * most + 1
     sizes = [np.array([len(t) for t in side], np.int64) for side in (left, right)]
     result = np.full(n, most + 1, np.int64)
-    if not n:
-        return result
     longest = int(max(s.max() for s in sizes))
     # the band reaches beyond both ends of the left text, where nothing agrees
     a, b = np.full((n, longest + band + 1), 0xFFFFFFFF, np.uint32), np.full((n, longest + 1), 0xFFFFFFFE, np.uint32)
@@ -131,10 +168,15 @@ def edit_distances(left: list[str], right: list[str], most: int = EDITS) -> np.n
             result[hit] = e
 
     note(0)
+    ends = set(sizes[1].tolist())
+    rows = max(1, 65_536 // n)
     for step in range(longest):
-        same = np.zeros(n, np.uint32)
-        for d in range(band):
-            same |= (a[step + d] == b[step]).astype(np.uint32) << np.uint32(d)
+        if step % rows == 0:  # what agrees on each diagonal, for some steps at once
+            upto = min(step + rows, longest)
+            agrees = np.zeros((upto - step, n), np.uint32)
+            for d in range(band):
+                agrees |= (a[step + d : upto + d] == b[step:upto]).astype(np.uint32) << np.uint32(d)
+        same = agrees[step % rows]
         new: list[np.ndarray] = []
         for e in range(most + 1):
             now = reach[e] & same
@@ -143,7 +185,10 @@ def edit_distances(left: list[str], right: list[str], most: int = EDITS) -> np.n
                 now |= reach[e - 1] | (reach[e - 1] >> one) | (new[e - 1] << one)
             new.append(now & mask)
         reach = new
-        note(step + 1)
+        if step + 1 in ends:
+            note(step + 1)
+        if step % 64 == 63 and not reach[most].any():
+            break
     return result
 
 
