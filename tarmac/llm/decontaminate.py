@@ -49,8 +49,12 @@ WITHIN = 3
 #: Words of items that are laid along documents at a time.
 LAID = 4 << 20
 
-#: Benchmark items per pass; each pass reads the documents once and carries its items to the tasks.
+#: Hits that are held at a time, before those of one item on one diagonal become one.
+HITS = 1 << 20
+
+#: Benchmark items per pass, and bytes of their texts; each pass reads the documents once and carries its items to the tasks.
 ITEMS_PER_PASS = 20_000
+BYTES_PER_PASS = 32 << 20
 
 
 def _words(block: Block) -> tuple[np.ndarray, np.ndarray]:
@@ -71,6 +75,42 @@ def seeds(words: np.ndarray, first: np.ndarray, mask: tuple[int, ...], salt: int
     return at, mix(total[at])
 
 
+def _slices(number: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Bounds of slices whose numbers come to ``most`` at most, or of single ones."""
+    upto, at = np.cumsum(number), 0
+    while at < len(number):
+        done = upto[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(upto, done + most, side="right")))
+        yield at, end
+        at = end
+
+
+def _once(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Every text, item and diagonal once."""
+    text, item, diagonal = (np.concatenate(c) for c in zip(*parts, strict=True))
+    order = np.lexsort((diagonal, item, text))
+    text, item, diagonal = text[order], item[order], diagonal[order]
+    at = group_starts(text, item, diagonal)
+    return text[at], item[at], diagonal[at]
+
+
+def _best(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Text, item, most agreeing words, first and last word, of every text and item."""
+    text, item, count, word, last = (np.concatenate(c) for c in zip(*parts, strict=True))
+    if not len(text):
+        return text, item, count, word, last
+    order = np.lexsort((item, text))
+    text, item = text[order], item[order]
+    at = group_starts(text, item)
+    return (
+        text[at],
+        item[at],
+        np.maximum.reduceat(count[order], at),
+        np.minimum.reduceat(word[order], at),
+        np.maximum.reduceat(last[order], at),
+    )
+
+
 class Items:
     """Seeds of some benchmark items, sorted by hash, and a bit table that most lookups end at."""
 
@@ -120,53 +160,44 @@ class Items:
             at = ranges(first[:-1], number if size >= WITHIN else number == 1)
             yield at, self.runs(words, at, size)
 
-    def hits(self, words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of a word position in the documents and an index into the sorted seeds with the same hash."""
-        places, entries = [], []
+    def hits(self, words: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Word positions in the documents and indexes into the sorted seeds with the same hash, some at a time."""
         for at, hash_ in self.looked_up(words, first):
             likely = np.flatnonzero(self.bits[(hash_ >> np.uint64(64 - self.BITS)).astype(np.int64)])
             at, hash_ = at[likely], hash_[likely]
             low = np.searchsorted(self.hashes, hash_)
             number = np.searchsorted(self.hashes, hash_, side="right") - low
-            places.append(np.repeat(at, number))
-            entries.append(ranges(low, number))
-        return np.concatenate(places), np.concatenate(entries)
+            for a, b in _slices(number, HITS):
+                yield np.repeat(at[a:b], number[a:b]), ranges(low[a:b], number[a:b])
 
     def matches(self, block: Block) -> tuple[np.ndarray, ...]:
         """Text, item, best agreeing words of a stretch, and first and last word of the overlap, per text and item."""
         words, first = _words(block)
-        none = tuple(np.empty(0, np.int64) for _ in range(5))
+        best = tuple(np.empty(0, np.int64) for _ in range(5))
         if not len(words) or not len(self.hashes):
-            return none
-        place, entry = self.hits(words, first)
-        if not len(place):
-            return none
-        text = np.searchsorted(first, place, side="right") - 1
-        item = np.searchsorted(self.first, self.places[entry], side="right") - 1
-        diagonal = place - self.places[entry]
-        order = np.lexsort((diagonal, item, text))
-        text, item, diagonal = text[order], item[order], diagonal[order]
-        at = group_starts(text, item, diagonal)
-        text, item, diagonal = text[at], item[at], diagonal[at]
-        upto = np.cumsum(self.first[item + 1] - self.first[item])
-        cuts = [0]
-        while cuts[-1] < len(text):
-            done = upto[cuts[-1] - 1] if cuts[-1] else 0
-            cuts.append(max(cuts[-1] + 1, int(np.searchsorted(upto, done + LAID, side="right"))))
-        parts = [self.laid(words, first, text[a:b], item[a:b], diagonal[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
-        text, item, count, word, last = (np.concatenate(c) for c in zip(*parts, strict=True))
-        if not len(text):
-            return none
-        order = np.lexsort((item, text))
-        text, item = text[order], item[order]
-        at = group_starts(text, item)
-        return (
-            text[at],
-            item[at],
-            np.maximum.reduceat(count[order], at),
-            np.minimum.reduceat(word[order], at) - first[text[at]],
-            np.maximum.reduceat(last[order], at) - first[text[at]],
-        )
+            return best
+        held, number = [], 0
+        for place, entry in self.hits(words, first):
+            text = np.searchsorted(first, place, side="right") - 1
+            item = np.searchsorted(self.first, self.places[entry], side="right") - 1
+            held.append((text, item, place - self.places[entry]))
+            number += len(place)
+            if number > HITS:
+                held = [_once(held)]
+                number = len(held[0][0])
+                if number > HITS // 2:
+                    best = _best([best, *self.judged(words, first, *held[0])])
+                    held, number = [], 0
+        best = _best([best, *self.judged(words, first, *_once(held))]) if number else best
+        text, item, count, word, last = best
+        return text, item, count, word - first[text], last - first[text]
+
+    def judged(
+        self, words: np.ndarray, first: np.ndarray, text: np.ndarray, item: np.ndarray, diagonal: np.ndarray
+    ) -> Iterator[tuple[np.ndarray, ...]]:
+        """What the items come to on their diagonals, laid in slices of bounded memory."""
+        for a, b in _slices(self.first[item + 1] - self.first[item], LAID):
+            yield _best([self.laid(words, first, text[a:b], item[a:b], diagonal[a:b])])
 
     def laid(
         self, words: np.ndarray, first: np.ndarray, text: np.ndarray, item: np.ndarray, diagonal: np.ndarray
@@ -215,8 +246,9 @@ def _pass(documents: DataFrame, items: Items) -> DataFrame:
 
 def benchmark_parts(benchmark: DataFrame, per_pass: int = ITEMS_PER_PASS) -> Iterator[Items]:
     """The benchmark in parts of bounded size, so that what tasks carry has a fixed bound."""
-    rows = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text is not null")
-    parts = max(1, -(-rows.count() // per_pass))
+    rows = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text is not null").distinct()
+    number, size = rows.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+    parts = max(1, -(-number // per_pass), -(-(size or 0) // BYTES_PER_PASS))
     for part in range(parts):
         mine = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part)
         table = mine.orderBy("item_id", "text").toArrow()

@@ -3,15 +3,17 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
 from tarmac.llm import decontaminate, line_dedup, ngram_join, substring_dedup
-from tarmac.llm.buffers import Block
+from tarmac.llm.buffers import Block, blocks
 from tarmac.llm.components import components
 
 
@@ -187,6 +189,21 @@ def test_edit_automaton(pairs):
     assert line_dedup.edit_distances(left, right).tolist() == [min(distance(a, b), 3) for a, b in pairs]
 
 
+def test_long_lines_take_bounded_memory():
+    long = words(31, 5_000)
+    assert len(long) > 25_000
+    cut = long[:10_000] + long[10_001:]
+    cases = [(long, cut, 1), (long, "x" + cut, 2), (long, "x" + cut + "y", 3), (long, long[::-1], 3), (long, "", 3)]
+    cases += [("a" * 40, "a" * 39 + "b", 1)] * 2000 + [(long[:1000] + "z" + long[1001:3000], long[:3000], 1)] * 300
+    cases += [("b" + long[:2000] + "q" + long[2000:3000], long[:3000], 2)] * 300
+    tracemalloc.start()
+    found = line_dedup.edit_distances([a for a, _, _ in cases], [b for _, b, _ in cases])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.tolist() == [d for _, _, d in cases]
+    assert peak < 300 << 20
+
+
 def lines_expected(rows):
     """Lines that go, for rows with different ids."""
     lines = [(k, i, line) for k, t in sorted(rows, key=lambda r: r[0]) for i, line in enumerate((t or "").split("\n"))]
@@ -308,6 +325,21 @@ def test_short_passages(spark, make):
     assert {i for _, i in expected} == set(range(4, 11))
 
 
+def test_items_of_repeated_words_take_bounded_memory(monkeypatch):
+    text, item = " ".join(["same"] * 4000), " ".join(["same"] * 800)
+    texts = pa.array([text, "other " + words(5, 50), words(6, 30) + " " + " ".join(["same"] * 13), None])
+    items = decontaminate.Items(np.array([7, 8]), pa.array([item, words(5, 40)]))
+    (block,) = blocks(texts)
+    whole = [c.tolist() for c in items.matches(block)]
+    assert list(zip(*whole, strict=True)) == [(0, 0, 16, 0, 4000), (1, 1, 16, 1, 41), (2, 0, 13, 26, 43)]
+    monkeypatch.setattr(decontaminate, "HITS", 20_000)
+    monkeypatch.setattr(decontaminate, "LAID", 100_000)
+    tracemalloc.start()
+    assert [c.tolist() for c in items.matches(block)] == whole
+    assert tracemalloc.get_traced_memory()[1] < 32 << 20
+    tracemalloc.stop()
+
+
 def test_passages_of_the_table(tables):
     """Every document that holds an item word for word is found."""
     items = [(r.item_id, " ".join(tokens(r.text))) for r in tables["benchmark"].collect()]
