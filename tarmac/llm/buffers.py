@@ -105,13 +105,24 @@ class _Powers:
         return cls.up, cls.down
 
 
+class Stretches:
+    """64-bit hashes of stretches of some data, whose sums are taken once; equal stretches have equal hashes."""
+
+    def __init__(self, data: np.ndarray):
+        up, self.down = _Powers.get(len(data) + 1)
+        self.sums = np.zeros(len(data) + 1, np.uint64)
+        terms = data + np.uint64(1)
+        terms *= up[: len(data)]
+        np.cumsum(terms, out=self.sums[1:])
+
+    def hashes(self, starts: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix((self.sums[end] - self.sums[starts]) * self.down[starts] + (end - starts).astype(np.uint64))
+
+
 def stretch_hashes(data: np.ndarray, starts: np.ndarray, *ends: np.ndarray) -> list[np.ndarray]:
     """64-bit hashes of ``data[starts:end]`` for each array of ends; equal stretches have equal hashes."""
-    up, down = _Powers.get(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data + np.uint64(1)) * up[: len(data)], out=sums[1:])
-    base, scale = sums[starts], down[starts]
-    return [mix((sums[end] - base) * scale + (end - starts).astype(np.uint64)) for end in ends]
+    stretches = Stretches(data)
+    return [stretches.hashes(starts, end) for end in ends]
 
 
 def word_spans(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

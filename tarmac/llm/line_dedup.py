@@ -22,13 +22,14 @@ rows with a null id keep all lines and take none away. Extra columns are kept.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tarmac.llm.bits import bit_table, likely
-from tarmac.llm.buffers import Block, blocks, flat, group_starts, lists, mix, stretch_hashes
+from tarmac.llm.buffers import Block, Stretches, blocks, flat, group_starts, lists, mix
 from tarmac.llm.columns import free_names
 from tarmac.session import Scratch, materialize
 
@@ -36,6 +37,10 @@ EDITS = 2
 LEAST = 20
 LEAST_NEAR = 32
 
+#: Distinct lines that a task remembers so as to pass each on once. Only bounds memory: what is passed on twice is merged.
+SEEN = 200_000
+
+
 class Lines:
     """Lines of a block with at least ``LEAST`` code points: text, number in the text, and extent in code points."""
 
@@ -61,17 +66,25 @@ class Lines:
     def size(self) -> np.ndarray:
         return self.end - self.begin
 
-    def keys(self) -> tuple[np.ndarray, np.ndarray]:
-        """Two hashes of every line."""
+    @cached_property
+    def stretches(self) -> Stretches:
+        return Stretches(self.points.astype(np.uint64))
+
+    def keys(self) -> np.ndarray:
+        """A hash of every line."""
+        return self.stretches.hashes(self.begin, self.end).view(np.int64)
+
+    def further_keys(self) -> np.ndarray:
+        """Another hash of every line."""
         wide = self.points.astype(np.uint64)
-        (a,) = stretch_hashes(wide, self.begin, self.end)
-        (b,) = stretch_hashes(wide * wide + np.uint64(11), self.begin, self.end)
-        return a.view(np.int64), b.view(np.int64)
-
-    def meetings(self) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
-        """Lines, the hashes under which they meet others, and whether they probe (or are indexed)."""
-        line = np.flatnonzero(self.size >= LEAST_NEAR)
-        wide, size = self.points.astype(np.uint64), self.size[line]
+        wide *= wide
+        wide += np.uint64(11)
+        return Stretches(wide).hashes(self.begin, self.end).view(np.int64)
+
+    def meetings(self, line: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+        """Some lines, the hashes under which they meet others, and whether they probe (or are indexed)."""
+        line = line[self.size[line] >= LEAST_NEAR]
+        size = self.size[line]
         parts = EDITS + 1
         for short in range(EDITS + 1):  # by how much the indexed line is shorter
             length = size - short
@@ -89,7 +102,7 @@ class Lines:
                     if not fits.any():
                         continue
                     begin = self.begin[line[fits]] + at[fits]
-                    (hashes,) = stretch_hashes(wide, begin, begin + width[fits])
+                    hashes = self.stretches.hashes(begin, begin + width[fits])
                     hashes = mix(hashes + (length[fits] * parts + i).astype(np.uint64))
                     yield line[fits], hashes, True
                     if short == 0 and offset == 0:
@@ -238,7 +251,7 @@ def line_table(documents: DataFrame) -> DataFrame:
             for block in blocks(batch["text"]):
                 found = Lines(block)
                 row = pa.array(found.text + block.first)
-                a, b = found.keys()
+                a, b = found.keys(), found.further_keys()
                 columns = [batch["doc_id"].take(row), batch["mark"].take(row), pa.array(found.number.astype(np.int32))]
                 names = ["doc_id", "mark", "line", "a", "b"]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(a), pa.array(b)], names=names)
@@ -251,35 +264,35 @@ def meetings(documents: DataFrame) -> DataFrame:
     buckets = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def emitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # lines that are dealt already or held
         parts: list[tuple[np.ndarray, ...]] = []
         held = 0
         for batch in batches:
             for block in blocks(batch["text"]):
                 found = Lines(block)
-                a, _ = found.keys()
-                for line, hashes, probes in found.meetings():
+                a = found.keys()
+                own, at = np.unique(a, return_index=True)
+                new = [key not in seen for key in own.tolist()]
+                if len(seen) + len(own) > SEEN:
+                    seen.clear()
+                seen.update(own.tolist())
+                for line, hashes, probes in found.meetings(at[new]):
                     parts.append((hashes, a[line], np.full(len(line), probes)))
                     held += len(line)
                 if held > 1_500_000:
-                    yield from deal(parts)
+                    yield deal(parts)
                     parts, held = [], 0
-        yield from deal(parts)
+        if parts:
+            yield deal(parts)
 
-    def deal(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-        if not parts:
-            return
+    def deal(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
         meets, a, probes = (np.concatenate(c) for c in zip(*parts, strict=True))
-        bucket = (meets >> np.uint64(33)).astype(np.int64) % buckets
-        order = np.lexsort((probes, a, meets, bucket))
-        meets, a, probes, bucket = meets[order], a[order], probes[order], bucket[order]
-        once = group_starts(meets, a, probes)
-        meets, a, probes, bucket = meets[once], a[once], probes[once], bucket[once]
-        at = group_starts(bucket)
-        counts = np.diff(np.append(at, len(bucket)))
-        columns = [lists(meets.view(np.int64), counts), lists(a, counts), lists(probes, counts)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(bucket[at].astype(np.int32)), *columns], names=["bucket", "meets", "a", "probes"]
-        )
+        bucket = ((meets >> np.uint64(33)).astype(np.int64) % buckets).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        at = group_starts(bucket[order])
+        counts = np.diff(np.append(at, len(order)))
+        columns = [lists(c[order], counts) for c in (meets.view(np.int64), a, probes)]
+        return pa.RecordBatch.from_arrays([pa.array(bucket[order][at]), *columns], names=["bucket", "meets", "a", "probes"])
 
     def shared(table: pa.Table) -> pa.Table:
         meets, a, probes = (flat(table[c]) for c in ("meets", "a", "probes"))
@@ -309,7 +322,7 @@ def met_lines(documents: DataFrame, met: DataFrame) -> DataFrame:
         for batch in batches:
             for block in blocks(batch["text"]):
                 found = Lines(block)
-                a = found.keys()[0]
+                a = found.keys()
                 some = likely(table, a)
                 row = pa.array(found.text[some] + block.first)
                 yield pa.RecordBatch.from_arrays(
@@ -421,13 +434,16 @@ def _near_repeats(documents: DataFrame, met: DataFrame, scratch: Scratch) -> Dat
 
 
 def repeats(documents: DataFrame) -> DataFrame:
-    """``doc_id, mark, line`` of every line that goes."""
-    lines = line_table(documents)
-    firsts = lines.groupBy("a", "b").agg(F.min(F.struct("doc_id", "mark", "line")).alias("first"), F.count("*").alias("n"))
+    """``doc_id, mark, line`` of every line that goes, as a shared table."""
     near = near_repeats(documents).withColumn("near", F.lit(True))
-    judged = firsts.join(near, "a", "left").where("n > 1 or near").withColumn("near", F.coalesce("near", F.lit(False)))
     place = F.struct("doc_id", "mark", "line")
-    return lines.join(judged, ["a", "b"]).where(F.col("near") | (place != F.col("first"))).select("doc_id", "mark", "line")
+    with Scratch(documents.sparkSession) as scratch:
+        lines = scratch.table(line_table(documents), "lines")
+        firsts = lines.groupBy("a", "b").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+        judged = firsts.join(near, "a", "left").where("n > 1 or near")
+        judged = judged.withColumn("near", F.coalesce("near", F.lit(False)))
+        gone = lines.join(judged, ["a", "b"]).where(F.col("near") | (place != F.col("first")))
+        return materialize(gone.select("doc_id", "mark", "line"), "repeated-lines")
 
 
 def drop_repeats(documents: DataFrame) -> DataFrame:
