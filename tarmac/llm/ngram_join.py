@@ -61,20 +61,30 @@ def shingle_sets(block: Block) -> tuple[np.ndarray, np.ndarray]:
     counts = np.diff(first)
     runs = shingle_hashes(words, WORDS)
     many = np.maximum(counts - WORDS + 1, 0)
-    tokens, text = runs[ranges(first[:-1], many)], np.repeat(np.arange(len(block)), many)
     few = np.flatnonzero((counts > 0) & (counts < WORDS))
+    many_or_one = many.copy()
+    many_or_one[few] = 1
+    bounds = np.append(0, np.cumsum(many_or_one))
+    tokens = np.empty(bounds[-1], np.uint64)
+    tokens[ranges(bounds[:-1], many)] = runs[ranges(first[:-1], many)]
     if len(few):
         own = ranges(first[few], counts[few])
         place = ranges(np.zeros(len(few), np.int64), counts[few]).astype(np.uint64)
         whole = np.add.reduceat(mix(words[own] + place), np.cumsum(counts[few]) - counts[few])
-        tokens = np.concatenate([tokens, mix(whole + counts[few].astype(np.uint64))])
-        text = np.concatenate([text, few])
-    order = np.lexsort((tokens, text))
-    tokens, text = tokens[order], text[order]
+        tokens[bounds[few]] = mix(whole + counts[few].astype(np.uint64))
+    for low, high in _stretches(bounds):  # much faster than one sort by text and token
+        tokens[low:high].sort()
+    text = np.repeat(np.arange(len(block)), many_or_one)
     at = group_starts(text, tokens)
     return tokens[at], np.bincount(text[at], minlength=len(block))
 
 
+def _stretches(bounds: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Begin and end of the stretches of two or more."""
+    several = np.flatnonzero(np.diff(bounds) > 1)
+    return zip(bounds[several].tolist(), bounds[several + 1].tolist(), strict=True)
+
+
 def set_keys(tokens: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Two 64-bit digests of every set; those of empty sets are zero."""
     a, b = np.zeros(len(counts), np.uint64), np.zeros(len(counts), np.uint64)
@@ -168,27 +178,42 @@ def _id(bucket: np.ndarray, bits: np.ndarray) -> np.ndarray:
 class Orders:
     """Global orders of the tokens: by a hash that differs per order, the late tokens last.
 
-    Late tokens are known by their short ids, the rarest first.
+    Late tokens are known by their short ids, the rarest first; a table by some bits of them spares most searches.
     """
 
+    BITS = 20
+    LOW = np.int64((1 << BITS) - 1)
+
     def __init__(self, late: np.ndarray, buckets: int):
         late = late[np.sort(np.unique(late, return_index=True)[1])]
         self.rank = np.argsort(late, kind="stable").astype(np.uint64)
         self.late, self.buckets = late[self.rank.astype(np.int64)], buckets
+        self.may_be_late = np.zeros(1 << self.BITS, bool)
+        self.may_be_late[self.late & self.LOW] = True
 
     def keys(self, tokens: np.ndarray, order: int) -> np.ndarray:
         keys = mix(tokens + np.uint64(0x9E3779B97F4A7C15 * (order + 1) & (1 << 64) - 1)) >> _U1
         if len(self.late):
             ids = _id(*short_ids(tokens, self.buckets))
-            at = np.minimum(np.searchsorted(self.late, ids), len(self.late) - 1)
-            is_late = self.late[at] == ids
-            keys[is_late] = (_U1 << np.uint64(63)) | self.rank[at[is_late]]
+            some = np.flatnonzero(self.may_be_late[ids & self.LOW])
+            at = np.minimum(np.searchsorted(self.late, ids[some]), len(self.late) - 1)
+            is_late = self.late[at] == ids[some]
+            keys[some[is_late]] = (_U1 << np.uint64(63)) | self.rank[at[is_late]]
         return keys
 
     def prefixes(self, tokens: np.ndarray, counts: np.ndarray, order: int) -> tuple[np.ndarray, ...]:
         """Tokens of every set's prefix, with the set's index and the token's place in the order."""
         text = np.repeat(np.arange(len(counts)), counts)
-        tokens = tokens[np.lexsort((self.keys(tokens, order), text))]
+        keys, bounds = self.keys(tokens, order), np.append(0, np.cumsum(counts))
+        sorted_ = np.arange(len(tokens))
+        for low, high in _stretches(bounds):
+            own = keys[low:high]
+            by_key = own.argsort()
+            own = own[by_key]
+            if (own[1:] == own[:-1]).any():  # tokens of one key keep the order of their hashes, as everywhere
+                by_key = keys[low:high].argsort(kind="stable")
+            sorted_[low:high] = by_key + low
+        tokens = tokens[sorted_]
         length = prefix_length(counts)
         at = ranges(np.cumsum(counts) - counts, length)
         return tokens[at], text[at], ranges(np.zeros(len(counts), np.int64), length)
