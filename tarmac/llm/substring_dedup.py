@@ -14,12 +14,13 @@ suffix leaves the passes as soon as no other document shares its digits:
 Groups are equal 64-bit hashes of a later digit within equal hashes of the first. Every pass settles what it
 can within a chunk of documents and passes on one row for each chunk and group, so that a passage of a third
 of all documents does not gather in one task. Anchors of a first digit with many different surroundings in
-some chunk are dealt out window by window instead. Chunks are documents by the hash of their id, and their
-number is that of the shuffle partitions. All passes are one plan over one shuffle of the texts, and
-nothing is kept on the driver.
+some chunk are dealt out window by window instead. Chunks are documents by the hash of their id and text. There
+are as many as shuffle partitions, or more if the texts of one, on average, would be over ``CHUNK_BYTES``. All
+passes are one plan over one shuffle of the texts, and nothing is kept on the driver.
 
 Null texts are empty and keep nothing; texts shorter than the threshold stay whole. Rows with the same id
-do not affect each other, whatever their texts are; rows with a null id neither lose nor cost anything.
+do not affect each other, whatever their texts are; rows with a null id neither lose nor cost anything and are
+not shuffled.
 Extra columns are ignored.
 """
 
@@ -41,6 +42,9 @@ _RUN = THRESHOLD - GRAM + 1  # short strings of a window
 #: A first digit with so many different surroundings in one chunk is dealt out window by window.
 MANY = 64
 
+#: Bytes of the texts of a chunk, on average. A task holds one chunk at a time, and some ten times its bytes in arrays.
+CHUNK_BYTES = 64 << 20
+
 SURROUNDED, WINDOW, SETTLED = range(3)  # kinds of records between the passes
 
 _SLICE = 1 << 17  # windows that a task tells apart at a time
@@ -90,8 +94,7 @@ class Anchors:
 
 
 def _chunk_blocks(table: pa.Table) -> Iterator[tuple[Block, np.ndarray, np.ndarray]]:
-    """Blocks of texts with the ids and marks of their documents; rows with a null id are left out."""
-    table = table.filter(table["doc_id"].is_valid())
+    """Blocks of texts with the ids and marks of their documents."""
     for batch in table.combine_chunks().to_batches():
         ids, marks = batch["doc_id"].to_numpy(), batch["mark"].to_numpy()
         for block in blocks(batch["text"], BLOCK_BYTES // 2):
@@ -239,14 +242,28 @@ def _slices(starts: np.ndarray, weights: np.ndarray, most: int) -> Iterator[tupl
 
 def remove_repeats(documents: DataFrame) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` of every document; ``kept`` are its remaining bytes."""
-    chunks = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    texts = documents.select(
-        F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(chunks)).cast("int").alias("chunk"),
-        F.col("doc_id").cast("long"),
-        F.hash(text).alias("mark"),
-        text.alias("text"),
+    rows = documents.select(F.col("doc_id").cast("long"), text.alias("text"))
+    nameless = rows.where("doc_id is null").select(
+        "doc_id",
+        F.octet_length("text").cast("long").alias("n_bytes"),
+        F.lit(0).cast("long").alias("n_removed"),
+        F.lit(0).cast("long").alias("n_spans"),
+        F.col("text").cast("binary").alias("kept"),
     )
+    return _remove_repeats(rows.where("doc_id is not null"), chunks_of(rows)).unionByName(nameless)
+
+
+def chunks_of(rows: DataFrame) -> int:
+    """The number of chunks for these texts."""
+    n_bytes = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // CHUNK_BYTES))
+
+
+def _remove_repeats(rows: DataFrame, chunks: int) -> DataFrame:
+    mark = F.hash("text")
+    chunk = F.pmod(F.xxhash64("doc_id", mark), F.lit(chunks)).cast("int")
+    texts = rows.select(chunk.alias("chunk"), "doc_id", mark.alias("mark"), "text")
 
     def digit(hashes: np.ndarray) -> np.ndarray:
         return (hashes.view(np.uint64) >> np.uint64(33)).astype(np.int64) % chunks
@@ -403,14 +420,11 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
         rows = _rows(replies, SETTLED)[0]
         out: list[list] = [[] for _ in _NAMES]
         for batch in table.combine_chunks().to_batches():
-            ids = batch["doc_id"].fill_null(0).to_numpy(zero_copy_only=False)
-            nameless = batch["doc_id"].is_null().to_numpy(zero_copy_only=False)
-            marks = batch["mark"].to_numpy()
+            ids, marks = batch["doc_id"].to_numpy(), batch["mark"].to_numpy()
             for block in blocks(batch["text"]):
                 part = slice(block.first, block.first + len(block))
                 text, row = _matched(ids[part], marks[part], rows)
-                named = ~nameless[part][text]
-                text, low, high = _merged(text[named], rows.low[row][named], rows.high[row][named])
+                text, low, high = _merged(text, rows.low[row], rows.high[row])
                 removed = np.bincount(text, high - low, len(block)).astype(np.int64)
                 spans = np.bincount(text, minlength=len(block))
                 gone = np.zeros(len(block.data) + 1, np.int32)

@@ -108,6 +108,17 @@ def test_substrings_window_by_window(make, monkeypatch):
     assert result(substring_dedup.digest(make(rows))) == substrings_expected(rows)
 
 
+def test_substrings_in_more_chunks_than_partitions(make, monkeypatch):
+    """Chunks follow the bytes of the texts; a third of the rows has no id, another third one id with many texts."""
+    monkeypatch.setattr(substring_dedup, "CHUNK_BYTES", 500)
+    passage = words(11, 14)
+    rows = [((None, 7, k)[k % 3], f"{words(k, 4)} {passage[k % 5 :]} {words(k + 50, 3)}") for k in range(45)]
+    documents = make(rows)
+    n_bytes = sum(len(t.encode()) for _, t in rows)
+    assert substring_dedup.chunks_of(documents) == -(-n_bytes // 500) > 8
+    assert result(substring_dedup.digest(documents)) == substrings_expected(rows)
+
+
 def test_groups_of_odd_rows(odd, odd_rows):
     assert result(ngram_join.near_duplicate_groups(odd)) == groups_expected(odd_rows)
 
