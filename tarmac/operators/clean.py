@@ -37,9 +37,15 @@ def drop_columns(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def _line_struct(value: Column, contract: Contract) -> Column:
     schema = ", ".join(f"`{c}` STRING" for c in contract.line_columns)
+    head = F.substring_index(value, ",", contract.line_width)
     commas = F.length(value) - F.length(F.replace(value, F.lit(","), F.lit("")))
-    fits = (F.length(value) < PARSER_COLUMNS) | (commas < PARSER_COLUMNS)
-    held = F.when(fits, value).otherwise(first_fields(value, contract.line_width))
+    # Without a quote in them the fields in use end at the first commas, so only other long lines are looked at in full.
+    held = (
+        F.when(F.octet_length(value) < PARSER_COLUMNS, value)
+        .when(~F.contains(head, F.lit('"')), head)
+        .when(commas < PARSER_COLUMNS, value)
+        .otherwise(first_fields(value, contract.line_width))
+    )
     return F.from_csv(held, schema, {"mode": "PERMISSIVE"})
 
 

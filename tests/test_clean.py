@@ -1,7 +1,9 @@
 import math
+from time import perf_counter
 
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions
 
 from tarmac.contract import FLIGHTS, Contract, Field
 from tarmac.operators.clean import drop_any_null, drop_columns, parse_lines, project_cast, split_fields, with_validity
@@ -141,6 +143,33 @@ def test_wide_lines_are_read(spark, tail):
     assert first == second and first["MONTH"] == 0 and first["AWND"] == 25.0
 
 
+def test_commas_behind_the_fields_in_use_are_not_looked_at(spark):
+    """A long line is parsed in less time than it takes to find all its commas."""
+    tail = functions.when(functions.col("id") % 2 == 0, functions.lit("," * 21_000)).otherwise("," + '"' + "," * 21_000 + '"')
+    lines = spark.range(0, 20_000, 1, 8).select(functions.concat(functions.lit(line()), tail).alias("value"))
+    left = functions.length(functions.replace("value", functions.lit(","), functions.lit("")))
+
+    def seconds(df):
+        began = perf_counter()
+        df.distinct().collect()
+        return perf_counter() - began
+
+    parsed, counted = parse_lines(lines), lines.select(left)
+    assert [tuple(r) for r in parsed.distinct().collect()] == [GOOD]
+    seconds(counted)
+    assert seconds(parsed) < seconds(counted)
+
+
+@pytest.mark.parametrize("body", ["", "1,", "1,2,3", line(), line() + ",x", " 1 , 2", "\n" + line(), "é," * 30, line(f8='"Acme, Air"')])
+@pytest.mark.parametrize("tail", ["x" * 30_000, "," * 20_400, "," + "é" * 15_000, ',"' + "x," * 15_000 + '"'])
+def test_a_long_line_is_read_as_the_parser_reads_it(spark, body, tail):
+    df = spark.createDataFrame([(body + tail,)], "value string")
+    schema = ", ".join(f"`{c}` STRING" for c in FLIGHTS.line_columns)
+    whole = df.select(functions.from_csv("value", schema, {"mode": "PERMISSIVE"}).alias("r")).select("r.*")
+    every = Contract(tuple(Field(p, c, "string") for p, c in enumerate(FLIGHTS.line_columns)), 26, "", {})
+    assert parse_lines(df, every).collect() == whole.collect()
+
+
 def test_wide_fields_among_those_in_use(spark):
     fields = [str(i) for i in range(26)]
     fields[8] = '"' + "a," * 21_000 + '\\"z"'
