@@ -27,6 +27,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Lines of a stretch: a batch skips less than so many lines before its first one.
 STRIDE = 10_000
+#: Tasks of a batch for each core. Stretches that follow each other in a file are read by one task, up to so many lines.
+_TASKS_PER_CORE, _LINES_PER_TASK = 2, 1_000_000
 _ROWS = 8192  # lines of an Arrow batch
 
 
@@ -77,7 +79,7 @@ def save_index(index: DataFrame, path: str) -> None:
 
 @dataclass
 class Stretch(InputPartition):
-    """Lines ``first`` to ``first + count`` of the whole, found ``skip`` lines behind a byte of a file."""
+    """Lines ``first`` to ``first + count`` of the whole, found ``skip`` lines behind a byte of one file."""
 
     file: str
     byte: int
@@ -100,6 +102,7 @@ class OrderedLinesReader(DataSourceStreamReader):
     def __init__(self, options: dict[str, str]):
         self.index, self.lines = options["path"], int(options["linespertrigger"])
         self.total, self.planned = int(options["total"]), None
+        self.tasks = int(options.get("tasks", 1 << 62))
 
     def _stretches(self, start: int, end: int) -> list[dict]:
         system, path = _located(self.index)
@@ -125,9 +128,13 @@ class OrderedLinesReader(DataSourceStreamReader):
     def partitions(self, start: dict, end: dict) -> list[Stretch]:
         self.planned = max(self.planned or 0, end["at"])
         planned = []
+        share = min(-(-(end["at"] - start["at"]) // self.tasks), _LINES_PER_TASK)
         for s in self._stretches(start["at"], end["at"]) if start["at"] < end["at"] else []:
             first, last = max(s["first"], start["at"]), min(s["last"], end["at"])
-            planned.append(Stretch(s["file"], s["byte"], s["skip"] + first - s["first"], first, last - first))
+            if planned and planned[-1].file == s["file"] and planned[-1].count + last - first <= share:
+                planned[-1].count += last - first
+            else:
+                planned.append(Stretch(s["file"], s["byte"], s["skip"] + first - s["first"], first, last - first))
         return planned or [Stretch("", 0, 0, 0, 0)]
 
     def read(self, partition: Stretch) -> Iterator[pa.RecordBatch]:
@@ -165,7 +172,10 @@ def _forward(file: pa.NativeFile, byte: int) -> None:
 
 
 class OrderedLines(DataSource):
-    """The streaming format ``ordered_lines``: the path of an index, ``linesPerTrigger`` and the ``total`` of lines."""
+    """The streaming format ``ordered_lines``: the path of an index, ``linesPerTrigger`` and the ``total`` of lines.
+
+    A batch has about as many ``tasks``, more if its files or stretches are more; without the option, one a stretch.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -183,5 +193,6 @@ def stream_in_order(spark: SparkSession, index: str, lines_per_trigger: int) ->
     total = spark.read.parquet(index).agg(F.coalesce(F.max("last"), F.lit(0))).first()[0]
     spark.dataSource.register(OrderedLines)
     reader = spark.readStream.format(OrderedLines.name()).option("linesPerTrigger", lines_per_trigger)
-    return reader.option("total", total).load(index)
+    tasks = _TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    return reader.option("total", total).option("tasks", tasks).load(index)
 

@@ -1,5 +1,6 @@
 import gzip
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from tarmac.operators.clean import drop_any_null
 from tarmac.operators.encoding import encode_join
 from tarmac.operators.vocabulary import fit_vocabulary
 from tarmac.plans import replay
-from tarmac.sources.ordered import index_lines
+from tarmac.sources.ordered import OrderedLinesReader, index_lines, save_index
 from tarmac.sources.streams import Topic, drain, stream_text, to_files
 from tarmac.streaming import scoring
 
@@ -182,6 +183,18 @@ def test_replay_in_order_goes_on_within_a_file(spark, files_in_order, small_spli
     assert found == list(enumerate(expected))
 
 
+def test_a_batch_of_many_stretches_has_few_tasks(spark, files_in_order, small_splits, tmp_path):
+    path, expected = files_in_order
+    save_index(index_lines(spark, path, stride=10), str(tmp_path / "index"))
+    total = len(expected)
+    reader = OrderedLinesReader({"path": str(tmp_path / "index"), "linespertrigger": "300", "total": str(total), "tasks": "6"})
+    for start, end in ((0, total), (7, total - 5)):
+        planned = reader.partitions({"at": start}, {"at": end})
+        assert len(planned) <= 2 * 6 + 4  # two that follow each other in one of the four files are more than a share
+        read = pa.Table.from_batches([batch for part in planned for batch in reader.read(part)])
+        assert list(zip(read["line"].to_pylist(), read["value"].to_pylist())) == list(enumerate(expected))[start:end]
+
+
 def test_a_failed_batch_of_an_ordered_replay_is_repeated(spark, files_in_order, tmp_path):
     path, expected = files_in_order
     seen = []
