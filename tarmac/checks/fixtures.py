@@ -65,8 +65,11 @@ def flights_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flights_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = flights_raw(spark, sf_dir)
-    return spark.sql(FLIGHTS_LINES.replace("flights_raw", "{raw}"), raw=raw)
+    return lines_of(flights_raw(spark, sf_dir))
+
+
+def lines_of(raw: DataFrame) -> DataFrame:
+    return raw.sparkSession.sql(FLIGHTS_LINES.replace("flights_raw", "{raw}"), raw=raw)
 
 
 def flights_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,7 +81,11 @@ def flights_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flights_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return project_cast(flights_raw(spark, sf_dir), FLIGHTS, keep=("FLIGHT_ID",))
+    return typed_of(flights_raw(spark, sf_dir))
+
+
+def typed_of(raw: DataFrame) -> DataFrame:
+    return project_cast(raw, FLIGHTS, keep=("FLIGHT_ID",))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,9 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarmac.checks.fixtures import LINE_ID, documents, flights_lines, flights_raw, flights_table, flights_typed, table
+from tarmac.checks.fixtures import (
+    LINE_ID, documents, flights_lines, flights_raw, flights_table, flights_typed, lines_of, table, typed_of,
+)
 from tarmac.checks.oracle import VOCABULARY_ROWS
 from tarmac.contract import FLIGHTS
 from tarmac.operators import clean, encoding, evaluate, sampling, statistics, vocabulary, words
@@ -322,7 +324,11 @@ def word_count_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _train(spark: SparkSession, sf: str, estimator=training.forest) -> training.Trained:
-    return training.train(flights_typed(spark, sf), estimator, sample=1.0, key="FLIGHT_ID")
+    return _train_on(flights_typed(spark, sf), estimator)
+
+
+def _train_on(typed: DataFrame, estimator=training.forest) -> training.Trained:
+    return training.train(typed, estimator, sample=1.0, key="FLIGHT_ID")
 
 
 def trained_model(spark: SparkSession, sf: str) -> PipelineModel:
@@ -476,10 +482,12 @@ def stream_committed(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_model_switch(spark: SparkSession, sf: str) -> DataFrame:
     """Each scored flight, and whether the version its batch names gives it the same prediction again."""
-    landed, out, checkpoint = landed_lines(spark, sf), fresh_folder(spark, "switched"), fresh_folder(spark, "switched-checkpoint")
+    landed, out, checkpoint = (fresh_folder(spark, p) for p in ("lines", "switched", "switched-checkpoint"))
+    raw = materialize(flights_raw(spark, sf), "flights")  # joined once, for the lines and both trainings
+    lines_of(raw).write.text(landed)
     store = ModelStore(spark, fresh_folder(spark, "models"))
-    store.add(trained_model(spark, sf))
-    second = store.add(_train(spark, sf, training.logistic).pipeline, use=False)
+    store.add(_train_on(typed_of(raw)).pipeline)
+    second = store.add(_train_on(typed_of(raw), training.logistic).pipeline, use=False)
     per_batch = max(1, math.ceil(len(spark.read.text(landed).inputFiles()) / 2))
     routed = scoring.route(streams.stream_text(spark, landed, per_batch), extra=LINE_ID)
     switch = lambda rows, commit: store.use(second)
