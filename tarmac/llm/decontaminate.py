@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tarmac.llm.buffers import LOWER, Block, blocks, group_starts, lists, mix, ranges, stretch_hashes, word_spans
+from tarmac.llm.memory import returning
 
 #: A stretch of so many item words counts if at least ``AGREE`` of a hundred agree.
 STRETCH = 16
@@ -226,6 +227,7 @@ def _pass(documents: DataFrame, items: Items) -> DataFrame:
     fields = ("item_ids", "agreeing", "first_word", "end_word")
     schema = "doc_id long, text_hash long, " + ", ".join(f"{f} array<long>" for f in fields)
 
+    @returning
     def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch["text"]):
@@ -272,6 +274,7 @@ def keep_clean(documents: DataFrame, benchmark: DataFrame, per_pass: int = ITEMS
     schema, names = documents.schema, documents.columns
 
     def cleaned(items: Items):
+        @returning
         def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 from tarmac.llm.bits import bit_table, likely
 from tarmac.llm.buffers import Block, Stretches, blocks, flat, group_starts, lists, mix
 from tarmac.llm.columns import free_names
+from tarmac.llm.memory import returning, returning_group
 from tarmac.session import Scratch, materialize
 
 EDITS = 2
@@ -246,6 +247,7 @@ def _named(documents: DataFrame) -> DataFrame:
 def line_table(documents: DataFrame) -> DataFrame:
     """``doc_id, mark, line, a, b``: place and keys of every line that counts."""
 
+    @returning
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch["text"]):
@@ -263,6 +265,7 @@ def meetings(documents: DataFrame) -> DataFrame:
     """``bucket, meets, a, probes``: lines that share a segment with another; a task passes on equal lines once."""
     buckets = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
+    @returning
     def emitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # lines that are dealt already or held
         parts: list[tuple[np.ndarray, ...]] = []
@@ -294,6 +297,7 @@ def meetings(documents: DataFrame) -> DataFrame:
         columns = [lists(c[order], counts) for c in (meets.view(np.int64), a, probes)]
         return pa.RecordBatch.from_arrays([pa.array(bucket[order][at]), *columns], names=["bucket", "meets", "a", "probes"])
 
+    @returning_group
     def shared(table: pa.Table) -> pa.Table:
         meets, a, probes = (flat(table[c]) for c in ("meets", "a", "probes"))
         order = np.lexsort((probes, a, meets))
@@ -318,6 +322,7 @@ def met_lines(documents: DataFrame, met: DataFrame) -> DataFrame:
     keys = met.select("a").distinct()
     table = bit_table(keys.withColumnRenamed("a", "h"))
 
+    @returning
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch["text"]):
@@ -340,6 +345,7 @@ def met_lines(documents: DataFrame, met: DataFrame) -> DataFrame:
     first = rows.groupBy("a").agg(F.min(F.struct("doc_id", "mark", "line", "content")).alias("first"))
     wanted = first.join(keys, "a", "left_semi").select("a", "first.*")
 
+    @returning
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts = pa.array(point_counts(batch["content"].to_pylist()))
@@ -352,6 +358,7 @@ def met_lines(documents: DataFrame, met: DataFrame) -> DataFrame:
 def pairs_within(reach: tuple[int, int], star: bool):
     """For a bucket's rows: pairs of a line that is not gone and an earlier one, ``reach`` places apart."""
 
+    @returning_group
     def found(table: pa.Table) -> pa.Table:
         columns = ("meets", "a", "probes", "gone", "counts", "doc_id", "mark", "line")
         meets, a, probes, gone, counts, *place = (table[c].to_numpy() for c in columns)
@@ -412,6 +419,7 @@ def _near_repeats(documents: DataFrame, met: DataFrame, scratch: Scratch) -> Dat
         return gone
     lines = scratch.table(met_lines(documents, met), "met-lines")
 
+    @returning
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):

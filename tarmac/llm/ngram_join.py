@@ -37,6 +37,7 @@ from tarmac.llm.buffers import (
 )
 from tarmac.llm.columns import free_names
 from tarmac.llm.components import components
+from tarmac.llm.memory import returning, returning_group
 from tarmac.session import Scratch, fresh_folder, materialize
 
 WORDS = 5
@@ -226,6 +227,7 @@ def _texts(documents: DataFrame) -> DataFrame:
 def keys_and_frequent(documents: DataFrame) -> tuple[DataFrame, np.ndarray]:
     """The set keys of all documents as a shared table, and the late tokens, rarest first."""
 
+    @returning
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch["text"]):
@@ -269,6 +271,7 @@ def shared_prefixes(documents: DataFrame, orders: Orders) -> DataFrame:
     """
     buckets = orders.buckets
 
+    @returning
     def emitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
         parts: list[tuple[np.ndarray, ...]] = []
@@ -304,6 +307,7 @@ def shared_prefixes(documents: DataFrame, orders: Orders) -> DataFrame:
         arrays = [pa.array(bucket[order][at].astype(np.int32)), *[lists(c[order], counts) for c in columns]]
         yield pa.RecordBatch.from_arrays(arrays, names=["bucket", "token", "doc_id", "n", "place"])
 
+    @returning_group
     def shared(table: pa.Table) -> pa.Table:
         token, doc, n, place = (flat(table[c]) for c in ("token", "doc_id", "n", "place"))
         order = np.lexsort((doc, token))
@@ -324,6 +328,7 @@ def shared_prefixes(documents: DataFrame, orders: Orders) -> DataFrame:
 def pairs_within(reach: tuple[int, int], star: bool):
     """For a bucket's rows: pairs of different groups, ``reach`` places apart, that the filters let through."""
 
+    @returning_group
     def found(table: pa.Table) -> pa.Table:
         token, doc, n, place, group = (table[c].to_numpy() for c in ("token", "doc_id", "n", "place", "component"))
         order = np.lexsort((place, doc, n, token))
@@ -404,6 +409,7 @@ def verified(pairs: DataFrame, sets: DataFrame, orders: Orders) -> DataFrame:
 def _judged(pairs: DataFrame, sets: DataFrame, agree: Callable[[np.ndarray, np.ndarray], bool]) -> DataFrame:
     """The pairs whose ``tokens`` in ``sets`` agree."""
 
+    @returning
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sides = []
@@ -428,6 +434,7 @@ def shingle_table(documents: DataFrame, pairs: DataFrame, whole: bool) -> DataFr
     wanted = pairs.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct()
     table = bit_table(wanted.select(F.xxhash64("doc_id").alias("h")))
 
+    @returning
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             some = batch.take(pa.array(likely(table, batch["h"].to_numpy())))

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
 from tarmac.llm.buffers import Block, blocks, group_starts, ranges, stretch_hashes
+from tarmac.llm.memory import returning
 
 WINDOW = 2048
 END = 1
@@ -251,6 +252,7 @@ def pack(
         merges = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
     end = np.array([END], "<u4")
 
+    @returning
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text_ids = TextIds(definition, merges)
         base = TaskContext.get().partitionId() << 32

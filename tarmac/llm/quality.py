@@ -26,6 +26,7 @@ from pyspark.sql.types import StructType
 from tarmac.llm.buffers import Block, blocks, lists, stretch_hashes, word_spans
 from tarmac.llm.columns import free_names
 from tarmac.llm.labels import held_out, learning_sample
+from tarmac.llm.memory import returning
 
 #: A model is fitted on at most so many labelled documents.
 SAMPLE = 4000
@@ -233,6 +234,7 @@ def fit(features: np.ndarray, size: np.ndarray, counts: np.ndarray, labels: np.n
     return Field(centre, scale, w, ties, (float(line.values[0][0]), float(line.values[0][1])))
 
 
+@returning
 def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for block in blocks(batch["text"]):
@@ -278,6 +280,7 @@ def _scored(kept: DataFrame, field: Field, added: tuple[str, ...]) -> DataFrame:
     """``score`` under names that the documents do not have."""
     schema = StructType(kept.schema.fields[:]).add(added[0], "double").add(added[1], "long").add(added[2], "long")
 
+    @returning
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch["text"]):
