@@ -14,6 +14,9 @@ import pyarrow.compute as pc
 # Texts are worked on in blocks of about so many bytes; a longer text is a block of its own.
 BLOCK_BYTES = 2 << 20
 
+# Kernels that hold many numbers for each byte work on less at a time.
+SMALL_BYTES = 1 << 19
+
 # Fixed values of the splitmix64 finalizer.
 _MIX_1, _MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -59,6 +62,15 @@ class Block:
     def lengths(self) -> np.ndarray:
         return np.diff(self.bounds)
 
+    def parts(self, size: int) -> Iterator[Block]:
+        """The texts in blocks of about ``size`` bytes."""
+        at = 0
+        while at < len(self):
+            upto = max(at + 1, int(np.searchsorted(self.bounds, self.bounds[at] + size, side="right")) - 1)
+            low, high = self.bounds[at], self.bounds[upto]
+            yield Block(self.data[low:high], self.bounds[at : upto + 1] - low, self.first + at)
+            at = upto
+
     def text(self, i: int) -> bytes:
         return self.data[self.bounds[i] : self.bounds[i + 1]].tobytes()
 
@@ -82,12 +94,7 @@ def byte_column(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def blocks(column: pa.Array, size: int = BLOCK_BYTES) -> Iterator[Block]:
     """The texts of a column in blocks of about ``size`` bytes, each of whole texts."""
-    data, bounds = byte_column(column)
-    at, rows = 0, len(bounds) - 1
-    while at < rows:
-        upto = max(at + 1, int(np.searchsorted(bounds, bounds[at] + size, side="right")) - 1)
-        yield Block(data[bounds[at] : bounds[upto]], bounds[at : upto + 1] - bounds[at], at)
-        at = upto
+    return Block(*byte_column(column), 0).parts(size)
 
 
 class _Powers:
@@ -185,6 +192,13 @@ def flat(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False)
 
 
+def sliced(batch: pa.RecordBatch, parts: int = 16) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch of long lists, a few at a time, since the JVM holds a batch in one piece beside its heap."""
+    rows = -(-batch.num_rows // parts)
+    for at in range(0, batch.num_rows, max(1, rows)):
+        yield batch.slice(at, rows)
+
+
 def dealt(digit: np.ndarray, buckets: int, columns: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
     """Rows dealt out by a hash: one record for each bucket in use, with a list for each column.
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tarmac.llm.bits import bit_table, likely
-from tarmac.llm.buffers import Block, Stretches, blocks, flat, group_starts, lists, mix
+from tarmac.llm.buffers import SMALL_BYTES, Block, Stretches, blocks, flat, group_starts, lists, mix, sliced
 from tarmac.llm.columns import free_names
 from tarmac.llm.memory import returning, returning_group
 from tarmac.session import Scratch, materialize
@@ -250,7 +250,7 @@ def line_table(documents: DataFrame) -> DataFrame:
     @returning
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch["text"]):
+            for block in blocks(batch["text"], SMALL_BYTES):
                 found = Lines(block)
                 row = pa.array(found.text + block.first)
                 a, b = found.keys(), found.further_keys()
@@ -271,7 +271,7 @@ def meetings(documents: DataFrame) -> DataFrame:
         parts: list[tuple[np.ndarray, ...]] = []
         held = 0
         for batch in batches:
-            for block in blocks(batch["text"]):
+            for block in blocks(batch["text"], SMALL_BYTES):
                 found = Lines(block)
                 a = found.keys()
                 own, at = np.unique(a, return_index=True)
@@ -283,10 +283,10 @@ def meetings(documents: DataFrame) -> DataFrame:
                     parts.append((hashes, a[line], np.full(len(line), probes)))
                     held += len(line)
                 if held > 1_500_000:
-                    yield deal(parts)
+                    yield from sliced(deal(parts))
                     parts, held = [], 0
         if parts:
-            yield deal(parts)
+            yield from sliced(deal(parts))
 
     def deal(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
         meets, a, probes = (np.concatenate(c) for c in zip(*parts, strict=True))
@@ -325,7 +325,7 @@ def met_lines(documents: DataFrame, met: DataFrame) -> DataFrame:
     @returning
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch["text"]):
+            for block in blocks(batch["text"], SMALL_BYTES):
                 found = Lines(block)
                 a = found.keys()
                 some = likely(table, a)

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tarmac.llm.bits import bit_table, likely
 from tarmac.llm.buffers import (
-    LOWER, Block, blocks, flat, group_starts, lists, mix, ranges, shingle_hashes, stretch_hashes, word_spans,
+    LOWER, SMALL_BYTES, Block, blocks, flat, group_starts, lists, mix, ranges, shingle_hashes, sliced, stretch_hashes, word_spans,
 )
 from tarmac.llm.columns import free_names
 from tarmac.llm.components import components
@@ -278,7 +278,7 @@ def shared_prefixes(documents: DataFrame, orders: Orders) -> DataFrame:
         held = 0
         for batch in batches:
             ids = batch["doc_id"].to_numpy(zero_copy_only=False)
-            for block in blocks(batch["text"]):
+            for block in blocks(batch["text"], SMALL_BYTES):
                 tokens, counts = shingle_sets(block)
                 a, b = set_keys(tokens, counts)
                 new = np.zeros(len(block), bool)
@@ -305,7 +305,7 @@ def shared_prefixes(documents: DataFrame, orders: Orders) -> DataFrame:
         counts = np.diff(np.append(at, len(order)))
         columns = [bits, doc.astype(np.int64), n.astype(np.int32), place.astype(np.int32)]
         arrays = [pa.array(bucket[order][at].astype(np.int32)), *[lists(c[order], counts) for c in columns]]
-        yield pa.RecordBatch.from_arrays(arrays, names=["bucket", "token", "doc_id", "n", "place"])
+        yield from sliced(pa.RecordBatch.from_arrays(arrays, names=["bucket", "token", "doc_id", "n", "place"]))
 
     @returning_group
     def shared(table: pa.Table) -> pa.Table:
@@ -438,7 +438,7 @@ def shingle_table(documents: DataFrame, pairs: DataFrame, whole: bool) -> DataFr
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             some = batch.take(pa.array(likely(table, batch["h"].to_numpy())))
-            for block in blocks(some["text"]):
+            for block in blocks(some["text"], SMALL_BYTES):
                 tokens, counts = shingle_sets(block)
                 ids = some["doc_id"].slice(block.first, len(block))
                 values = tokens.view(np.int64) if whole else tokens.astype(np.uint16).view(np.int16)

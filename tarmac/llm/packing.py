@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from tarmac.llm.buffers import Block, blocks, group_starts, ranges, stretch_hashes
+from tarmac.llm.buffers import SMALL_BYTES, Block, blocks, group_starts, ranges, stretch_hashes
 from tarmac.llm.memory import returning
 
 WINDOW = 2048
@@ -276,20 +276,21 @@ def pack(
 
         for batch in batches:
             for block in blocks(batch["text"]):
-                keys = batch["doc_id"].slice(block.first, len(block)).to_pylist()
-                ids, bounds = text_ids(block)
                 full = []
-                for key, a, b in zip(keys, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                    own = np.append(ids[a:b], end)
-                    tokens = len(own)
-                    whole = tokens // window
-                    for k in range(whole):
-                        piece = own[k * window : (k + 1) * window].tobytes()
-                        full.append((key, k * window, window, piece, tokens, base + used, 0))
-                        used += 1
-                    if tokens % window:
-                        start = whole * window
-                        rests.append((key, start, tokens - start, own[start:].tobytes(), tokens))
+                for part in block.parts(SMALL_BYTES):
+                    keys = batch["doc_id"].slice(part.first, len(part)).to_pylist()
+                    ids, bounds = text_ids(part)
+                    for key, a, b in zip(keys, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                        own = np.append(ids[a:b], end)
+                        tokens = len(own)
+                        whole = tokens // window
+                        for k in range(whole):
+                            piece = own[k * window : (k + 1) * window].tobytes()
+                            full.append((key, k * window, window, piece, tokens, base + used, 0))
+                            used += 1
+                        if tokens % window:
+                            start = whole * window
+                            rests.append((key, start, tokens - start, own[start:].tobytes(), tokens))
                 if full:
                     yield rows(full)
                 if len(rests) >= GROUP:

@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 
 from tarmac.llm import line_dedup, memory, ngram_join
+from tarmac.llm.buffers import blocks, lists, sliced
 from tarmac.llm.memory import give_back
 
 ROLLUP = "/proc/self/smaps_rollup"
@@ -58,3 +59,17 @@ def test_memory_is_given_back_once_the_last_rows_are_taken(monkeypatch):
     assert [next(rows), next(rows), given] == [1, 2, []]
     assert list(rows) == [] and given == [1]
     assert memory.returning_group(lambda table: table + 1)(2) == 3 and given == [1, 1]
+
+
+def test_parts_and_slices_hold_every_row_in_order():
+    texts = ["", "abc", "x" * 50, "", "de", "y" * 9, ""]
+    (block,) = blocks(pa.array(texts))
+    for size in (1, 4, 12, 1000):
+        parts = list(block.parts(size))
+        assert [p.text(i).decode() for p in parts for i in range(len(p))] == texts
+        assert [p.first for p in parts] == np.cumsum([0, *map(len, parts)])[:-1].tolist()
+    batch = pa.RecordBatch.from_arrays([lists(np.arange(100), np.arange(14) % 8)], names=["a"]).slice(1)
+    for parts in (1, 3, 16):
+        cut = list(sliced(batch, parts))
+        assert [x for c in cut for x in c["a"].to_pylist()] == batch["a"].to_pylist() and len(cut) <= parts
+    assert not list(sliced(batch.slice(0, 0)))
